@@ -1,0 +1,51 @@
+"""Join for a unique side and a side on which one key may hold much of the data."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HEAVY_ROWS = 1_000_000
+
+
+def join_one_to_many(
+    one: DataFrame,
+    many: DataFrame,
+    on: Sequence[str],
+    keep_one: bool = False,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Join ``one`` (unique on ``on``) with ``many``; ``keep_one`` keeps unmatched rows.
+
+    A key with more than ``heavy_rows`` rows in ``many`` is spread over as many slots as
+    it needs, and its single row in ``one`` is repeated once per slot. Other keys take
+    slot 0, so the result is that of the plain join. The list of heavy keys has at most
+    rows / ``heavy_rows`` entries; whether that is small enough to broadcast is left to
+    the adaptive planner, which sees its real size.
+    """
+    on = list(on)
+    heavy = (
+        many.groupBy(*on)
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > heavy_rows)
+        .select(*on, F.ceil(F.col("_rows") / heavy_rows).cast("int").alias("_slots"))
+    )
+    rest = [c for c in many.columns if c not in on]
+    slot = F.when(F.col("_slots").isNull(), 0).otherwise(
+        F.pmod(F.xxhash64(*(rest or on)), F.col("_slots")).cast("int")
+    )
+    spread = (
+        many.join(heavy, on, "left")
+        .withColumn("_slot", slot)
+        .drop("_slots")
+        .withColumn("_hit", F.lit(True))
+    )
+    slots = F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)
+    copies = one.join(heavy, on, "left").withColumn("_slot", F.explode(slots))
+    joined = copies.join(spread, on + ["_slot"], "left" if keep_one else "inner")
+    if keep_one:
+        # A heavy key has matches, so its copies in empty slots are not unmatched rows.
+        joined = joined.where(F.col("_slots").isNull() | F.col("_hit"))
+    return joined.drop("_slots", "_slot", "_hit")
