@@ -62,15 +62,15 @@ def everything(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def visits_of(x: Inputs, days: int = 30) -> DataFrame:
-    return visits(x.events, x.ids, x.groups, back(days - 1), DAY)
+    return visits(x.events, x.devices, x.groups, back(days - 1), DAY)
 
 
 def bounds_of(x: Inputs) -> DataFrame:
-    return register_bounds(x.properties, x.ids, x.groups)
+    return register_bounds(x.properties, x.devices, x.groups)
 
 
 def nations_of(x: Inputs) -> DataFrame:
-    return attributes(x.properties, x.ids, x.groups, "nation")
+    return attributes(x.properties, x.devices, x.groups, "nation")
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:

@@ -82,7 +82,7 @@ FROM fact WHERE day BETWEEN '{back(6)}' AND '{back(1)}'""")
 def _(spark, sf_dir):
     x = month(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    fact = search.search_fact(x.events, x.ids, x.properties, back(29), DAY, PREFIX)
+    fact = search.search_fact(x.events, x.devices, x.properties, back(29), DAY, PREFIX)
     stored = fact.withColumn("day", F.replace("day", F.lit("-"), F.lit("")))
     warehouse.overwrite("user_search", stored)
     first, last = compact(back(6)), compact(back(1))
@@ -110,7 +110,7 @@ WHERE (pid, uid) IN (SELECT (pid, uid) FROM sev WHERE day = '{DAY}')""")
 def _(spark, sf_dir):
     x = today(spark, sf_dir)
     keys = search.search_events(x.events, DAY, DAY, PREFIX)
-    return logs.lookup(keys, identity.device_ids(x.ids), ["pid", "uid"])
+    return logs.lookup(keys, x.devices, ["pid", "uid"])
 
 
 @add("scan_last_n_days", " UNION ALL ".join(
@@ -293,4 +293,4 @@ def _(spark, sf_dir):
 
 @add("normalise_orig_id", "SELECT pid, uid, orig_id FROM dev")
 def _(spark, sf_dir):
-    return identity.device_ids(today(spark, sf_dir).ids)
+    return today(spark, sf_dir).devices

@@ -24,16 +24,18 @@ from retinue.catalog.common import (
 from retinue.catalog.inputs import TOTAL_ROWS
 from retinue.catalog.scalars import search_key_sql
 from retinue.catalog.searches import CUBE_DAY, cube_sql
-from retinue.catalog.users import _active_sql, _page_views
+from retinue.catalog.users import SET_RULES, _active_sql, _page_views
 from retinue.functions.days import compact, shift
 from retinue.operators import history, search
 from retinue.operators import metrics as M
 from retinue.operators.profile import group_totals, user_profile
-from retinue.plans.daily import backfill_visits, run_daily
+from retinue.operators.visits import visits
+from retinue.plans.daily import run_daily, stage_devices, write_visits
 from retinue.plans.history import republish as republish_job
+from retinue.plans.history import run_history
 from retinue.plans.search import run_search, stage_search
 from retinue.settings import Settings
-from retinue.sources import store
+from retinue.sources import sample, store
 from retinue.sources.warehouse import shared_dir
 
 catalog = Catalog()
@@ -101,7 +103,7 @@ SELECT '{compact(CUBE_DAY)}' AS day, uid, ev3 || ',' || ev4 || ',' || ev5 || ','
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    fact = search.search_fact(x.events, x.ids, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    fact = search.search_fact(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
     warehouse.overwrite("user_search", fact.drop("day"), day=compact(CUBE_DAY))
     stored = warehouse.table("user_search")
     return as_double(stored.withColumn("events", F.array_join("events", ",")), "value")
@@ -113,7 +115,7 @@ SELECT replace(day, '-', '') AS day, type, uid, prop, CAST(1 AS BIGINT) AS num,
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    typed = search.search_by_type(x.events, x.ids, x.properties, None, None, PREFIX)
+    typed = search.search_by_type(x.events, x.devices, x.properties, None, None, PREFIX)
     stored_day = F.replace("day", F.lit("-"), F.lit(""))
     warehouse.overwrite("user_search_by_type", typed.withColumn("day", stored_day))
     return as_double(warehouse.table("user_search_by_type"), "value")
@@ -124,9 +126,7 @@ HISTORY_DAYS = (back(2), back(1), DAY)
 
 def _history(spark, sf_dir):
     x = everything(spark, sf_dir)
-    from retinue.operators.visits import visits
-
-    rows = visits(x.events, x.ids, x.groups, shift(HISTORY_DAYS[0], 29), DAY)
+    rows = visits(x.events, x.devices, x.groups, shift(HISTORY_DAYS[0], 29), DAY)
     bounds = bounds_of(x)
     per_day = [
         group_totals(user_profile(rows, bounds, d)).select(F.lit(d).alias("day"), "*")
@@ -136,8 +136,8 @@ def _history(spark, sf_dir):
     return history.newest(history.history_row(totals, GROUP_NAMES))
 
 
-def _history_sql() -> str:
-    per_day = " UNION ALL ".join(f"({totals_sql(d)})" for d in HISTORY_DAYS)
+def _history_sql(visits_view: str = "vis") -> str:
+    per_day = " UNION ALL ".join(f"({totals_sql(d, visits_view)})" for d in HISTORY_DAYS)
     columns = ", ".join(
         f"CAST(max({m}) FILTER (WHERE pid = '{g}') AS BIGINT) AS \"{m}_{g}\""
         for m in history.HISTORY_METRICS for g in GROUP_NAMES)
@@ -171,7 +171,7 @@ SELECT cache_key, label, cnt, value, users FROM ({CUBE_KEYS}) k
 UNION ALL SELECT z.k, z.l, 0, 0.0, 0 FROM {RESET_KEYS} z(k, l)""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
-    paths = search.user_paths(x.events, x.ids, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    paths = search.user_paths(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
     rows = M.search_metrics(
         search.search_cube(paths), "g1", CUBE_DAY, CUBE_DAY, CUBE_DAY, PREFIX)
     one = x.groups.agg(F.count("*").alias("n"))
@@ -215,7 +215,7 @@ FROM typed, (VALUES ('COMMON'), ('GROUP')) x(kind) WHERE day = '{CUBE_DAY}'
 GROUP BY x.kind, type, prop""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
-    typed = search.search_by_type(x.events, x.ids, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    typed = search.search_by_type(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
     rows = M.level_metrics(search.by_level(typed, CUBE_DAY, CUBE_DAY), "g1", CUBE_DAY, PREFIX)
     return as_double(rows.select("cache_key", "label", "cnt", "value", "users"), "value")
 
@@ -232,7 +232,8 @@ def _daily_run(spark, sf_dir):
     x = month(spark, sf_dir)
     warehouse = new_warehouse(spark, x)
     groups = _config(x)
-    backfill_visits(warehouse, groups, SETTINGS, back(29), back(1))
+    stage_devices(warehouse, ["p0", "p1", "p2", "p3", "p4"])
+    write_visits(warehouse, groups, SETTINGS, back(29), back(1))
     store.publish(warehouse, _page_views(x), DAY, "page_views")
     root = shared_dir(spark)
     return warehouse, root, run_daily(warehouse, groups, SETTINGS, DAY, root)
@@ -304,11 +305,21 @@ def _(spark, sf_dir):
 @add("republish", _daily_sql())
 def _(spark, sf_dir):
     warehouse, root, published = _daily_run(spark, sf_dir)
-    store.publish(warehouse, published.limit(0), DAY, "users")
+    store.publish(warehouse, spark.createDataFrame([], published.schema), DAY, "users")
     again = republish_job(warehouse, root, DAY, "users")
     return again.select("cache_key", "label", "cnt", "users")
 
 
+@add("history_job", SET_RULES + f"SELECT * FROM ({_history_sql('setvis')}) h")
+def _(spark, sf_dir):
+    warehouse = new_warehouse(spark, everything(spark, sf_dir))
+    path = shared_dir(spark)
+    groups = sample.groups(spark)
+    for day in HISTORY_DAYS:
+        newest = run_history(warehouse, groups, GROUP_NAMES, day, HEARTBEAT_PIDS, path)
+    return newest
+
+
 IN_G1 = "AND pid IN ('p0', 'p1')"
 
 

@@ -41,7 +41,7 @@ NATION = "nation"
 SELECT e.event_id, e.pid, d.orig_id FROM ev e JOIN dev d ON d.pid = e.pid AND d.uid = e.uid""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
-    joined = x.events.join(identity.device_ids(x.ids), ["pid", "uid"])
+    joined = x.events.join(x.devices, ["pid", "uid"])
     return joined.select("event_id", "pid", "orig_id")
 
 
@@ -51,7 +51,7 @@ JOIN ddev d ON d.pid = p.pid AND d.uid = p.uid WHERE trim(p.val) <> ''""")
 def _(spark, sf_dir):
     x = today(spark, sf_dir)
     stored = identity.filled_properties(x.properties, "register_time", NATION)
-    return stored.join(identity.decorated_device_ids(x.ids), ["pid", "uid"]).drop("uid")
+    return stored.join(identity.decorated(x.devices), ["pid", "uid"]).drop("uid")
 
 
 RETAINED = f"""SELECT DISTINCT v.pid, v.orig_id FROM vis v
@@ -99,7 +99,7 @@ WHERE e.event LIKE 'visit.%'""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     left = x.events.where(F.col("event").startswith("visit.")).select("pid", "uid").distinct()
-    return left.join(identity.device_ids(x.ids), ["pid", "uid"])
+    return left.join(x.devices, ["pid", "uid"])
 
 
 @add("search_uid_to_orig", """
@@ -110,7 +110,7 @@ def _(spark, sf_dir):
     rollup = search.user_rollup(search.search_events(x.events, None, None, PREFIX))
     stored = rollup.withColumn("uid", I.md5uid(F.col("uid")))
     inner = stored.withColumn("uid", I.truncate_uid(F.col("uid")).cast("string"))
-    return inner.join(identity.device_ids(x.ids), ["pid", "uid"]).select(
+    return inner.join(x.devices, ["pid", "uid"]).select(
         "day", "pid", "uid", "orig_id", "count")
 
 
@@ -260,7 +260,7 @@ JOIN ddev d ON d.pid = p.pid AND d.uid = p.uid
 WHERE p.prop = 'register_time' GROUP BY p.pid, d.orig_id""")
 def _(spark, sf_dir):
     x = today(spark, sf_dir)
-    return registrations.first_register(x.properties, x.ids)
+    return registrations.first_register(x.properties, x.devices)
 
 
 @add("distinct_visitors", "SELECT pid, day, orig_id FROM vis "

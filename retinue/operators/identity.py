@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +10,10 @@ from retinue.settings import REGISTER_TIME
 
 
 def device_ids(ids: DataFrame, unmapped: str | None = None) -> DataFrame:
-    """Distinct (pid, uid, orig_id), lower-cased.
+    """Distinct (pid, uid, orig_id), lower-cased: what operators take as ``devices``.
 
-    Entries without an id are dropped, or share the id ``unmapped`` if one is given.
+    Entries without an id are dropped, or share the id ``unmapped`` if one is given. The
+    jobs store the result once a day, so that only one step pays for the distinct.
     """
     orig_id = normalise_orig_id(F.col("orig_id"))
     if unmapped is not None:
@@ -26,9 +25,9 @@ def device_ids(ids: DataFrame, unmapped: str | None = None) -> DataFrame:
     )
 
 
-def decorated_device_ids(ids: DataFrame) -> DataFrame:
-    """``device_ids`` keyed by the decorated uid under which properties are stored."""
-    return device_ids(ids).withColumn("uid", md5uid(F.col("uid")))
+def decorated(devices: DataFrame) -> DataFrame:
+    """Devices keyed by the decorated uid under which properties are stored."""
+    return devices.withColumn("uid", md5uid(F.col("uid")))
 
 
 def to_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -37,14 +36,6 @@ def to_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(named, "pid").drop("pid").withColumnRenamed("grp", "pid")
 
 
-def with_combined(groups: DataFrame, combined: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Add roll-up groups: each has the members of the groups it unites."""
-    for name, parts in combined.items():
-        members = groups.where(F.col("grp").isin(*parts)).select(F.lit(name).alias("grp"), "member")
-        groups = groups.unionByName(members)
-    return groups.distinct()
-
-
 def in_any_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of sub-projects that belong to at least one group."""
     return rows.join(groups.select(F.col("member").alias("pid")), "pid", "left_semi")

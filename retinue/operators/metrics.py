@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retinue.functions import keys as K
 from retinue.functions.days import shift
+from retinue.local import local_rows
 from retinue.operators.skew import join_one_to_many
 from retinue.schemas import METRICS, VALUE
 from retinue.settings import (
@@ -141,8 +142,7 @@ def breakdown_metrics(
 
 def with_all_groups(totals: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Groups without any user still get a row of zeros."""
-    spark = totals.sparkSession
-    names = spark.createDataFrame([(g,) for g in groups], "pid string")
+    names = local_rows(totals.sparkSession, [(g,) for g in groups], "pid")
     return names.join(totals, "pid", "left").na.fill(0)
 
 

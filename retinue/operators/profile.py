@@ -11,25 +11,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retinue.functions.days import age_in_days, shift
+from retinue.functions.days import age_in_days, compact, shift
 
 MONTH_DAYS = 30
 OLDEST_COHORT = 7
 LADDER_STEPS = (5, 4, 3, 2)
 
 
-def visit_masks(visit_rows: DataFrame, day: str, days: int = MONTH_DAYS) -> DataFrame:
-    """Per user a bit mask of visits: bit k is set for a visit k days before ``day``.
-
-    Duplicate visit rows do no harm, so visits need not be de-duplicated first, and the
-    masks combine before the shuffle.
-    """
+def _visit_bits(visit_rows: DataFrame, day: str, days: int) -> DataFrame:
+    """Visits as single bits: bit k stands for a visit k days before ``day``."""
     age = F.datediff(F.lit(day).cast("date"), F.to_date("day"))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), age)
-    return (
-        visit_rows.where(F.col("day").between(shift(day, days - 1), day))
-        .groupBy("pid", "orig_id")
-        .agg(F.bit_or(bit).alias("visit_mask"))
+    return visit_rows.where(F.col("day").between(shift(day, days - 1), day)).select(
+        "pid", "orig_id", bit.alias("visit_mask")
     )
 
 
@@ -47,29 +41,35 @@ def retained(age: int, days: int) -> Column:
     return registered(age) & visited(days)
 
 
+def _recent_registrations(bounds: DataFrame, day: str) -> DataFrame:
+    """Age of the registration, and whether it covers an earlier one, of recent users.
+
+    The filter compares the stored text, so that it reaches the scan.
+    """
+    today = compact(day)
+    first, last = F.col("min_reg_time"), F.col("max_reg_time")
+    is_cover = (last == today) & (first < today)
+    in_cohorts = first.between(compact(shift(day, OLDEST_COHORT)), today)
+    return bounds.where(in_cohorts | is_cover).select(
+        "pid", "orig_id", age_in_days(first, day).alias("reg_age"), is_cover.alias("is_cover")
+    )
+
+
 def user_profile(visit_rows: DataFrame, bounds: DataFrame, day: str) -> DataFrame:
     """(pid, orig_id, visit_mask, reg_age, is_cover) of users a metric of ``day`` needs.
 
-    Only registrations of the last cohorts enter the join; older users matter through
-    their visits alone.
+    Visits and registrations are stacked and aggregated rather than joined: a single
+    shuffle whose input is combined beforehand, and nothing to sort. Duplicate visit rows
+    do no harm, so visits need not be de-duplicated first.
     """
-    first_age = age_in_days(F.col("min_reg_time"), day)
-    last_age = age_in_days(F.col("max_reg_time"), day)
-    recent = bounds.select(
-        "pid",
-        "orig_id",
-        first_age.alias("reg_age"),
-        ((last_age == 0) & (first_age > 0)).alias("is_cover"),
-    ).where(F.col("reg_age").between(0, OLDEST_COHORT) | F.col("is_cover"))
+    visits = _visit_bits(visit_rows, day, MONTH_DAYS)
     return (
-        visit_masks(visit_rows, day)
-        .join(recent, ["pid", "orig_id"], "full")
-        .select(
-            "pid",
-            "orig_id",
-            F.coalesce("visit_mask", F.lit(0)).alias("visit_mask"),
-            "reg_age",
-            F.coalesce("is_cover", F.lit(False)).alias("is_cover"),
+        visits.unionByName(_recent_registrations(bounds, day), allowMissingColumns=True)
+        .groupBy("pid", "orig_id")
+        .agg(
+            F.coalesce(F.bit_or("visit_mask"), F.lit(0)).alias("visit_mask"),
+            F.min("reg_age").alias("reg_age"),
+            F.coalesce(F.bool_or("is_cover"), F.lit(False)).alias("is_cover"),
         )
     )
 

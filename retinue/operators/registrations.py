@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import compact
-from retinue.operators.identity import decorated_device_ids, register_times, to_groups
+from retinue.operators.identity import decorated, register_times, to_groups
 
 
-def register_bounds(properties: DataFrame, ids: DataFrame, groups: DataFrame) -> DataFrame:
+def register_bounds(properties: DataFrame, devices: DataFrame, groups: DataFrame) -> DataFrame:
     """First and last registration day per device and group.
 
     Bounds are taken on the full time text and cut to the day afterwards.
     """
-    per_device = register_times(properties).join(decorated_device_ids(ids), ["pid", "uid"])
+    per_device = register_times(properties).join(decorated(devices), ["pid", "uid"])
     return (
         to_groups(per_device.drop("uid"), groups)
         .groupBy("pid", "orig_id")
@@ -41,11 +41,11 @@ def combine_bounds(bounds: DataFrame, parts: Sequence[str], combined: str) -> Da
     )
 
 
-def first_register(properties: DataFrame, ids: DataFrame) -> DataFrame:
+def first_register(properties: DataFrame, devices: DataFrame) -> DataFrame:
     """Earliest registration time text per sub-project and device."""
     return (
         register_times(properties)
-        .join(decorated_device_ids(ids), ["pid", "uid"])
+        .join(decorated(devices), ["pid", "uid"])
         .groupBy("pid", "orig_id")
         .agg(F.min("min_val").alias("reg_time"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retinue.functions.ids import md5uid
 from retinue.functions.paths import DIMENSIONS, path_levels
-from retinue.operators.identity import device_ids, filled_properties
+from retinue.operators.identity import filled_properties
 from retinue.schemas import EVENT_VALUE
 from retinue.settings import ANY, GRP_CODES, GRP_NONE, NATION, NO_GROUP_KEY, UNKNOWN_VALUE
 
@@ -69,15 +69,15 @@ def nations(properties: DataFrame) -> DataFrame:
     )
 
 
-def attach_identity(rows: DataFrame, ids: DataFrame, properties: DataFrame) -> DataFrame:
+def attach_identity(rows: DataFrame, devices: DataFrame, properties: DataFrame) -> DataFrame:
     """Device id (unmapped users drop out) and nation (null if unknown) of uid rows."""
-    mapped = rows.join(device_ids(ids), ["pid", "uid"])
+    mapped = rows.join(devices, ["pid", "uid"])
     stored = nations(properties)
     same_user = (mapped["pid"] == stored["pid"]) & (md5uid(mapped["uid"]) == stored["uid"])
     return mapped.join(stored, same_user, "left").drop(stored["pid"], stored["uid"])
 
 
-def user_paths(events: DataFrame, ids: DataFrame, properties: DataFrame,
+def user_paths(events: DataFrame, devices: DataFrame, properties: DataFrame,
                from_day: str | None, to_day: str | None, prefix: str) -> DataFrame:
     """Per day, sub-project and device: first path levels, nation, count and value.
 
@@ -86,7 +86,7 @@ def user_paths(events: DataFrame, ids: DataFrame, properties: DataFrame,
     """
     rollup = user_rollup(search_events(events, from_day, to_day, prefix))
     return (
-        attach_identity(rollup, ids, properties)
+        attach_identity(rollup, devices, properties)
         .groupBy("day", "pid", "orig_id")
         .agg(
             F.sum("count").alias("count"),
@@ -120,7 +120,7 @@ def fact_paths(fact: DataFrame, from_day: str, to_day: str) -> DataFrame:
 # --- one dimension at a time -------------------------------------------------------
 
 
-def search_by_type(events: DataFrame, ids: DataFrame, properties: DataFrame,
+def search_by_type(events: DataFrame, devices: DataFrame, properties: DataFrame,
                    from_day: str | None, to_day: str | None, prefix: str) -> DataFrame:
     """(day, type, uid, prop, num, count, value): one row per user, level and value.
 
@@ -131,7 +131,7 @@ def search_by_type(events: DataFrame, ids: DataFrame, properties: DataFrame,
         .groupBy("day", "pid", "uid", "event")
         .agg(F.count("*").alias("count"), F.sum("value").alias("value"))
     )
-    owned = attach_identity(per_path, ids, properties)
+    owned = attach_identity(per_path, devices, properties)
     levels = path_levels(F.col("event"), UNKNOWN_VALUE)
     level_rows = F.inline(F.array(*[
         F.struct(F.lit(kind).alias("type"), level.alias("prop"))

@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from retinue.functions.days import compact, shift
 from retinue.operators import profile as up
-from retinue.operators.identity import decorated_device_ids, filled_properties, to_groups
+from retinue.operators.identity import decorated, filled_properties, to_groups
 from retinue.operators.skew import HEAVY_ROWS, join_one_to_many
 from retinue.operators.visits import unique_users
 from retinue.settings import UNKNOWN_VALUE
 
 
 def attributes(
-    properties: DataFrame, ids: DataFrame, groups: DataFrame, *attrs: str
+    properties: DataFrame, devices: DataFrame, groups: DataFrame, *attrs: str
 ) -> DataFrame:
     """Distinct (pid, attr, orig_id, val); a device may keep several values."""
     stored = filled_properties(properties, *attrs).select("pid", "uid", "prop", "val").distinct()
-    owned = stored.join(decorated_device_ids(ids), ["pid", "uid"]).drop("uid")
+    owned = stored.join(decorated(devices), ["pid", "uid"]).drop("uid")
     return to_groups(owned, groups).withColumnRenamed("prop", "attr").distinct()
 
 

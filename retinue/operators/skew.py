@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_ROWS = 1_000_000
+MAX_HEAVY_KEYS = 10_000
 
 
 def join_one_to_many(
@@ -21,15 +22,16 @@ def join_one_to_many(
 
     A key with more than ``heavy_rows`` rows in ``many`` is spread over as many slots as
     it needs, and its single row in ``one`` is repeated once per slot. Other keys take
-    slot 0, so the result is that of the plain join. The list of heavy keys has at most
-    rows / ``heavy_rows`` entries; whether that is small enough to broadcast is left to
-    the adaptive planner, which sees its real size.
+    slot 0, so the result is that of the plain join. At most ``MAX_HEAVY_KEYS`` keys, the
+    heaviest, are spread, which bounds what is broadcast; any others join unspread.
     """
     on = list(on)
-    heavy = (
+    heavy = F.broadcast(
         many.groupBy(*on)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > heavy_rows)
+        .orderBy(F.desc("_rows"))
+        .limit(MAX_HEAVY_KEYS)
         .select(*on, F.ceil(F.col("_rows") / heavy_rows).cast("int").alias("_slots"))
     )
     rest = [c for c in many.columns if c not in on]

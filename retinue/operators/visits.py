@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import bounds_ms, shift
-from retinue.operators.identity import device_ids, in_any_group, to_groups
+from retinue.operators.identity import in_any_group, to_groups
 from retinue.settings import HEARTBEAT_PREFIX, VISIT_PREFIX
 
 
@@ -44,31 +44,28 @@ def visit_events(
     )
 
 
-def events_to_devices(
-    visited: DataFrame, ids: DataFrame, unmapped: str | None = None
-) -> DataFrame:
+def events_to_devices(visited: DataFrame, devices: DataFrame) -> DataFrame:
     """Day and device of each visiting uid.
 
     The log shrinks to one row per day and uid before it meets the id map, so a uid that
     fills the log costs one row per map task.
     """
     uids = visited.select("day", "pid", "uid").distinct()
-    return uids.join(device_ids(ids, unmapped), ["pid", "uid"]).drop("uid")
+    return uids.join(devices, ["pid", "uid"]).drop("uid")
 
 
 def visit_rows(
     events: DataFrame,
-    ids: DataFrame,
+    devices: DataFrame,
     groups: DataFrame,
     from_day: str,
     to_day: str,
     heartbeat_pids: Sequence[str] | None = None,
-    unmapped: str | None = None,
     utc_offset_hours: int = 0,
 ) -> DataFrame:
     """(day, orig_id, pid) of visiting devices, not yet de-duplicated."""
     visited = visit_events(events, from_day, to_day, heartbeat_pids, utc_offset_hours)
-    return to_groups(events_to_devices(in_any_group(visited, groups), ids, unmapped), groups)
+    return to_groups(events_to_devices(in_any_group(visited, groups), devices), groups)
 
 
 def visits(*args, **kwargs) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retinue.functions.days import shift
+from retinue.local import local_rows
 from retinue.operators import metrics as M
-from retinue.operators.identity import in_any_group, with_combined
-from retinue.operators.profile import MONTH_DAYS, group_totals, user_profile
+from retinue.operators.identity import device_ids
+from retinue.operators.profile import group_totals, user_profile
 from retinue.operators.registrations import register_bounds
 from retinue.operators.segments import attributes, breakdown
 from retinue.operators.visits import visits
@@ -45,33 +45,53 @@ def user_metrics(
     return rows
 
 
-def stage_users(warehouse: Warehouse, groups: DataFrame, settings: Settings, day: str) -> None:
-    """Write the visits of ``day``, registration bounds and attributes of the groups."""
-    events = warehouse.table("user_event")
-    ids = in_any_group(warehouse.table("user_id"), groups)
-    properties = in_any_group(warehouse.table("user_property"), groups)
-    day_visits = visits(
-        events, ids, groups, day, day, settings.heartbeat_pids,
-        utc_offset_hours=settings.utc_offset_hours,
-    )
-    warehouse.overwrite("user_visit", day_visits.drop("day"), day=day)
-    warehouse.overwrite("user_register_time", register_bounds(properties, ids, groups))
-    kept = groups.where(F.col("grp").isin(*settings.breakdown_groups))
-    for attr in settings.attributes:
-        values = attributes(properties, ids, kept, attr)
-        warehouse.overwrite("user_attribute", values.drop("attr"), attr=attr)
+def group_config(
+    warehouse: Warehouse, groups: DataFrame, settings: Settings
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Configured groups with the roll-up groups added, their names and their members."""
+    rows = {(r.grp, r.member) for r in groups.collect()}
+    for name, parts in settings.combined.items():
+        rows |= {(name, member) for grp, member in rows if grp in parts}
+    local = local_rows(warehouse.spark, sorted(rows), "grp", "member")
+    return local, sorted({grp for grp, _ in rows}), sorted({member for _, member in rows})
+
+
+def stage_devices(warehouse: Warehouse, members: list[str]) -> None:
+    """Write the cleaned id map of the given sub-projects for every later step."""
+    ids = warehouse.table("user_id").where(F.col("pid").isin(*members))
+    warehouse.overwrite_found("user_device", device_ids(ids))
 
 
-def backfill_visits(
+def write_visits(
     warehouse: Warehouse, groups: DataFrame, settings: Settings, from_day: str, to_day: str
 ) -> None:
-    """Write the visits of a range of days in one pass, as daily runs would have."""
-    groups = with_combined(groups, settings.combined)
-    range_visits = visits(
-        warehouse.table("user_event"), in_any_group(warehouse.table("user_id"), groups), groups,
-        from_day, to_day, settings.heartbeat_pids, utc_offset_hours=settings.utc_offset_hours,
+    """Write the visits of a range of days, replacing those days."""
+    groups, _, members = group_config(warehouse, groups, settings)
+    of_members = F.col("pid").isin(*members)
+    rows = visits(
+        warehouse.table("user_event").where(of_members),
+        warehouse.table("user_device").where(of_members),
+        groups, from_day, to_day, settings.heartbeat_pids, settings.utc_offset_hours,
     )
-    warehouse.overwrite("user_visit", range_visits)
+    if from_day == to_day:
+        warehouse.overwrite("user_visit", rows.drop("day"), day=to_day)
+    else:
+        warehouse.overwrite_found("user_visit", rows)
+
+
+def stage_users(warehouse: Warehouse, groups: DataFrame, settings: Settings, day: str) -> None:
+    """Write devices, visits of ``day``, registration bounds and attributes."""
+    local, _, members = group_config(warehouse, groups, settings)
+    stage_devices(warehouse, members)
+    write_visits(warehouse, groups, settings, day, day)
+    of_members = F.col("pid").isin(*members)
+    devices = warehouse.table("user_device").where(of_members)
+    properties = warehouse.table("user_property").where(of_members)
+    warehouse.overwrite("user_register_time", register_bounds(properties, devices, local))
+    kept = local.where(F.col("grp").isin(*settings.breakdown_groups))
+    for attr in settings.attributes:
+        values = attributes(properties, devices, kept, attr)
+        warehouse.overwrite("user_attribute", values.drop("attr"), attr=attr)
 
 
 def run_daily(
@@ -82,16 +102,12 @@ def run_daily(
     Each step reads the tables written by the one before, so later failures never repeat
     the joins behind them. A failed step fails the day and publishes nothing.
     """
-    groups = with_combined(groups, settings.combined)
-    config = groups.collect()
-    names = sorted({r.grp for r in config})
-    members = sorted({r.member for r in config})
+    _, names, members = group_config(warehouse, groups, settings)
     register_inputs(warehouse, members, settings, day)
     stage_users(warehouse, groups, settings, day)
 
-    recent = F.col("day").between(shift(day, MONTH_DAYS - 1), day)
     profile = user_profile(
-        warehouse.table("user_visit").where(recent), warehouse.table("user_register_time"), day
+        warehouse.table("user_visit"), warehouse.table("user_register_time"), day
     )
     warehouse.overwrite("group_totals", group_totals(profile), day=day)
     totals = warehouse.table("group_totals").where(F.col("day") == day).drop("day")

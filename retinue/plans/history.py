@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
 from retinue.operators.history import history_row
+from retinue.operators.identity import device_ids
 from retinue.operators.profile import MONTH_DAYS, group_totals, user_profile
 from retinue.operators.registrations import register_bounds
 from retinue.operators.visits import visit_rows
@@ -30,10 +31,10 @@ def cohort_totals(
     These differ from the daily metrics: heartbeats count in the listed sub-projects
     only, and visitors without a device id count together as one.
     """
-    rows = visit_rows(
-        events, ids, groups, shift(day, MONTH_DAYS - 1), day, heartbeat_pids, UNMAPPED_ID
-    )
-    bounds = register_bounds(properties, ids, groups)
+    visitors = device_ids(ids, UNMAPPED_ID)
+    first_day = shift(day, MONTH_DAYS - 1)
+    rows = visit_rows(events, visitors, groups, first_day, day, heartbeat_pids)
+    bounds = register_bounds(properties, device_ids(ids), groups)
     totals = group_totals(user_profile(rows, bounds, day))
     return totals.select(F.lit(day).alias("day"), "*")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retinue.functions.days import compact, shift
 from retinue.operators.metrics import search_metrics
 from retinue.operators.search import fact_paths, search_by_type, search_cube, search_fact
-from retinue.plans.daily import register_inputs
+from retinue.plans.daily import register_inputs, stage_devices
 from retinue.settings import Settings
 from retinue.sources.store import publish
 from retinue.sources.warehouse import Warehouse
@@ -18,13 +18,10 @@ LAG = 1
 WEEK_START = 6
 
 
-def search_members(groups: DataFrame, settings: Settings) -> DataFrame:
+def search_members(groups: DataFrame, settings: Settings) -> list[str]:
     """Sub-projects whose search events count."""
-    members = groups.where(F.col("grp") == settings.search_group).select("member")
-    if settings.search_extra_members:
-        extra = [(m,) for m in settings.search_extra_members]
-        members = members.union(groups.sparkSession.createDataFrame(extra, "member string"))
-    return members.select(F.col("member").alias("pid")).distinct()
+    of_group = groups.where(F.col("grp") == settings.search_group).collect()
+    return sorted({r.member for r in of_group} | set(settings.search_extra_members))
 
 
 def stage_search(
@@ -33,10 +30,13 @@ def stage_search(
     """Write the search fact of the day before ``day``, in both layouts."""
     scan_day = shift(day, LAG)
     members = search_members(groups, settings)
-    register_inputs(warehouse, sorted(r.pid for r in members.collect()), settings, scan_day)
-    events = warehouse.table("user_event").join(members, "pid", "left_semi")
+    register_inputs(warehouse, members, settings, scan_day)
+    stage_devices(warehouse, members)
+    of_members = F.col("pid").isin(*members)
     scope = (
-        events, warehouse.table("user_id"), warehouse.table("user_property"),
+        warehouse.table("user_event").where(of_members),
+        warehouse.table("user_device").where(of_members),
+        warehouse.table("user_property").where(of_members),
         scan_day, scan_day, settings.search_event,
     )
     stored_day = compact(scan_day)

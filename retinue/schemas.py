@@ -19,6 +19,7 @@ USER_EVENT = _schema(
 )
 USER_PROPERTY = _schema(("uid", STRING), ("val", STRING), ("pid", STRING), ("prop", STRING))
 USER_ID = _schema(("uid", STRING), ("orig_id", STRING), ("pid", STRING))
+USER_DEVICE = _schema(("uid", STRING), ("orig_id", STRING), ("pid", STRING))
 USER_VISIT = _schema(("orig_id", STRING), ("day", STRING), ("pid", STRING))
 USER_REGISTER_TIME = _schema(
     ("orig_id", STRING), ("max_reg_time", STRING), ("min_reg_time", STRING), ("pid", STRING)
@@ -51,6 +52,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "user_event": (USER_EVENT, ("day", "pid")),
     "user_property": (USER_PROPERTY, ("pid", "prop")),
     "user_id": (USER_ID, ("pid",)),
+    "user_device": (USER_DEVICE, ("pid",)),
     "user_visit": (USER_VISIT, ("day", "pid")),
     "user_register_time": (USER_REGISTER_TIME, ("pid",)),
     "user_attribute": (USER_ATTRIBUTE, ("attr", "pid")),

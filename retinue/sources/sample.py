@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
 from retinue.functions.ids import md5uid
+from retinue.local import local_rows
+from retinue.operators.identity import device_ids
 
 GROUPS = {
     "g1": ("p0", "p1"),
@@ -38,6 +40,7 @@ END"""
 class Inputs:
     events: DataFrame
     ids: DataFrame
+    devices: DataFrame
     properties: DataFrame
     groups: DataFrame
 
@@ -114,15 +117,17 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def groups(spark: SparkSession) -> DataFrame:
     rows = [(grp, member) for grp, members in GROUPS.items() for member in members]
-    return spark.createDataFrame(rows, "grp string, member string")
+    return local_rows(spark, rows, "grp", "member")
 
 
 def load(
     spark: SparkSession, sf_dir: str, from_day: str | None = None, to_day: str | None = None
 ) -> Inputs:
+    ids = id_map(spark, sf_dir)
     return Inputs(
         events(spark, sf_dir, from_day, to_day),
-        id_map(spark, sf_dir),
+        ids,
+        device_ids(ids),
         properties(spark, sf_dir),
         groups(spark),
     )
