@@ -90,11 +90,13 @@ class Warehouse:
 
     def overwrite_found(self, table: str, rows: DataFrame) -> None:
         """Replace only the partitions that ``rows`` has rows for, keeping the others."""
-        schema, partitions = TABLES[table]
-        columns = [f.name for f in schema if f.name not in partitions] + list(partitions)
-        packed = rows.select(*columns).hint("rebalance", *partitions)
-        writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(self.name(table))
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            self.overwrite(table, rows)
+        finally:
+            self.spark.conf.set(mode, before)
 
     def add_partitions(self, table: str, specs: list[dict[str, str]]) -> None:
         """Register the given partitions without listing the whole table."""

@@ -1,0 +1,44 @@
+import random
+
+import pytest
+
+from retinue.operators.skew import join_one_to_many
+
+
+def relations(spark, seed=0, n=2_000):
+    rng = random.Random(seed)
+    ones = [("g", f"k{i}", i) for i in range(60)]
+    # A third of the rows belong to one key; some keys match nothing on either side.
+    keys = ["k0" if rng.random() < 0.34 else f"k{rng.randrange(5, 80)}" for _ in range(n)]
+    many = [("g", k, f"v{i}") for i, k in enumerate(keys)]
+    return (spark.createDataFrame(ones, "pid string, id string, n int"),
+            spark.createDataFrame(many, "pid string, id string, val string"))
+
+
+@pytest.mark.parametrize("keep_one", [False, True])
+@pytest.mark.parametrize("heavy_rows", [1, 7, 50, 10_000])
+def test_same_rows_as_the_plain_join(spark, keep_one, heavy_rows):
+    one, many = relations(spark)
+    got = join_one_to_many(one, many, ["pid", "id"], keep_one, heavy_rows)
+    plain = one.join(many, ["pid", "id"], "left" if keep_one else "inner")
+    assert got.columns == plain.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_duplicate_rows_survive(spark):
+    one = spark.createDataFrame([("a", 1)], "id string, n int")
+    many = spark.createDataFrame([("a", "x")] * 9, "id string, val string")
+    assert join_one_to_many(one, many, ["id"], True, 2).count() == 9
+
+
+def test_heavy_key_is_spread(spark):
+    one, many = relations(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_one_to_many(one, many, ["pid", "id"], heavy_rows=50)
+        sizes = joined.where("id = 'k0'").rdd.glom().map(len).collect()
+        assert sum(size > 0 for size in sizes) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
