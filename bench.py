@@ -61,8 +61,8 @@ def main() -> None:
             x.properties, warehouse.table("user_device"), x.groups, "nation").drop("attr"),
             attr="nation"),
         "stage_search": lambda: warehouse.overwrite("user_search", search.search_fact(
-            x.events, warehouse.table("user_device"), x.properties, back(29), DAY, PREFIX
-        ).withColumn("day", stored_day)),
+            search.search_paths(x.events, warehouse.table("user_device"), x.properties,
+                                back(29), DAY, PREFIX)).withColumn("day", stored_day)),
     }
     seconds = {name: timed(stage) for name, stage in stages.items()}
 

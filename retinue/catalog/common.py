@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
 from retinue.operators.registrations import register_bounds
+from retinue.operators.search import search_paths
 from retinue.operators.segments import attributes
 from retinue.operators.visits import visits
 from retinue.sources import sample
@@ -73,6 +74,10 @@ def nations_of(x: Inputs) -> DataFrame:
     return attributes(x.properties, x.devices, x.groups, "nation")
 
 
+def found_in(x: Inputs, from_day: str | None = None, to_day: str | None = None) -> DataFrame:
+    return search_paths(x.events, x.devices, x.properties, from_day, to_day, PREFIX)
+
+
 def as_double(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 

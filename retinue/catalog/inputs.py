@@ -16,13 +16,13 @@ from retinue.catalog.common import (
     back,
     bounds_of,
     everything,
+    found_in,
     month,
     new_warehouse,
     stage_text,
     today,
     totals_sql,
     visits_of,
-    week,
 )
 from retinue.functions import ids as I
 from retinue.functions import paths as P
@@ -82,7 +82,7 @@ FROM fact WHERE day BETWEEN '{back(6)}' AND '{back(1)}'""")
 def _(spark, sf_dir):
     x = month(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    fact = search.search_fact(x.events, x.devices, x.properties, back(29), DAY, PREFIX)
+    fact = search.search_fact(found_in(x, back(29), DAY))
     stored = fact.withColumn("day", F.replace("day", F.lit("-"), F.lit("")))
     warehouse.overwrite("user_search", stored)
     first, last = compact(back(6)), compact(back(1))

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from retinue.catalog.common import (
     DAY,
     HEARTBEAT_PIDS,
+    MD5UID,
     PREFIX,
     Catalog,
     as_double,
     back,
     bounds_of,
     everything,
+    found_in,
     month,
     nations_of,
     new_warehouse,
@@ -24,7 +26,7 @@ from retinue.catalog.common import (
 from retinue.catalog.inputs import TOTAL_ROWS
 from retinue.catalog.scalars import search_key_sql
 from retinue.catalog.searches import CUBE_DAY, cube_sql
-from retinue.catalog.users import SET_RULES, _active_sql, _page_views
+from retinue.catalog.users import SET_RULES, active_sql, page_views
 from retinue.functions.days import compact, shift
 from retinue.operators import history, search
 from retinue.operators import metrics as M
@@ -33,7 +35,7 @@ from retinue.operators.visits import visits
 from retinue.plans.daily import run_daily, stage_devices, write_visits
 from retinue.plans.history import republish as republish_job
 from retinue.plans.history import run_history
-from retinue.plans.search import run_search, stage_search
+from retinue.plans.search import run_search, run_search_levels, stage_search
 from retinue.settings import Settings
 from retinue.sources import sample, store
 from retinue.sources.warehouse import shared_dir
@@ -103,7 +105,7 @@ SELECT '{compact(CUBE_DAY)}' AS day, uid, ev3 || ',' || ev4 || ',' || ev5 || ','
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    fact = search.search_fact(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    fact = search.search_fact(found_in(x, CUBE_DAY, CUBE_DAY))
     warehouse.overwrite("user_search", fact.drop("day"), day=compact(CUBE_DAY))
     stored = warehouse.table("user_search")
     return as_double(stored.withColumn("events", F.array_join("events", ",")), "value")
@@ -115,7 +117,7 @@ SELECT replace(day, '-', '') AS day, type, uid, prop, CAST(1 AS BIGINT) AS num,
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     warehouse = new_warehouse(spark)
-    typed = search.search_by_type(x.events, x.devices, x.properties, None, None, PREFIX)
+    typed = search.search_by_type(found_in(x))
     stored_day = F.replace("day", F.lit("-"), F.lit(""))
     warehouse.overwrite("user_search_by_type", typed.withColumn("day", stored_day))
     return as_double(warehouse.table("user_search_by_type"), "value")
@@ -171,11 +173,10 @@ SELECT cache_key, label, cnt, value, users FROM ({CUBE_KEYS}) k
 UNION ALL SELECT z.k, z.l, 0, 0.0, 0 FROM {RESET_KEYS} z(k, l)""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
-    paths = search.user_paths(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    paths = search.user_paths(found_in(x, CUBE_DAY, CUBE_DAY))
     rows = M.search_metrics(
         search.search_cube(paths), "g1", CUBE_DAY, CUBE_DAY, CUBE_DAY, PREFIX)
-    one = x.groups.agg(F.count("*").alias("n"))
-    merged = M.reset_then(rows, M.reset_rows(one, "g1", DAY, PREFIX))
+    merged = M.reset_then(rows, M.reset_rows(spark, "g1", DAY, PREFIX))
     return as_double(merged.select("cache_key", "label", "cnt", "value", "users"), "value")
 
 
@@ -199,27 +200,6 @@ def _(spark, sf_dir):
     return warehouse.table("user_visit").groupBy("pid", "day").agg(F.count("*").alias("users"))
 
 
-@add("publish_level_metrics", f"""
-SELECT CASE x.kind WHEN 'COMMON' THEN 'COMMON,g1,{CUBE_DAY},{CUBE_DAY},{PREFIX}.' || CASE type
-      WHEN 'event3' THEN prop || '.*' WHEN 'event4' THEN '*.' || prop || '.*'
-      WHEN 'event5' THEN '*.*.' || prop || '.*' ELSE '*' END || ','
-      || CASE type WHEN 'nation' THEN '{{"nation":"' || prop || '"}}' ELSE 'TOTAL_USER' END
-      || ',VF-ALL-0-0,PERIOD'
-    ELSE 'GROUP,g1,{CUBE_DAY},{CUBE_DAY},{PREFIX}.*,TOTAL_USER,VF-ALL-0-0,' || CASE type
-      WHEN 'event3' THEN 'EVENT,2' WHEN 'event4' THEN 'EVENT,3' WHEN 'event5' THEN 'EVENT,4'
-      ELSE 'USER_PROPERTIES,nation' END END AS cache_key,
-  CASE x.kind WHEN 'COMMON' THEN '{CUBE_DAY} 00:00' ELSE prop END AS label,
-  CAST(sum(count) AS BIGINT) AS cnt, CAST(sum(value) AS DOUBLE) AS value,
-  count(DISTINCT uid) AS users
-FROM typed, (VALUES ('COMMON'), ('GROUP')) x(kind) WHERE day = '{CUBE_DAY}'
-GROUP BY x.kind, type, prop""")
-def _(spark, sf_dir):
-    x = week(spark, sf_dir)
-    typed = search.search_by_type(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
-    rows = M.level_metrics(search.by_level(typed, CUBE_DAY, CUBE_DAY), "g1", CUBE_DAY, PREFIX)
-    return as_double(rows.select("cache_key", "label", "cnt", "value", "users"), "value")
-
-
 # --- jobs ------------------------------------------------------------------------------------
 
 
@@ -234,7 +214,7 @@ def _daily_run(spark, sf_dir):
     groups = _config(x)
     stage_devices(warehouse, ["p0", "p1", "p2", "p3", "p4"])
     write_visits(warehouse, groups, SETTINGS, back(29), back(1))
-    store.publish(warehouse, _page_views(x), DAY, "page_views")
+    store.publish(warehouse, page_views(x), DAY, "page_views")
     root = shared_dir(spark)
     return warehouse, root, run_daily(warehouse, groups, SETTINGS, DAY, root)
 
@@ -265,7 +245,7 @@ def _daily_sql() -> str:
     parts.append(f"""SELECT 'COMMON,all,{DAY},{DAY},visit.*,{{"category":"' ||
       CASE pid WHEN 'g1' THEN '1' ELSE '2' END || '"}},VF-ALL-0-0,PERIOD', '{DAY} 00:00',
       CASE pid WHEN 'g1' THEN pv.views ELSE 0 END, users
-      FROM ({_active_sql(DAY)}) a, pv WHERE pid IN ('g1', 'g2')""")
+      FROM ({active_sql(DAY)}) a, pv WHERE pid IN ('g1', 'g2')""")
     for event, column in (("int1cover", "cover_users"), ("int1totalnew", "total_new")):
         parts.append(f"""SELECT 'COMMON,g1,{DAY},{DAY},{event}.*,{{{_cohort(DAY)}}},'
           || 'VF-ALL-0-0,PERIOD', '{DAY} 00:00', 0, {column} FROM ({totals_sql(DAY)}) t
@@ -353,3 +333,66 @@ def _(spark, sf_dir):
         stage_search(warehouse, _config(x), SETTINGS, back(n))
     rows = run_search(warehouse, SETTINGS, DAY, "week")
     return as_double(rows.select("cache_key", "label", "cnt", "value", "users"), "value")
+
+
+def _level_sql(first: str, last: str, end: str, kinds: str) -> str:
+    """Level breakdown of a period; COMMON rows filter by a value, GROUP rows list it."""
+    return f"""SELECT CASE k.kind WHEN 'COMMON' THEN 'COMMON,g1,{first},{end},{PREFIX}.' || CASE type
+      WHEN 'event3' THEN prop || '.*' WHEN 'event4' THEN '*.' || prop || '.*'
+      WHEN 'event5' THEN '*.*.' || prop || '.*' ELSE '*' END || ','
+      || CASE type WHEN 'nation' THEN '{{"nation":"' || prop || '"}}' ELSE 'TOTAL_USER' END
+      || ',VF-ALL-0-0,PERIOD'
+    ELSE 'GROUP,g1,{first},{end},{PREFIX}.*,TOTAL_USER,VF-ALL-0-0,' || CASE type
+      WHEN 'event3' THEN 'EVENT,2' WHEN 'event4' THEN 'EVENT,3' WHEN 'event5' THEN 'EVENT,4'
+      ELSE 'USER_PROPERTIES,nation' END END AS cache_key,
+  CASE k.kind WHEN 'COMMON' THEN '{CUBE_DAY} 00:00' ELSE prop END AS label,
+  CAST(sum(count) AS BIGINT) AS cnt, CAST(sum(value) AS DOUBLE) AS value,
+  count(DISTINCT uid) AS users
+FROM g1_typed, (VALUES {kinds}) k(kind) WHERE day BETWEEN '{first}' AND '{last}'
+GROUP BY k.kind, type, prop"""
+
+
+# The breakdown by type restricted to the sub-projects of the search group.
+G1_TYPED = """, g1_sev AS (SELECT * FROM sev WHERE pid IN ('p0', 'p1')),
+g1_typed AS (
+  SELECT day, type, prop, uid, CAST(sum(count) AS BIGINT) AS count, sum(value) AS value FROM (
+    SELECT s.day, d.orig_id AS uid, t.type, s.value, 1 AS count,
+      coalesce(nullif(split_part(s.event, '.', t.part), ''), 'XA-NA') AS prop
+    FROM g1_sev s JOIN dev d ON d.pid = s.pid AND d.uid = s.uid,
+      (VALUES ('event3', 3), ('event4', 4), ('event5', 5)) t(type, part)) x
+  GROUP BY day, type, prop, uid
+  UNION ALL
+  SELECT s.day, 'nation', coalesce(min(n.nation), 'XA-NA'), d.orig_id,
+    CAST(count(*) AS BIGINT), sum(s.value)
+  FROM g1_sev s JOIN dev d ON d.pid = s.pid AND d.uid = s.uid
+  LEFT JOIN nat n ON n.pid = s.pid AND n.uid = """ + MD5UID.format("s.uid") + """
+  GROUP BY s.day, d.orig_id)
+"""
+
+
+@add("search_level_metrics", G1_TYPED + f"""
+SELECT 'COMMON,g1,{CUBE_DAY},{CUBE_DAY},{PREFIX}.*,TOTAL_USER,VF-ALL-0-0,PERIOD' AS cache_key,
+  '{CUBE_DAY} 00:00' AS label, CAST(sum(count) AS BIGINT) AS cnt,
+  CAST(sum(value) AS DOUBLE) AS value, count(DISTINCT uid) AS users
+FROM g1_typed WHERE day = '{CUBE_DAY}' AND type = 'nation'
+UNION ALL ({_level_sql(CUBE_DAY, CUBE_DAY, CUBE_DAY, "('COMMON'), ('GROUP')")})
+UNION ALL ({_level_sql(back(6), CUBE_DAY, DAY, "('GROUP')")})""")
+def _(spark, sf_dir):
+    x = month(spark, sf_dir)
+    warehouse = new_warehouse(spark, x)
+    for n in range(5, -1, -1):
+        stage_search(warehouse, _config(x), SETTINGS, back(n))
+    rows = run_search_levels(warehouse, SETTINGS, DAY)
+    return as_double(rows.select("cache_key", "label", "cnt", "value", "users"), "value")
+
+
+@add("search_metrics_reset", f"""
+SELECT * FROM ({search_key_sql(CUBE_DAY, CUBE_DAY, CUBE_DAY,
+                               cube_sql(CUBE_DAY, CUBE_DAY, IN_G1))}) k
+UNION ALL SELECT z.k, z.l, 0, 0.0, 0 FROM {RESET_KEYS} z(k, l)""")
+def _(spark, sf_dir):
+    x = week(spark, sf_dir)
+    warehouse = new_warehouse(spark, x)
+    stage_search(warehouse, _config(x), SETTINGS, DAY)
+    rows = run_search(warehouse, SETTINGS, DAY, "day", today=shift(DAY, -1))
+    return as_double(rows.select("cache_key", "label", "cnt", "value", "users"), "value")

@@ -12,6 +12,7 @@ from retinue.catalog.common import (
     as_double,
     back,
     everything,
+    found_in,
     week,
 )
 from retinue.catalog.searches import CUBE_DAY, cube_sql
@@ -131,7 +132,7 @@ FROM ({cells}) c"""
      f"({search_key_sql(CUBE_DAY, CUBE_DAY, CUBE_DAY, cube_sql(CUBE_DAY, CUBE_DAY))}) k")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
-    paths = search.user_paths(x.events, x.devices, x.properties, CUBE_DAY, CUBE_DAY, PREFIX)
+    paths = search.user_paths(found_in(x, CUBE_DAY, CUBE_DAY))
     rows = search_metrics(search.search_cube(paths), "g1", CUBE_DAY, CUBE_DAY, CUBE_DAY, PREFIX)
     return rows.select("cache_key", "label")
 
@@ -153,7 +154,7 @@ FROM (SELECT type, prop, count(DISTINCT uid) AS users, CAST(sum(count) AS BIGINT
   GROUP BY type, prop) x""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
-    typed = search.search_by_type(x.events, x.devices, x.properties, back(6), DAY, PREFIX)
+    typed = search.search_by_type(found_in(x, back(6), DAY))
     levels = search.by_level(typed, back(6), DAY)
     entry = K.metric_entry(F.col("cnt"), F.col("value"), F.col("users"), F.lit(1.0))
     rows = levels.select("type", "prop", entry.alias("e")).select(

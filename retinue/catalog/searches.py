@@ -11,6 +11,7 @@ from retinue.catalog.common import (
     as_double,
     back,
     everything,
+    found_in,
     month,
     week,
 )
@@ -31,11 +32,11 @@ WHERE day BETWEEN '{first}' AND '{last}' {members} GROUP BY ALL"""
 
 
 def _all_paths(x):
-    return search.user_paths(x.events, x.devices, x.properties, None, None, PREFIX)
+    return search.user_paths(found_in(x))
 
 
 def _typed(x):
-    return search.search_by_type(x.events, x.devices, x.properties, None, None, PREFIX)
+    return search.search_by_type(found_in(x))
 
 
 @add("search_user_rollup", """
@@ -62,7 +63,7 @@ SELECT day, uid, ev3 || ',' || ev4 || ',' || ev5 || ',' || nation AS events, cou
   CAST(value AS DOUBLE) AS value FROM fact""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
-    fact = search.search_fact(x.events, x.devices, x.properties, None, None, PREFIX)
+    fact = search.search_fact(found_in(x))
     return as_double(fact.withColumn("events", F.array_join("events", ",")), "value")
 
 
@@ -111,7 +112,7 @@ def _(spark, sf_dir):
 
 
 def _paths(x, first: str, last: str):
-    return search.user_paths(x.events, x.devices, x.properties, first, last, PREFIX)
+    return search.user_paths(found_in(x, first, last))
 
 
 @add("search_wildcard_cube", cube_sql(CUBE_DAY, CUBE_DAY))

@@ -129,13 +129,13 @@ def _(spark, sf_dir):
 # --- counts per group --------------------------------------------------------------------
 
 
-def _active_sql(first: str) -> str:
+def active_sql(first: str) -> str:
     return (f"SELECT pid, count(DISTINCT orig_id) AS users FROM vis "
             f"WHERE day BETWEEN '{first}' AND '{DAY}' GROUP BY pid")
 
 
 def _add_active(name: str, days: int) -> None:
-    @add(name, _active_sql(back(days - 1)))
+    @add(name, active_sql(back(days - 1)))
     def _(spark, sf_dir):
         return V.active_users(visits_of(month(spark, sf_dir), days), DAY, days)
 
@@ -310,7 +310,7 @@ def _daily_rows(x):
     return M.total_metrics(actives, DAY, M.TOTALS[:1])
 
 
-def _page_views(x):
+def page_views(x):
     """Page views as already stored under the daily-active keys."""
     pages = x.events.where(F.col("event").startswith("visit.") & (F.col("day") == DAY))
     counted = identity.to_groups(pages.select("pid"), x.groups).groupBy("pid").agg(
@@ -329,17 +329,17 @@ DAILY_KEY = f"',{DAY},{DAY},visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD'"
 SELECT 'COMMON,' || pid || {DAILY_KEY} AS cache_key, '{DAY} 00:00' AS label,
   CASE WHEN pid = 'g1' THEN (SELECT count(*) FROM ev WHERE pid IN ('p0', 'p1')
     AND day = '{DAY}' AND event LIKE 'visit.%') ELSE 0 END AS cnt, users
-FROM ({_active_sql(DAY)}) a""")
+FROM ({active_sql(DAY)}) a""")
 def _(spark, sf_dir):
     x = today(spark, sf_dir)
-    rows = M.with_page_views(_daily_rows(x), _page_views(x), "g1", DAY)
+    rows = M.with_page_views(_daily_rows(x), page_views(x), "g1", DAY)
     return rows.select("cache_key", "label", "cnt", "users")
 
 
 @add("category_alias", f"""
 SELECT 'COMMON,all,{DAY},{DAY},visit.*,{{"category":"' || CASE pid WHEN 'g1' THEN '1' ELSE '2' END
   || '"}},VF-ALL-0-0,PERIOD' AS cache_key, '{DAY} 00:00' AS label, users
-FROM ({_active_sql(DAY)}) a WHERE pid IN ('g1', 'g2')""")
+FROM ({active_sql(DAY)}) a WHERE pid IN ('g1', 'g2')""")
 def _(spark, sf_dir):
     aliased = M.category_alias(_daily_rows(today(spark, sf_dir)), Settings().categories, DAY)
     return aliased.select("cache_key", "label", "users")

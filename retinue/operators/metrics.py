@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.functions import keys as K
@@ -14,10 +14,12 @@ from retinue.local import local_rows
 from retinue.operators.skew import join_one_to_many
 from retinue.schemas import METRICS, VALUE
 from retinue.settings import (
+    ANY,
     COVER_EVENT,
     GRP_CODES,
     GRP_NONE,
     NATION,
+    NO_GROUP_KEY,
     SAMPLE_RATE,
     TOTAL_NEW_EVENT,
     TOTAL_USER,
@@ -163,47 +165,62 @@ def search_metrics(
     return finish(keyed, F.col("cnt"), F.col("value"))
 
 
-def level_metrics(levels: DataFrame, project: str, day: str, event: str) -> DataFrame:
-    """One-dimensional search breakdown as COMMON and GROUP rows of one day."""
-    levels = levels.withColumns({
-        d: F.when(F.col("type") == t, F.col("prop")).otherwise(F.lit("*"))
-        for t, d in (("event3", "ev3"), ("event4", "ev4"), ("event5", "ev5"), (NATION, NATION))
-    })
-    start = F.lit(day)
-    grp = F.when(F.col("type") == NATION, GRP_CODES[NATION])
-    for t, d in (("event3", "ev3"), ("event4", "ev4"), ("event5", "ev5")):
-        grp = grp.when(F.col("type") == t, GRP_CODES[d])
-    common = levels.withColumns({"grp": F.lit(GRP_NONE), "label": F.lit(day_label(day))})
-    wildcard = {d: F.lit("*") for d in ("ev3", "ev4", "ev5", NATION)}
-    grouped = levels.withColumns({"grp": grp, "label": F.col("prop"), **wildcard})
-    rows = common.unionByName(grouped).withColumns(
-        {"project": F.lit(project), "start_day": start, "end_day": start}
-    ).withColumns(K.search_key_parts(start, start, event))
-    return finish(rows, F.col("cnt"), F.col("value"))
-
-
-def reset_rows(template: DataFrame, project: str, day: str, event: str) -> DataFrame:
+LEVEL_DIMENSIONS = {"event3": "ev3", "event4": "ev4", "event5": "ev5", NATION: NATION}
+
+
+def _as_cells(rows: DataFrame, grp: Column, key: Column, **fixed: Column) -> DataFrame:
+    """Rows in the shape of a search cube: unnamed dimensions are wildcards."""
+    dims = {d: fixed.get(d, F.lit(ANY)) for d in LEVEL_DIMENSIONS.values()}
+    return rows.select(
+        *[c.alias(d) for d, c in dims.items()], grp.alias("grp"), key.alias("grpkey"),
+        "users", "cnt", "value",
+    )
+
+
+def total_cells(total: DataFrame) -> DataFrame:
+    """The overall search measures as an ungrouped cube row."""
+    return _as_cells(total, F.lit(GRP_NONE), F.lit(NO_GROUP_KEY))
+
+
+def level_cells(levels: DataFrame) -> DataFrame:
+    """One-dimensional search breakdown as cube rows filtered by each value."""
+    fixed = {
+        d: F.when(F.col("type") == t, F.col("prop")).otherwise(ANY)
+        for t, d in LEVEL_DIMENSIONS.items()
+    }
+    return _as_cells(levels, F.lit(GRP_NONE), F.lit(NO_GROUP_KEY), **fixed)
+
+
+def level_groups(levels: DataFrame) -> DataFrame:
+    """One-dimensional search breakdown as cube rows grouped by the level."""
+    code = F.create_map(
+        *[F.lit(x) for t, d in LEVEL_DIMENSIONS.items() for x in (t, GRP_CODES[d])]
+    )
+    return _as_cells(levels, code[F.col("type")], F.col("prop"))
+
+
+def reset_rows(spark: SparkSession, project: str, day: str, event: str) -> DataFrame:
     """Zero entries for the summary keys of ``day``, so that stale values disappear.
 
-    ``template`` is any one-row relation; the keys are the total and one per dimension.
+    The keys are the overall total and one breakdown per dimension.
     """
-    codes = [*GRP_CODES.values(), GRP_NONE]
-    stars = [F.lit("*").alias(d) for d in ("ev3", "ev4", "ev5", NATION)]
-    zeros = [F.struct(*stars, F.lit(c).alias("grp"), F.lit(0).alias("users")) for c in codes]
-    start = F.lit(day)
-    rows = template.select(F.inline(F.array(*zeros))).withColumns({
-        "project": F.lit(project),
-        "start_day": start,
-        "end_day": start,
-        "label": F.when(F.col("grp") == GRP_NONE, day_label(day)).otherwise("null"),
-    })
-    rows = rows.withColumns(K.search_key_parts(start, start, event))
-    return finish(rows.withColumn("users", F.col("users").cast("bigint")))
+    codes = local_rows(spark, [(c,) for c in (*GRP_CODES.values(), GRP_NONE)], "grp")
+    zero = F.lit(0).cast("bigint")
+    cells = _as_cells(
+        codes.select("grp", zero.alias("users"), zero.alias("cnt"), zero.alias("value")),
+        F.col("grp"), F.lit("null"),
+    )
+    return search_metrics(cells, project, day, day, day, event)
 
 
 def reset_then(rows: DataFrame, zeros: DataFrame) -> DataFrame:
-    """``rows``, plus the zeros whose key ``rows`` does not write."""
-    return rows.unionByName(zeros.join(rows.select("cache_key"), "cache_key", "left_anti"))
+    """``rows``, plus the zeros whose key ``rows`` does not write.
+
+    There are five zeros, so their keys can be sent to the rows whatever their number.
+    """
+    keys = F.broadcast(zeros.select("cache_key"))
+    written = rows.select("cache_key").join(keys, "cache_key", "left_semi").distinct()
+    return rows.unionByName(zeros.join(written, "cache_key", "left_anti"))
 
 
 def merge_metric_sets(first: DataFrame, *later: DataFrame) -> DataFrame:

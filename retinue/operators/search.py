@@ -77,21 +77,38 @@ def attach_identity(rows: DataFrame, devices: DataFrame, properties: DataFrame)
     return mapped.join(stored, same_user, "left").drop(stored["pid"], stored["uid"])
 
 
-def user_paths(events: DataFrame, devices: DataFrame, properties: DataFrame,
-               from_day: str | None, to_day: str | None, prefix: str) -> DataFrame:
+def search_paths(
+    events: DataFrame,
+    devices: DataFrame,
+    properties: DataFrame,
+    from_day: str | None,
+    to_day: str | None,
+    prefix: str,
+) -> DataFrame:
+    """Per day, sub-project, uid and event path: device, nation, count and value.
+
+    Both stored layouts derive from this one pass over the log.
+    """
+    per_path = (
+        search_events(events, from_day, to_day, prefix)
+        .groupBy("day", "pid", "uid", "event")
+        .agg(F.count("*").alias("count"), F.sum("value").alias("value"))
+    )
+    return attach_identity(per_path, devices, properties)
+
+
+def user_paths(found: DataFrame) -> DataFrame:
     """Per day, sub-project and device: first path levels, nation, count and value.
 
     Several uids of a sub-project that share a device are added up under its smallest
     path and nation.
     """
-    rollup = user_rollup(search_events(events, from_day, to_day, prefix))
     return (
-        attach_identity(rollup, devices, properties)
-        .groupBy("day", "pid", "orig_id")
+        found.groupBy("day", "pid", "orig_id")
         .agg(
             F.sum("count").alias("count"),
             F.sum("value").alias("value"),
-            F.min("first_event").alias("first_event"),
+            F.min("event").alias("first_event"),
             F.min(NATION).alias(NATION),
         )
         .select(
@@ -103,9 +120,9 @@ def user_paths(events: DataFrame, devices: DataFrame, properties: DataFrame,
     )
 
 
-def search_fact(*args, **kwargs) -> DataFrame:
+def search_fact(found: DataFrame) -> DataFrame:
     """Stored form of ``user_paths``: (day, uid, events, count, value)."""
-    return user_paths(*args, **kwargs).select(
+    return user_paths(found).select(
         "day", "uid", F.array(*DIMENSIONS).alias("events"), "count", "value"
     )
 
@@ -120,18 +137,11 @@ def fact_paths(fact: DataFrame, from_day: str, to_day: str) -> DataFrame:
 # --- one dimension at a time -------------------------------------------------------
 
 
-def search_by_type(events: DataFrame, devices: DataFrame, properties: DataFrame,
-                   from_day: str | None, to_day: str | None, prefix: str) -> DataFrame:
+def search_by_type(found: DataFrame) -> DataFrame:
     """(day, type, uid, prop, num, count, value): one row per user, level and value.
 
     Levels keep every path of a user; the nation is one per user and day.
     """
-    per_path = (
-        search_events(events, from_day, to_day, prefix)
-        .groupBy("day", "pid", "uid", "event")
-        .agg(F.count("*").alias("count"), F.sum("value").alias("value"))
-    )
-    owned = attach_identity(per_path, devices, properties)
     levels = path_levels(F.col("event"), UNKNOWN_VALUE)
     level_rows = F.inline(F.array(*[
         F.struct(F.lit(kind).alias("type"), level.alias("prop"))
@@ -140,12 +150,12 @@ def search_by_type(events: DataFrame, devices: DataFrame, properties: DataFrame,
     measures = (F.lit(1).cast("bigint").alias("num"), F.sum("count").alias("count"),
                 F.sum("value").alias("value"))
     by_level = (
-        owned.select("day", "orig_id", "count", "value", level_rows)
+        found.select("day", "orig_id", "count", "value", level_rows)
         .groupBy("day", "type", "orig_id", "prop")
         .agg(*measures)
     )
     by_nation = (
-        owned.groupBy("day", "orig_id")
+        found.groupBy("day", "orig_id")
         .agg(F.coalesce(F.min(NATION), F.lit(UNKNOWN_VALUE)).alias("prop"), *measures)
         .withColumn("type", F.lit(NATION))
     )

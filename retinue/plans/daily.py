@@ -120,7 +120,7 @@ def run_daily(
     # What this family published today is about to be replaced and must not be read. The
     # checkpoint is needed because a table cannot be read and overwritten in one plan.
     stored = warehouse.table("metrics").where(
-        (F.col("run_day") <= day) & (F.col("family") != FAMILY)
+        (F.col("run_day") == day) & (F.col("family") != FAMILY)
     )
     rows = user_metrics(totals, breakdowns, stored, names, settings, day)
     publish(warehouse, cut_lineage(rows), day, FAMILY)

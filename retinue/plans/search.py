@@ -6,8 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import compact, shift
-from retinue.operators.metrics import search_metrics
-from retinue.operators.search import fact_paths, search_by_type, search_cube, search_fact
+from retinue.operators.metrics import (
+    level_cells,
+    level_groups,
+    reset_rows,
+    reset_then,
+    search_metrics,
+    total_cells,
+)
+from retinue.operators.search import (
+    by_level,
+    fact_paths,
+    search_by_type,
+    search_cube,
+    search_fact,
+    search_paths,
+    search_total,
+)
 from retinue.plans.daily import register_inputs, stage_devices
 from retinue.settings import Settings
 from retinue.sources.store import publish
@@ -33,16 +48,18 @@ def stage_search(
     register_inputs(warehouse, members, settings, scan_day)
     stage_devices(warehouse, members)
     of_members = F.col("pid").isin(*members)
-    scope = (
+    found = search_paths(
         warehouse.table("user_event").where(of_members),
         warehouse.table("user_device").where(of_members),
         warehouse.table("user_property").where(of_members),
         scan_day, scan_day, settings.search_event,
     )
     stored_day = compact(scan_day)
-    warehouse.overwrite("user_search", search_fact(*scope).drop("day"), day=stored_day)
+    warehouse.overwrite("user_search_path", found.drop("day"), day=stored_day)
+    found = warehouse.table("user_search_path").where(F.col("day") == stored_day)
+    warehouse.overwrite("user_search", search_fact(found).drop("day"), day=stored_day)
     warehouse.overwrite(
-        "user_search_by_type", search_by_type(*scope).drop("day"), day=stored_day
+        "user_search_by_type", search_by_type(found).drop("day"), day=stored_day
     )
 
 
@@ -60,15 +77,49 @@ def search_rows(
     return search_metrics(cube, settings.search_group, first, end, last, settings.search_event)
 
 
+def _published(warehouse: Warehouse, day: str, family: str) -> DataFrame:
+    return warehouse.table("metrics").where(
+        (F.col("run_day") == day) & (F.col("family") == family)
+    )
+
+
 def run_search(
-    warehouse: Warehouse, settings: Settings, day: str, period: str = "day"
+    warehouse: Warehouse,
+    settings: Settings,
+    day: str,
+    period: str = "day",
+    today: str | None = None,
 ) -> DataFrame:
-    """Publish the search combinations of ``day``; returns what was published."""
+    """Publish the search combinations of ``day``; returns what was published.
+
+    If ``day`` is the day before ``today``, its own keys, for which there is no data yet,
+    are set to zero.
+    """
     if period not in ("day", "week"):
         raise ValueError(f"period must be 'day' or 'week', not {period!r}")
-    family = f"search_{period}"
-    publish(warehouse, search_rows(warehouse.table("user_search"), settings, day, period),
-            day, family)
-    return warehouse.table("metrics").where(
-        (F.col("run_day") == day) & (F.col("family") == family)
+    rows = search_rows(warehouse.table("user_search"), settings, day, period)
+    if today is not None and shift(today, 1) == day:
+        zeros = reset_rows(warehouse.spark, settings.search_group, day, settings.search_event)
+        rows = reset_then(rows, zeros)
+    publish(warehouse, rows, day, f"search_{period}")
+    return _published(warehouse, day, f"search_{period}")
+
+
+def level_rows(typed: DataFrame, settings: Settings, day: str) -> DataFrame:
+    """One-dimensional search metrics: the last data day in full, the week as groups."""
+    last, first = shift(day, LAG), shift(day, WEEK_START)
+    of_day = by_level(typed, compact(last), compact(last))
+    of_week = by_level(typed, compact(first), compact(last))
+    total = search_total(typed, compact(last), compact(last))
+    cells = total_cells(total).unionByName(level_cells(of_day)).unionByName(level_groups(of_day))
+    project, event = settings.search_group, settings.search_event
+    return search_metrics(cells, project, last, last, last, event).unionByName(
+        search_metrics(level_groups(of_week), project, first, day, last, event)
     )
+
+
+def run_search_levels(warehouse: Warehouse, settings: Settings, day: str) -> DataFrame:
+    """Publish the one-dimensional search metrics of ``day``."""
+    rows = level_rows(warehouse.table("user_search_by_type"), settings, day)
+    publish(warehouse, rows, day, "search_levels")
+    return _published(warehouse, day, "search_levels")

@@ -25,6 +25,10 @@ USER_REGISTER_TIME = _schema(
     ("orig_id", STRING), ("max_reg_time", STRING), ("min_reg_time", STRING), ("pid", STRING)
 )
 USER_ATTRIBUTE = _schema(("orig_id", STRING), ("val", STRING), ("attr", STRING), ("pid", STRING))
+USER_SEARCH_PATH = _schema(
+    ("uid", STRING), ("orig_id", STRING), ("event", STRING), ("nation", STRING),
+    ("count", LONG), ("value", VALUE), ("day", STRING), ("pid", STRING),
+)
 USER_SEARCH = _schema(
     ("uid", STRING), ("events", T.ArrayType(STRING)), ("count", LONG), ("value", VALUE),
     ("day", STRING),
@@ -56,6 +60,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "user_visit": (USER_VISIT, ("day", "pid")),
     "user_register_time": (USER_REGISTER_TIME, ("pid",)),
     "user_attribute": (USER_ATTRIBUTE, ("attr", "pid")),
+    "user_search_path": (USER_SEARCH_PATH, ("day", "pid")),
     "user_search": (USER_SEARCH, ("day",)),
     "user_search_by_type": (USER_SEARCH_BY_TYPE, ("day", "type")),
     "group_totals": (GROUP_TOTALS, ("day", "pid")),

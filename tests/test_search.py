@@ -154,9 +154,13 @@ def search_inputs(spark):
     return events, devices, properties
 
 
+def found(spark):
+    return search.search_paths(*search_inputs(spark), "d", "d", "pay.search2")
+
+
 def test_user_paths_merge_uids_of_a_device(spark):
     """First path per table; unmapped users drop out, unknown nations stay wildcards."""
-    paths = search.user_paths(*search_inputs(spark), "d", "d", "pay.search2")
+    paths = search.user_paths(found(spark))
     got = sorted((r.pid, r.uid, r.ev3, r.ev4, r.nation, r["count"], float(r.value))
                  for r in paths.collect())
     assert got == [("p", "x", "a", "*", "br", 3, 7.0), ("p", "y", "*", "*", "*", 1, 8.0),
@@ -164,7 +168,7 @@ def test_user_paths_merge_uids_of_a_device(spark):
 
 
 def test_levels_keep_every_path(spark):
-    typed = search.search_by_type(*search_inputs(spark), "d", "d", "pay.search2")
+    typed = search.search_by_type(found(spark))
     got = {(r.type, r.prop): (r.users, r.cnt, float(r.value))
            for r in search.by_level(typed, "d", "d").collect()}
     assert got[("event3", "a")] == (1, 2, 6.0)
@@ -178,6 +182,6 @@ def test_levels_keep_every_path(spark):
 
 
 def test_totals_agree_over_types(spark):
-    typed = search.search_by_type(*search_inputs(spark), "d", "d", "pay.search2")
+    typed = search.search_by_type(found(spark))
     sums = typed.groupBy("type").agg(F.sum("count").alias("c"), F.sum("value").alias("v"))
     assert {(r.c, float(r.v)) for r in sums.collect()} == {(5, 31.0)}

@@ -159,7 +159,7 @@ def test_checkpoint_goes_to_the_shared_folder(spark):
 
 def totals(spark, **values):
     names = [s.metric for s in (*M.TOTALS, *M.COVER)]
-    row = ("internet-1", *[values.get(n, 0) for n in names])
+    row = ("site-1", *[values.get(n, 0) for n in names])
     return spark.createDataFrame([row], "pid string, " + ", ".join(f"{n} long" for n in names))
 
 
@@ -171,13 +171,13 @@ def test_total_keys(spark):
     """Keys as readers of the store know them."""
     rows = by_key(M.total_metrics(totals(spark, dau=5, wau=9, ret_week=2), "2014-08-13"))
     label = "2014-08-13 00:00"
-    assert rows[("COMMON,internet-1,2014-08-13,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,site-1,2014-08-13,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 5
-    assert rows[("COMMON,internet-1,2014-08-06,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,site-1,2014-08-06,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 9
-    assert rows[("COMMON,internet-1,2014-07-14,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,site-1,2014-07-14,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 0
-    week = ('COMMON,internet-1,2014-08-07,2014-08-13,visit.*,{"register_time":'
+    week = ('COMMON,site-1,2014-08-07,2014-08-13,visit.*,{"register_time":'
             '{"$gte":"2014-08-06","$lte":"2014-08-06"}},VF-ALL-0-0,PERIOD')
     assert rows[(week, label)] == 2
     assert len(rows) == 7
@@ -187,25 +187,25 @@ def test_cover_keys(spark):
     rows = by_key(M.total_metrics(totals(spark, cover_users=3, total_new=7), "2014-08-24", M.COVER))
     tail = ('{"register_time":{"$gte":"2014-08-24","$lte":"2014-08-24"}},VF-ALL-0-0,PERIOD',
             "2014-08-24 00:00")
-    head = "COMMON,internet-1,2014-08-24,2014-08-24,"
+    head = "COMMON,site-1,2014-08-24,2014-08-24,"
     assert rows == {(head + "int1cover.*," + tail[0], tail[1]): 3,
                     (head + "int1totalnew.*," + tail[0], tail[1]): 7}
 
 
 def test_breakdown_keys(spark):
     names = [s.metric for s in M.BREAKDOWN]
-    row = ("internet-1", "us", *[1 if n in ("active", "new_7d", "ladder_2") else 0 for n in names])
+    row = ("site-1", "us", *[1 if n in ("active", "new_7d", "ladder_2") else 0 for n in names])
     counts = spark.createDataFrame(
         [row], "pid string, attr_value string, " + ", ".join(f"{n} long" for n in names))
     rows = by_key(M.breakdown_metrics(counts, "2015-01-08", "geoip"))
     assert set(rows) == {
-        ('COMMON,internet-1,2015-01-08,2015-01-08,visit.*,{"geoip":"us"},VF-ALL-0-0,PERIOD',
+        ('COMMON,site-1,2015-01-08,2015-01-08,visit.*,{"geoip":"us"},VF-ALL-0-0,PERIOD',
          "2015-01-08 00:00"),
-        ("GROUP,internet-1,2015-01-08,2015-01-08,visit.*,TOTAL_USER,VF-ALL-0-0,"
+        ("GROUP,site-1,2015-01-08,2015-01-08,visit.*,TOTAL_USER,VF-ALL-0-0,"
          "USER_PROPERTIES,geoip", "us"),
-        ('GROUP,internet-1,2015-01-02,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-02",'
+        ('GROUP,site-1,2015-01-02,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-02",'
          '"$lte":"2015-01-08"}},VF-ALL-0-0,USER_PROPERTIES,geoip', "us"),
-        ('GROUP,internet-1,2015-01-06,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-06",'
+        ('GROUP,site-1,2015-01-06,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-06",'
          '"$lte":"2015-01-06"}},VF-ALL-0-0,USER_PROPERTIES,geoip', "us"),
     }
 
@@ -216,32 +216,32 @@ CUBE = "ev3 string, ev4 string, ev5 string, nation string, grp string, grpkey st
 
 @pytest.mark.parametrize("cells,start,end,key,label", [
     (("hppp", "cor", "google", "*", "6", "-"), "2014-12-19", "2014-12-19",
-     "COMMON,internet-1,2014-12-19,2014-12-19,pay.search2.hppp.cor.google.*,TOTAL_USER,"
+     "COMMON,site-1,2014-12-19,2014-12-19,pay.search2.hppp.cor.google.*,TOTAL_USER,"
      "VF-ALL-0-0,PERIOD", "2014-12-19 00:00"),
     (("sc", "*", "google", "*", "3", "cor"), "2014-12-19", "2014-12-19",
-     "GROUP,internet-1,2014-12-19,2014-12-19,pay.search2.sc.*.google.*,TOTAL_USER,VF-ALL-0-0,"
+     "GROUP,site-1,2014-12-19,2014-12-19,pay.search2.sc.*.google.*,TOTAL_USER,VF-ALL-0-0,"
      "EVENT,3", "cor"),
     (("*", "*", "*", "ru", "6", "-"), "2014-12-19", "2014-12-19",
-     'COMMON,internet-1,2014-12-19,2014-12-19,pay.search2.*,{"nation":"ru"},VF-ALL-0-0,PERIOD',
+     'COMMON,site-1,2014-12-19,2014-12-19,pay.search2.*,{"nation":"ru"},VF-ALL-0-0,PERIOD',
      "2014-12-19 00:00"),
     (("*", "*", "*", "*", "5", "us"), "2014-12-03", "2014-12-09",
-     "GROUP,internet-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,"
+     "GROUP,site-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,"
      "USER_PROPERTIES,nation", "us"),
     (("*", "*", "*", "*", "6", "-"), "2014-12-03", "2014-12-09",
-     "GROUP,internet-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,EVENT,6",
+     "GROUP,site-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,EVENT,6",
      "2014-12-19 00:00"),
 ])
 def test_search_keys(spark, cells, start, end, key, label):
     from decimal import Decimal
 
     cube = spark.createDataFrame([(*cells, 1, 2, Decimal(3))], CUBE)
-    row = M.search_metrics(cube, "internet-1", start, end, "2014-12-19", "pay.search2").first()
+    row = M.search_metrics(cube, "site-1", start, end, "2014-12-19", "pay.search2").first()
     assert (row.cache_key, row.label) == (key, label)
     assert (row.users, row.cnt, int(row.value), row.sample_rate) == (1, 2, 3, 1.0)
 
 
 def test_reset_rows_do_not_touch_written_keys(spark):
-    zeros = M.reset_rows(spark.range(1), "g1", DAY, "pay.search2")
+    zeros = M.reset_rows(spark, "g1", DAY, "pay.search2")
     assert {r.label for r in zeros.collect()} == {"null", DAY + " 00:00"}
     assert zeros.count() == 5
     written = zeros.limit(1).withColumn("users", F.lit(9).cast("bigint"))
@@ -251,8 +251,8 @@ def test_reset_rows_do_not_touch_written_keys(spark):
 
 
 def test_missing_groups_are_published_as_zero(spark):
-    rows = M.with_all_groups(totals(spark, dau=5), ["internet-1", "quiet"])
-    assert {r.pid: r.dau for r in rows.collect()} == {"internet-1": 5, "quiet": 0}
+    rows = M.with_all_groups(totals(spark, dau=5), ["site-1", "quiet"])
+    assert {r.pid: r.dau for r in rows.collect()} == {"site-1": 5, "quiet": 0}
 
 
 # --- store ----------------------------------------------------------------------------
