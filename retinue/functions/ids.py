@@ -35,12 +35,12 @@ MD5UID_SQL = (
 
 
 def truncate_uid(uid: Column) -> Column:
-    return uid.cast("bigint").bitwiseAND(F.lit(LOW_32))
+    return uid.try_cast("bigint").bitwiseAND(F.lit(LOW_32))
 
 
 def search_row_key(day: Column, event: Column, decorated_uid: Column) -> Column:
     """Binary key: 8-char day, event path, one separator byte, 5-byte big-endian uid."""
-    uid_hex = F.lpad(F.hex(decorated_uid.cast("bigint")), 10, "0")
+    uid_hex = F.lpad(F.hex(decorated_uid.try_cast("bigint")), 10, "0")
     return F.concat(
         F.encode(F.concat(day, event), "UTF-8"), F.unhex(F.lit("FF")), F.unhex(uid_hex)
     )

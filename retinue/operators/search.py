@@ -71,10 +71,9 @@ def nations(properties: DataFrame) -> DataFrame:
 
 def attach_identity(rows: DataFrame, devices: DataFrame, properties: DataFrame) -> DataFrame:
     """Device id (unmapped users drop out) and nation (null if unknown) of uid rows."""
-    mapped = rows.join(devices, ["pid", "uid"])
-    stored = nations(properties)
-    same_user = (mapped["pid"] == stored["pid"]) & (md5uid(mapped["uid"]) == stored["uid"])
-    return mapped.join(stored, same_user, "left").drop(stored["pid"], stored["uid"])
+    stored = nations(properties).withColumnRenamed("uid", "stored_uid")
+    mapped = rows.join(devices, ["pid", "uid"]).withColumn("stored_uid", md5uid(F.col("uid")))
+    return mapped.join(stored, ["pid", "stored_uid"], "left").drop("stored_uid")
 
 
 def search_paths(

@@ -114,11 +114,16 @@ def run_daily(
 
     in_breakdown = F.col("pid").isin(*settings.breakdown_groups)
     attrs = warehouse.table("user_attribute").where(in_breakdown)
-    breakdowns = {
-        attr: breakdown(profile.where(in_breakdown), attrs, attr) for attr in settings.attributes
-    }
+    breakdowns = {}
+    for attr in settings.attributes:
+        counts = breakdown(profile.where(in_breakdown), attrs, attr)
+        warehouse.overwrite("group_breakdown", counts, day=day, attr=attr)
+        breakdowns[attr] = warehouse.table("group_breakdown").where(
+            (F.col("day") == day) & (F.col("attr") == attr)
+        )
     # What this family published today is about to be replaced and must not be read. The
-    # checkpoint is needed because a table cannot be read and overwritten in one plan.
+    # checkpoint, of rows that are all derived from the two small tables above, is needed
+    # because a table cannot be read and overwritten in one plan.
     stored = warehouse.table("metrics").where(
         (F.col("run_day") == day) & (F.col("family") != FAMILY)
     )

@@ -46,6 +46,12 @@ METRICS = _schema(
 TOTALS = ("dau", "wau", "mau", "new_users", "cover_users", "total_new", "ret_day2", "ret_day7",
           "ret_week")
 GROUP_TOTALS = _schema(*((m, LONG) for m in TOTALS), ("day", STRING), ("pid", STRING))
+BREAKDOWNS = ("active", "new", "new_7d", "ret_day2", "ret_day7", "ret_week", "ladder_5",
+              "ladder_4", "ladder_3", "ladder_2")
+GROUP_BREAKDOWN = _schema(
+    ("pid", STRING), ("attr_value", STRING), *((m, LONG) for m in BREAKDOWNS),
+    ("day", STRING), ("attr", STRING),
+)
 HISTORY_METRICS = ("dau", "wau", "mau", "new_users", "ret_week", "ret_day2", "ret_day7")
 
 # Raw inputs, kept as tab-separated text where others write them.
@@ -64,5 +70,6 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "user_search": (USER_SEARCH, ("day",)),
     "user_search_by_type": (USER_SEARCH_BY_TYPE, ("day", "type")),
     "group_totals": (GROUP_TOTALS, ("day", "pid")),
+    "group_breakdown": (GROUP_BREAKDOWN, ("day", "attr")),
     "metrics": (METRICS, ("run_day", "family")),
 }

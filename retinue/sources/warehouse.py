@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the cluster's shared folder; a temporary one only where none is set."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
 

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from retinue.functions import ids as I
 from retinue.operators import search
 
 PATHS = ("day string, uid string, ev3 string, ev4 string, ev5 string, nation string, "
@@ -185,3 +186,18 @@ def test_totals_agree_over_types(spark):
     typed = search.search_by_type(found(spark))
     sums = typed.groupBy("type").agg(F.sum("count").alias("c"), F.sum("value").alias("v"))
     assert {(r.c, float(r.v)) for r in sums.collect()} == {(5, 31.0)}
+
+
+def test_inputs_may_share_their_origin(spark):
+    """Ids and properties cut from one table must not confuse the joins."""
+    users = spark.createDataFrame(
+        [("p", "1", "x", "us"), ("p", "2", "y", "de")],
+        "pid string, uid string, orig_id string, val string")
+    devices = users.select("pid", "uid", "orig_id")
+    properties = users.select(
+        "pid", I.md5uid(F.col("uid")).alias("uid"), F.lit("nation").alias("prop"), "val")
+    events = users.select("pid", "uid", F.lit("pay.search2.a").alias("event"),
+                          F.lit(1.5).alias("value"), F.lit("d").alias("day"))
+    paths = search.user_paths(
+        search.search_paths(events, devices, properties, "d", "d", "pay.search2"))
+    assert sorted((r.uid, r.nation) for r in paths.collect()) == [("x", "us"), ("y", "de")]

@@ -172,3 +172,19 @@ def test_day_filter_reaches_the_scan(spark):
     events = C.today(spark, SF).events
     plan = events._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+
+
+def test_skewed_inputs_equal_brute_force(spark):
+    """A third of the log is one uid, a third of the uids share one device."""
+    ts = bounds_ms(DAY)[0]
+    log = [("a" if i % 4 else "b", "0" if i % 3 == 0 else str(i % 200), "visit.x", str(ts + i), DAY)
+           for i in range(6_000)]
+    ids = [(p, str(u), "shared" if u % 3 == 0 else f"d{u}") for p in "ab" for u in range(150)]
+    groups = {"g": "ab", "h": "b"}
+    expected = {
+        (g, device) for p, uid, *_ in log for i, u, device in ids if (i, u) == (p, uid)
+        for g, members in groups.items() if p in members
+    }
+    events, devices = events_of(spark, *log), devices_of(spark, *ids)
+    got = V.visits(events, devices, groups_of(spark), DAY, DAY).collect()
+    assert sorted((r.pid, r.orig_id) for r in got) == sorted(expected)
