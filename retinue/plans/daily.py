@@ -1,4 +1,4 @@
-"""Daily user metrics: stage the three user tables, count, publish."""
+"""Daily user metrics: stage the user tables, count, publish."""
 
 from __future__ import annotations
 
@@ -65,7 +65,11 @@ def stage_devices(warehouse: Warehouse, members: list[str]) -> None:
 def write_visits(
     warehouse: Warehouse, groups: DataFrame, settings: Settings, from_day: str, to_day: str
 ) -> None:
-    """Write the visits of a range of days, replacing those days."""
+    """Write the visits of a range of days.
+
+    A single day is replaced as a whole; in a longer range, a backfill, the groups that
+    have visitors on a day.
+    """
     groups, _, members = group_config(warehouse, groups, settings)
     of_members = F.col("pid").isin(*members)
     rows = visits(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _spec(values: dict[str, str]) -> str:
-    return ", ".join(f"{k}='{v}'" for k, v in values.items())
+    return ", ".join(f"{k}={_quoted(v)}" for k, v in values.items())
+
+
+def _listed(partition: str) -> dict[str, str]:
+    """Values of a listed partition, whose special characters are percent-encoded."""
+    pairs = (p.split("=", 1) for p in partition.split("/"))
+    return {k: unquote(v) for k, v in pairs}
 
 
 class Warehouse:
@@ -120,6 +132,5 @@ class Warehouse:
     def _drop(self, table: str, partitions: list[str]) -> None:
         if not partitions:
             return
-        specs = (dict(p.split("=", 1) for p in part.split("/")) for part in partitions)
-        clauses = ", ".join(f"PARTITION ({_spec(s)})" for s in specs)
+        clauses = ", ".join(f"PARTITION ({_spec(_listed(p))})" for p in partitions)
         self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {clauses}")

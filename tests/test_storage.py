@@ -130,6 +130,20 @@ def test_expire_drops_old_days_and_their_files(spark):
     assert warehouse.expire("user_visit", DAY) == []
 
 
+def test_partition_values_with_special_characters(spark):
+    warehouse = new_warehouse(spark)
+    name = "it's a:b\\c"
+    warehouse.overwrite_found("user_visit", visits(spark, ("a", "2023-01-01", name)))
+    rows = visits(spark, ("b", DAY, name)).drop("day")
+    warehouse.overwrite("user_visit", rows, day=DAY)
+    warehouse.expire("user_visit", DAY)
+    assert stored(warehouse) == [("b", DAY, name)]
+    values = spark.createDataFrame([("a", "v", "g")], "orig_id string, val string, pid string")
+    for _ in range(2):
+        warehouse.overwrite("user_attribute", values, attr=name)
+    assert stored(warehouse, "user_attribute") == [("a", "v", name, "g")]
+
+
 def test_partitions_are_discovered_and_added(spark, tmp_path):
     for day in ("2024-01-19", DAY):
         write_lines(f"{tmp_path}/user_event/day={day}/pid=a", ["p\t1\tvisit.x\t1\t5"])
