@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import licences, mixing, neighbours, packing, sharding, toxicity, urls
+from retinue.llm import jaccard, licences, mixing, neighbours, packing, sharding, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set of word runs and its group."""
+    return jaccard.similar(_table(spark, sf_dir, "documents"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every twentieth vector, among all vectors."""
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op5_urls": op5_urls,
+    "op6_jaccard": op6_jaccard,
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
 }
