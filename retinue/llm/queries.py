@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import jaccard, licences, mixing, neighbours, packing, sharding, toxicity, urls
+from retinue.llm import (
+    fingerprints,
+    jaccard,
+    licences,
+    mixing,
+    neighbours,
+    packing,
+    sharding,
+    toxicity,
+    urls,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +57,11 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(_table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint, an edited text's, and how alike they are."""
+    return fingerprints.compare(_table(spark, sf_dir, "documents"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every twentieth vector, among all vectors."""
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
@@ -64,6 +79,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_urls": op5_urls,
     "op6_jaccard": op6_jaccard,
+    "op7_fingerprints": op7_fingerprints,
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
 }
