@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retinue.llm import (
     fingerprints,
     jaccard,
+    katz,
     licences,
     mixing,
     neighbours,
@@ -72,6 +73,11 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its log probability under the model of nine tenths of them."""
+    return katz.judge(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -82,6 +88,7 @@ QUERIES = {
     "op7_fingerprints": op7_fingerprints,
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
+    "op10_katz": op10_katz,
 }
 
 _OP2 = r"""
