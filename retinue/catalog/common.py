@@ -163,7 +163,7 @@ nat AS (
   SELECT pid, uid, min(val) AS nation FROM props WHERE prop = 'nation' AND trim(val) <> ''
   GROUP BY pid, uid),
 sev AS (
-  SELECT event_id, day, pid, uid, event, CAST(value AS DECIMAL(18,6)) AS value
+  SELECT event_id, day, pid, uid, event, CAST(CAST(value AS VARCHAR) AS DECIMAL(38,18)) AS value
   FROM ev WHERE starts_with(event, 'pay.search2')),
 roll AS (
   SELECT day, pid, uid, count(*) AS count, sum(value) AS value, min(event) AS first_event

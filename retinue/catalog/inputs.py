@@ -68,7 +68,7 @@ def _(spark, sf_dir):
 
 
 @add("scan_search_events", f"""
-SELECT event_id, day, pid, uid, event, CAST(value AS DOUBLE) AS value FROM sev
+SELECT event_id, day, pid, uid, event, CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM sev
 WHERE day = '{DAY}'""")
 def _(spark, sf_dir):
     rows = search.search_events(today(spark, sf_dir).events, DAY, DAY, PREFIX)
@@ -77,7 +77,7 @@ def _(spark, sf_dir):
 
 @add("scan_search_fact", f"""
 SELECT replace(day, '-', '') AS day, uid, ev3, ev4, ev5, nation, count,
-  CAST(value AS DOUBLE) AS value
+  CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value
 FROM fact WHERE day BETWEEN '{back(6)}' AND '{back(1)}'""")
 def _(spark, sf_dir):
     x = month(spark, sf_dir)

@@ -91,8 +91,8 @@ def _(spark, sf_dir):
 
 
 @add("export_metrics_json", f"""
-SELECT '{{"' || replace(cache_key, '"', '\\"') || '":{{"' || label || '":[0.000000,0.000000,'
-  || users || '.000000,1.000000]}}}}' AS document FROM ({TOTAL_ROWS}) t""")
+SELECT '{{"' || replace(cache_key, '"', '\\"') || '":{{"' || label || '":[0,0,'
+  || users || ',1]}}}}' AS document FROM ({TOTAL_ROWS}) t""")
 def _(spark, sf_dir):
     path = store.export_json(
         M.total_metrics(_totals(month(spark, sf_dir)), DAY), shared_dir(spark), DAY, "users")
@@ -101,7 +101,7 @@ def _(spark, sf_dir):
 
 @add("write_search_fact", f"""
 SELECT '{compact(CUBE_DAY)}' AS day, uid, ev3 || ',' || ev4 || ',' || ev5 || ',' || nation
-  AS events, count, CAST(value AS DOUBLE) AS value FROM fact WHERE day = '{CUBE_DAY}'""")
+  AS events, count, CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM fact WHERE day = '{CUBE_DAY}'""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
     warehouse = new_warehouse(spark)
@@ -113,7 +113,7 @@ def _(spark, sf_dir):
 
 @add("write_search_by_type", """
 SELECT replace(day, '-', '') AS day, type, uid, prop, CAST(1 AS BIGINT) AS num, count,
-  CAST(value AS DOUBLE) AS value FROM typed""")
+  CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM typed""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     warehouse = new_warehouse(spark)
@@ -305,7 +305,7 @@ IN_G1 = "AND pid IN ('p0', 'p1')"
 
 @add("search_stage", f"""
 SELECT '{compact(CUBE_DAY)}' AS day, uid, ev3 || ',' || ev4 || ',' || ev5 || ',' || nation
-  AS events, count, CAST(value AS DOUBLE) AS value FROM fact WHERE day = '{CUBE_DAY}' {IN_G1}""")
+  AS events, count, CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM fact WHERE day = '{CUBE_DAY}' {IN_G1}""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)
     warehouse = new_warehouse(spark, x)
@@ -346,7 +346,7 @@ def _level_sql(first: str, last: str, end: str, kinds: str) -> str:
       WHEN 'event3' THEN 'EVENT,2' WHEN 'event4' THEN 'EVENT,3' WHEN 'event5' THEN 'EVENT,4'
       ELSE 'USER_PROPERTIES,nation' END END AS cache_key,
   CASE k.kind WHEN 'COMMON' THEN '{CUBE_DAY} 00:00' ELSE prop END AS label,
-  CAST(sum(count) AS BIGINT) AS cnt, CAST(sum(value) AS DOUBLE) AS value,
+  CAST(sum(count) AS BIGINT) AS cnt, CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value,
   count(DISTINCT uid) AS users
 FROM g1_typed, (VALUES {kinds}) k(kind) WHERE day BETWEEN '{first}' AND '{last}'
 GROUP BY k.kind, type, prop"""
@@ -373,7 +373,7 @@ g1_typed AS (
 @add("search_level_metrics", G1_TYPED + f"""
 SELECT 'COMMON,g1,{CUBE_DAY},{CUBE_DAY},{PREFIX}.*,TOTAL_USER,VF-ALL-0-0,PERIOD' AS cache_key,
   '{CUBE_DAY} 00:00' AS label, CAST(sum(count) AS BIGINT) AS cnt,
-  CAST(sum(value) AS DOUBLE) AS value, count(DISTINCT uid) AS users
+  CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value, count(DISTINCT uid) AS users
 FROM g1_typed WHERE day = '{CUBE_DAY}' AND type = 'nation'
 UNION ALL ({_level_sql(CUBE_DAY, CUBE_DAY, CUBE_DAY, "('COMMON'), ('GROUP')")})
 UNION ALL ({_level_sql(back(6), CUBE_DAY, DAY, "('GROUP')")})""")

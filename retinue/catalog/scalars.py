@@ -150,7 +150,7 @@ def _(spark, sf_dir):
 SELECT type, prop, cnt AS entry_count, value AS entry_value, users AS entry_users,
   1.0::DOUBLE AS entry_rate
 FROM (SELECT type, prop, count(DISTINCT uid) AS users, CAST(sum(count) AS BIGINT) AS cnt,
-  CAST(sum(value) AS DOUBLE) AS value FROM typed WHERE day BETWEEN '{back(6)}' AND '{DAY}'
+  CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value FROM typed WHERE day BETWEEN '{back(6)}' AND '{DAY}'
   GROUP BY type, prop) x""")
 def _(spark, sf_dir):
     x = week(spark, sf_dir)

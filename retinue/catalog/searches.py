@@ -23,7 +23,7 @@ add = catalog.add
 
 CUBE_DAY = back(1)
 MEASURES = """count(DISTINCT uid) AS users, CAST(sum(count) AS BIGINT) AS cnt,
-  CAST(sum(value) AS DOUBLE) AS value"""
+  CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value"""
 
 
 def cube_sql(first: str, last: str, members: str = "") -> str:
@@ -40,7 +40,7 @@ def _typed(x):
 
 
 @add("search_user_rollup", """
-SELECT day, pid, uid, CAST(count AS BIGINT) AS count, CAST(value AS DOUBLE) AS value FROM roll""")
+SELECT day, pid, uid, CAST(count AS BIGINT) AS count, CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM roll""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     rollup = search.user_rollup(search.search_events(x.events, None, None, PREFIX))
@@ -60,7 +60,7 @@ def _(spark, sf_dir):
 
 @add("search_fact", """
 SELECT day, uid, ev3 || ',' || ev4 || ',' || ev5 || ',' || nation AS events, count,
-  CAST(value AS DOUBLE) AS value FROM fact""")
+  CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM fact""")
 def _(spark, sf_dir):
     x = everything(spark, sf_dir)
     fact = search.search_fact(found_in(x))
@@ -69,14 +69,14 @@ def _(spark, sf_dir):
 
 @add("merge_same_user", """
 SELECT uid, CAST(1 AS BIGINT) AS users, CAST(sum(count) AS BIGINT) AS count,
-  CAST(sum(value) AS DOUBLE) AS value FROM fact GROUP BY uid""")
+  CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value FROM fact GROUP BY uid""")
 def _(spark, sf_dir):
     return as_double(search.merge_same_user(_all_paths(everything(spark, sf_dir)), "uid"), "value")
 
 
 @add("merge_diff_user", """
 SELECT pid, ev3, count(*) AS users, CAST(sum(count) AS BIGINT) AS count,
-  CAST(sum(value) AS DOUBLE) AS value
+  CAST(CAST(sum(value) AS VARCHAR) AS DOUBLE) AS value
 FROM (SELECT pid, ev3, uid, sum(count) AS count, sum(value) AS value FROM fact
   GROUP BY pid, ev3, uid) x GROUP BY pid, ev3""")
 def _(spark, sf_dir):
@@ -103,7 +103,7 @@ def _(spark, sf_dir):
 
 
 @add("search_level_reconciliation", f"""
-SELECT t.type, CAST(sum(f.count) AS BIGINT) AS cnt, CAST(sum(f.value) AS DOUBLE) AS value
+SELECT t.type, CAST(sum(f.count) AS BIGINT) AS cnt, CAST(CAST(sum(f.value) AS VARCHAR) AS DOUBLE) AS value
 FROM fact f, (VALUES ('event3'), ('event4'), ('event5'), ('nation')) t(type) GROUP BY t.type""")
 def _(spark, sf_dir):
     typed = _typed(everything(spark, sf_dir))

@@ -45,7 +45,7 @@ METRIC_KEY_SQL = (
 
 def metric_entry(cnt, value, users, rate) -> Column:
     """``[count, value, users, rate]`` as stored under a label."""
-    number = "decimal(38,6)"
+    number = "decimal(38,18)"
     return F.array(*(c.cast(number) for c in (cnt, value, users, rate)))
 
 

@@ -26,8 +26,11 @@ def device_ids(ids: DataFrame, unmapped: str | None = None) -> DataFrame:
 
 
 def decorated(devices: DataFrame) -> DataFrame:
-    """Devices keyed by the decorated uid under which properties are stored."""
-    return devices.withColumn("uid", md5uid(F.col("uid")))
+    """Devices keyed by the decorated uid under which properties are stored.
+
+    A uid that is not a number has no decorated form and therefore no properties.
+    """
+    return devices.withColumn("uid", md5uid(F.col("uid"))).where(F.col("uid") != "")
 
 
 def to_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -42,7 +45,8 @@ def in_any_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def filled_properties(properties: DataFrame, *props: str) -> DataFrame:
-    return properties.where(F.col("prop").isin(*props) & is_filled(F.col("val")))
+    named = is_filled(F.col("uid")) & is_filled(F.col("val"))
+    return properties.where(F.col("prop").isin(*props) & named)
 
 
 def register_times(properties: DataFrame) -> DataFrame:

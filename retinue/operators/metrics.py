@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from retinue.functions import keys as K
 from retinue.functions.days import shift
 from retinue.local import local_rows
-from retinue.operators.skew import join_one_to_many
 from retinue.schemas import METRICS, VALUE
 from retinue.settings import (
     ANY,
@@ -223,21 +222,35 @@ def reset_then(rows: DataFrame, zeros: DataFrame) -> DataFrame:
     return rows.unionByName(zeros.join(written, "cache_key", "left_anti"))
 
 
+#: Page views give way to the user metrics that carry them on, and the breakdown by single
+#: levels, which counts every path, to the combinations, which count a user's first path.
+FAMILY_ORDER = ("page_views", "search_levels", "search_week", "search_day", "users")
+
+
 def merge_metric_sets(first: DataFrame, *later: DataFrame) -> DataFrame:
     """Union of metric sets; a key written by several keeps the entries of the last one."""
     merged = first.select(*first.columns, F.lit(0).alias("_order"))
     for i, rows in enumerate(later, 1):
         merged = merged.unionByName(rows.withColumn("_order", F.lit(i)))
     last = merged.groupBy("cache_key").agg(F.max("_order").alias("_last"))
-    kept = join_one_to_many(last, merged, ["cache_key"])
+    kept = merged.join(last, "cache_key")
     return kept.where(F.col("_order") == F.col("_last")).select(*first.columns)
 
 
 def current_metrics(metrics: DataFrame) -> DataFrame:
-    """The entries a reader of the store sees: per key those of its latest run."""
+    """The entries a reader of the store sees: per key those of its latest run.
+
+    There is one entry for each key and label. If several families wrote it that day, it is
+    that of the last one in ``FAMILY_ORDER``; families not named there come first, by name.
+    """
     last = metrics.groupBy("cache_key").agg(F.max("run_day").alias("_last"))
-    kept = join_one_to_many(last, metrics, ["cache_key"])
-    return kept.where(F.col("run_day") == F.col("_last")).select(*metrics.columns)
+    latest = metrics.join(last, "cache_key").where(F.col("run_day") == F.col("_last"))
+    owner = F.struct(
+        F.array_position(F.array(*[F.lit(f) for f in FAMILY_ORDER]), F.col("family")), "family")
+    rest = [c for c in metrics.columns if c not in ("cache_key", "label")]
+    entries = latest.groupBy("cache_key", "label").agg(
+        F.max_by(F.struct(*rest), owner).alias("_entry"))
+    return entries.select("cache_key", "label", "_entry.*").select(*metrics.columns)
 
 
 def previous_counts(wanted: DataFrame, metrics: DataFrame) -> DataFrame:

@@ -72,7 +72,8 @@ def nations(properties: DataFrame) -> DataFrame:
 def attach_identity(rows: DataFrame, devices: DataFrame, properties: DataFrame) -> DataFrame:
     """Device id (unmapped users drop out) and nation (null if unknown) of uid rows."""
     stored = nations(properties).withColumnRenamed("uid", "stored_uid")
-    mapped = rows.join(devices, ["pid", "uid"]).withColumn("stored_uid", md5uid(F.col("uid")))
+    stored_uid = F.nullif(md5uid(F.col("uid")), F.lit(""))
+    mapped = rows.join(devices, ["pid", "uid"]).withColumn("stored_uid", stored_uid)
     return mapped.join(stored, ["pid", "stored_uid"], "left").drop("stored_uid")
 
 
@@ -277,14 +278,15 @@ def search_cube(
     row. Here users meet on one partition first. Those with a single path and nation,
     the bulk, are counted per path without naming them; only users with several are
     spread over the cells, and de-duplicated where they are. What is shuffled after
-    that is cells. Before users meet they hold one row per distinct path and nation, so
-    a device that owns much of the log brings no more rows than there are paths.
+    that is cells. The stored fact has one row for each day, sub-project and device, so a
+    device brings no more rows than that, and dealing the rows by user once serves the sum
+    per path and the count of paths.
     """
     rows = contiguous(paths)
     if drop_full_path_without_nation:
         rows = _drop_literal_gap(rows)
     measures = (F.sum("count").alias("count"), F.sum("value").alias("value"))
-    per_path = rows.groupBy("uid", *DIMENSIONS).agg(*measures).repartition("uid")
+    per_path = rows.repartition("uid").groupBy("uid", *DIMENSIONS).agg(*measures)
     paths_of_user = F.expr("count(*) OVER (PARTITION BY uid)")
     counted = per_path.withColumn("paths_of_user", paths_of_user)
 

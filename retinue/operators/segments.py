@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from retinue.functions.days import compact, shift
 from retinue.operators import profile as up
 from retinue.operators.identity import decorated, filled_properties, to_groups
-from retinue.operators.skew import HEAVY_ROWS, join_one_to_many
 from retinue.operators.visits import unique_users
 from retinue.settings import UNKNOWN_VALUE
 
@@ -24,17 +23,14 @@ def attributes(
     return to_groups(owned, groups).withColumnRenamed("prop", "attr").distinct()
 
 
-def with_attribute(
-    users: DataFrame, attrs: DataFrame, attr: str, heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def with_attribute(users: DataFrame, attrs: DataFrame, attr: str) -> DataFrame:
     """Attach the values of ``attr`` to users that are unique on (pid, orig_id).
 
     Users without one get the unknown value, users with several appear once under each.
+    Values are distinct per user, so no key can be heavy.
     """
     values = attrs.where(F.col("attr") == attr).select("pid", "orig_id", "val")
-    joined = join_one_to_many(
-        users, values, ["pid", "orig_id"], keep_one=True, heavy_rows=heavy_rows
-    )
+    joined = users.join(values, ["pid", "orig_id"], "left")
     return joined.withColumn(
         "attr_value", F.coalesce(F.col("val"), F.lit(UNKNOWN_VALUE))
     ).drop("val")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retinue.functions.days import shift
 from retinue.local import local_rows
 from retinue.operators import metrics as M
 from retinue.operators.identity import device_ids
-from retinue.operators.profile import group_totals, user_profile
+from retinue.operators.profile import MONTH_DAYS, group_totals, user_profile
 from retinue.operators.registrations import register_bounds
 from retinue.operators.segments import attributes, breakdown
 from retinue.operators.visits import visits
@@ -104,11 +107,14 @@ def run_daily(
     """Compute and publish the user metrics of ``day``; returns what was published.
 
     Each step reads the tables written by the one before, so later failures never repeat
-    the joins behind them. A failed step fails the day and publishes nothing.
+    the joins behind them. A failed step fails the day and publishes nothing. Days of the
+    month without stored visits are reported as a warning, as they count nobody.
     """
     _, names, members = group_config(warehouse, groups, settings)
     register_inputs(warehouse, members, settings, day)
     stage_users(warehouse, groups, settings, day)
+    if missing := missing_days(warehouse, day):
+        warnings.warn(f"no visits stored for {len(missing)} days from {missing[0]}", stacklevel=2)
 
     profile = user_profile(
         warehouse.table("user_visit"), warehouse.table("user_register_time"), day
@@ -137,10 +143,26 @@ def run_daily(
         (F.col("run_day") == day) & (F.col("family") == FAMILY)
     )
     export_json(published, export_root, day, FAMILY)
-    warehouse.expire("user_visit", day)
     return published
 
 
+def missing_days(warehouse: Warehouse, day: str) -> list[str]:
+    """Days of the month ending at ``day`` that have no stored visits at all."""
+    wanted = [shift(day, n) for n in reversed(range(MONTH_DAYS))]
+    return [d for d in wanted if d not in warehouse.days("user_visit")]
+
+
+def expire_visits(warehouse: Warehouse, day: str, keep_days: int) -> list[str]:
+    """Drop visits more than ``keep_days`` before ``day``: a job of its own.
+
+    A day can be computed again only as long as its month is stored, so nothing is dropped
+    by the daily run, and fewer days than a month are refused.
+    """
+    if keep_days < MONTH_DAYS:
+        raise ValueError(f"a month of visits is needed; keep_days is {keep_days}")
+    return warehouse.expire("user_visit", day, keep_days)
+
+
 def register_inputs(
     warehouse: Warehouse, members: list[str], settings: Settings, day: str
 ) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
-from retinue.operators.history import history_row
+from retinue.operators.history import history_columns, history_row, newest
 from retinue.operators.identity import device_ids
 from retinue.operators.profile import MONTH_DAYS, group_totals, user_profile
 from retinue.operators.registrations import register_bounds
@@ -46,11 +46,12 @@ def run_history(
     day: str,
     heartbeat_pids: Sequence[str],
     path: str,
+    rows: int = HISTORY_ROWS,
 ) -> DataFrame:
-    """Add the row of ``day`` to the history and return the newest rows.
+    """Add the row of ``day`` to the history and return the newest ``rows``.
 
-    One folder per day: running a day again replaces its row. The retained window is
-    read, older folders are simply not read any more.
+    One folder per day: running a day again replaces its row. The columns are those of
+    ``group_names``; days written before a group was added have 0 for it.
     """
     totals = cohort_totals(
         warehouse.table("user_event"), warehouse.table("user_id"),
@@ -58,9 +59,10 @@ def run_history(
     )
     row = history_row(totals, group_names).drop("day")
     row.coalesce(1).write.mode("overwrite").parquet(f"{path}/day={day}")
-    stored = warehouse.spark.read.option("basePath", path).parquet(path)
-    dated = stored.withColumn("day", F.col("day").cast("string"))
-    return dated.orderBy(F.desc("day")).limit(HISTORY_ROWS)
+    columns = history_columns(group_names)
+    schema = ", ".join(["day string", *(f"`{c}` long" for c in columns)])
+    stored = warehouse.spark.read.schema(schema).option("basePath", path).parquet(path)
+    return newest(stored.na.fill(0, columns), rows).select(*columns, "day")
 
 
 def republish(warehouse: Warehouse, export_root: str, day: str, family: str) -> DataFrame:

@@ -118,8 +118,16 @@ def level_rows(typed: DataFrame, settings: Settings, day: str) -> DataFrame:
     )
 
 
-def run_search_levels(warehouse: Warehouse, settings: Settings, day: str) -> DataFrame:
-    """Publish the one-dimensional search metrics of ``day``."""
+def run_search_levels(
+    warehouse: Warehouse, settings: Settings, day: str, today: str | None = None
+) -> DataFrame:
+    """Publish the one-dimensional search metrics of ``day``.
+
+    If ``day`` is the day before ``today``, its own keys are set to zero, as in ``run_search``.
+    """
     rows = level_rows(warehouse.table("user_search_by_type"), settings, day)
+    if today is not None and shift(today, 1) == day:
+        zeros = reset_rows(warehouse.spark, settings.search_group, day, settings.search_event)
+        rows = reset_then(rows, zeros)
     publish(warehouse, rows, day, "search_levels")
     return _published(warehouse, day, "search_levels")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 STRING, LONG, DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
-EVENT_VALUE = T.DecimalType(18, 6)
-VALUE = T.DecimalType(38, 6)
+# Wide enough to add up single values without rounding any of them first.
+VALUE = EVENT_VALUE = T.DecimalType(38, 18)
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.functions.keys import metric_entry
@@ -14,7 +14,7 @@ from retinue.schemas import VALUE
 from retinue.sources.logs import PART_FILES
 from retinue.sources.warehouse import Warehouse
 
-ENTRY = "map<string,map<string,array<decimal(38,6)>>>"
+ENTRY = "map<string,map<string,array<decimal(38,18)>>>"
 # Key text: kind, project, two days, event pattern, segment (may hold commas), grouping.
 KEY_PATTERN = r"^([^,]*),([^,]*),([^,]*),([^,]*),([^,]*),(.*),VF-ALL-0-0,(.*)$"
 
@@ -30,11 +30,23 @@ def publish(warehouse: Warehouse, rows: DataFrame, run_day: str, family: str) ->
     warehouse.overwrite("metrics", rows.select(*ROW), run_day=run_day, family=family)
 
 
+def _quoted(text: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.struct(text.alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
+
+
+def _number(value: Column) -> Column:
+    """All digits of a decimal, without an exponent for 0 and without trailing zeros."""
+    text = F.regexp_replace(value.cast("string"), r"^0E-\d+$", "0")
+    return F.regexp_replace(text, r"\.0*$|(\.\d*[1-9])0+$", "$1")
+
+
 def to_documents(rows: DataFrame) -> DataFrame:
     """Each row as a JSON text ``{key: {label: [count, value, users, rate]}}``."""
     entry = metric_entry(F.col("cnt"), F.col("value"), F.col("users"), F.col("sample_rate"))
-    labelled = F.create_map(F.col("label"), entry)
-    return rows.select(F.to_json(F.create_map(F.col("cache_key"), labelled)).alias("value"))
+    numbers = F.array_join(F.transform(entry, _number), ",")
+    return rows.select(F.concat(
+        F.lit("{"), _quoted(F.col("cache_key")), F.lit(":{"), _quoted(F.col("label")),
+        F.lit(":["), numbers, F.lit("]}}")).alias("value"))
 
 
 def _export_path(root: str, run_day: str, family: str) -> str:

@@ -16,8 +16,14 @@ from retinue.settings import KEEP_DAYS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one the cluster shares; a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder under the one the cluster shares.
+
+    Only a local session, all of whose threads see one disk, may go without one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or tempfile.gettempdir()
     return os.path.join(base, f"retinue-{uuid.uuid4().hex}")
 
 
@@ -120,6 +126,12 @@ class Warehouse:
         self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         return self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
 
+    def days(self, table: str) -> set[str]:
+        """Days that a table partitioned by day first has partitions of."""
+        day_value = F.regexp_extract("partition", "^[^=]+=([^/]+)", 1).alias("day")
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        return {r.day for r in listed.select(day_value).distinct().collect()}
+
     def expire(self, table: str, day: str, keep_days: int = KEEP_DAYS) -> list[str]:
         """Drop partitions whose leading day column lies more than ``keep_days`` back."""
         cutoff = shift(day, keep_days)

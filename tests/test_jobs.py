@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from retinue.catalog import common as C
 from retinue.local import local_rows
 from retinue.operators import metrics as M
-from retinue.plans.daily import run_daily, stage_devices, write_visits
+from retinue.plans.daily import expire_visits, run_daily, stage_devices, write_visits
+from retinue.plans.history import run_history
 from retinue.plans.search import run_search, stage_search
 from retinue.settings import Settings
 from retinue.sources.warehouse import shared_dir
@@ -72,3 +73,44 @@ def test_search_runs(spark, loaded):
 def test_unknown_period(loaded):
     with pytest.raises(ValueError):
         run_search(loaded[1], SETTINGS, C.DAY, "month")
+
+
+def test_an_earlier_day_can_be_computed_again(spark):
+    x = C.month(spark, SF_DIR)
+    warehouse = C.new_warehouse(spark, x)
+    stage_devices(warehouse, ["p0", "p1", "p2", "p3", "p4"])
+    write_visits(warehouse, config(x), SETTINGS, C.back(29), C.DAY)
+    old = warehouse.table("user_visit").limit(1).select(
+        F.lit("monthly").alias("orig_id"), F.lit(C.back(31)).alias("day"), F.lit("g1").alias("pid"))
+    warehouse.overwrite_found("user_visit", old)
+    with pytest.warns(UserWarning):
+        for day in (C.DAY, C.back(2)):
+            run_daily(warehouse, config(x), SETTINGS, day, shared_dir(spark))
+    mau = {(r.day, r.pid): r.mau for r in warehouse.table("group_totals").collect()}
+    visits = warehouse.table("user_visit").where("pid = 'g1'")
+    for day, first in ((C.DAY, C.back(29)), (C.back(2), C.back(31))):
+        users = visits.where(F.col("day").between(first, day)).select("orig_id").distinct()
+        assert mau[day, "g1"] == users.count()
+    with pytest.raises(ValueError):
+        expire_visits(warehouse, C.DAY, 29)
+
+
+def test_one_entry_for_each_key_and_label(spark):
+    rows = [("k", "l", 1, "d1", "users"), ("k", "l", 2, "d2", "page_views"),
+            ("k", "l", 3, "d2", "users"), ("k", "m", 4, "d2", "page_views"),
+            ("s", "l", 5, "d2", "search_day"), ("s", "l", 6, "d2", "search_levels"),
+            ("s", "l", 7, "d1", "other")]
+    metrics = spark.createDataFrame(
+        rows, "cache_key string, label string, users int, run_day string, family string")
+    got = {(r.cache_key, r.label): r.users for r in M.current_metrics(metrics).collect()}
+    assert got == {("k", "l"): 3, ("k", "m"): 4, ("s", "l"): 5}
+
+
+def test_history_keeps_columns_of_added_groups(spark):
+    warehouse = C.new_warehouse(spark, C.today(spark, SF_DIR))
+    path, x = shared_dir(spark), C.today(spark, SF_DIR)
+    for day, names in ((C.back(1), ["g1"]), (C.DAY, ["g1", "g2"])):
+        kept = x.groups.where(F.col("grp").isin(names))
+        rows = run_history(warehouse, kept, names, day, ("p1",), path)
+    assert {"dau_g1", "dau_g2"} <= set(rows.columns)
+    assert [r.dau_g2 for r in rows.where(F.col("day") == C.back(1)).collect()] == [0]

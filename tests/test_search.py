@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from retinue.functions import ids as I
 from retinue.operators import search
+from retinue.operators.registrations import register_bounds
 
 PATHS = ("day string, uid string, ev3 string, ev4 string, ev5 string, nation string, "
-         "count long, value decimal(38,6)")
+         "count long, value decimal(38,18)")
 MEASURED = [*search.DIMENSIONS, "grp", "grpkey", "users", "cnt", "value"]
 
 
@@ -201,3 +202,26 @@ def test_inputs_may_share_their_origin(spark):
     paths = search.user_paths(
         search.search_paths(events, devices, properties, "d", "d", "pay.search2"))
     assert sorted((r.uid, r.nation) for r in paths.collect()) == [("x", "us"), ("y", "de")]
+
+
+def test_values_are_added_exactly(spark):
+    tiny = [("d", "p", "u", "pay.search2", 4e-7)] * 1_000
+    rows = spark.createDataFrame(
+        [*tiny, ("d", "p", "v", "pay.search2", 2e12)],
+        "day string, pid string, uid string, event string, value double")
+    found = search.user_rollup(search.search_events(rows, None, None, "pay.search2"))
+    got = {r.uid: r.value for r in found.collect()}
+    assert float(got["u"]) == 4e-4 and float(got["v"]) == 2e12
+
+
+def test_uids_that_are_no_numbers_have_no_properties(spark):
+    devices = spark.createDataFrame(
+        [("p", f"x{i}", f"d{i}") for i in range(1_000)], "pid string, uid string, orig_id string")
+    properties = spark.createDataFrame(
+        [("", "us", "p", "nation"), (" ", "20240101", "p", "register_time")],
+        "uid string, val string, pid string, prop string")
+    groups = spark.createDataFrame([("g", "p")], "grp string, member string")
+    assert register_bounds(properties, devices, groups).count() == 0
+    rows = devices.select("pid", "uid")
+    named = search.attach_identity(rows, devices, properties)
+    assert named.count() == 1_000 and named.where("nation IS NOT NULL").count() == 0

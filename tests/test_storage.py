@@ -225,7 +225,7 @@ def test_breakdown_keys(spark):
 
 
 CUBE = "ev3 string, ev4 string, ev5 string, nation string, grp string, grpkey string, " \
-       "users long, cnt long, value decimal(38,6)"
+       "users long, cnt long, value decimal(38,18)"
 
 
 @pytest.mark.parametrize("cells,start,end,key,label", [
@@ -307,7 +307,7 @@ def test_previous_counts(spark):
 
 
 def test_json_round_trip(spark, tmp_path):
-    rows = metric_rows(spark, dau=11, mau=12).withColumn("value", F.lit("1.25").cast("decimal(38,6)"))
+    rows = metric_rows(spark, dau=11, mau=12).withColumn("value", F.lit("1.25").cast("decimal(38,18)"))
     for _ in range(2):
         store.export_json(rows, str(tmp_path), DAY, "users")
     back = store.reload_json(spark, str(tmp_path), DAY, "users")
