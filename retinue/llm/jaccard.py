@@ -237,24 +237,87 @@ def _features(docs: DataFrame, words: int, percent: int, doc_id: str, text: str)
     return written(made.withColumn("doc_id", F.col("doc_id").cast("long")), "jaccard-features")
 
 
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all classes which share a key, by two levels of stars.
+
+    A task links the classes that share a key among its own and sends only the first of
+    them on, so a key that very many share is one entry for each task. The entries travel
+    packed, by ranges of keys.
+    """
+    ranges = max(12, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def starred(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((nodes, keys))
+        keys, nodes = keys[order], nodes[order]
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])
+        leader = nodes[first][np.cumsum(first) - 1]
+        other = leader != nodes
+        edges = np.unique(np.stack([leader[other], nodes[other]]), axis=1)
+        return keys[first], nodes[first], edges
+
+    def rows(at: list[int], keys: list[bytes], nodes: list[bytes]) -> pd.DataFrame:
+        return pd.DataFrame({"range": pd.Series(at, dtype="int32"), "keys": keys, "nodes": nodes})
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lengths = [len(p) for p in batch["parts"]]
+            if not sum(lengths):
+                continue
+            keys = np.concatenate(batch["parts"].tolist()).astype(np.int64).view(np.uint64)
+            keys, nodes, edges = starred(keys, np.repeat(batch["node"].to_numpy(), lengths))
+            ends = np.searchsorted(keys, (np.arange(1, ranges, dtype=np.float64)
+                                          * (2.0**64 / ranges)).astype(np.uint64))
+            yield rows([*range(ranges), -1],
+                       [*(k.tobytes() for k in np.split(keys, ends)), edges[0].tobytes()],
+                       [*(n.tobytes() for n in np.split(nodes, ends)), edges[1].tobytes()])
+
+    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _same_keys(batches, ["range"]):
+            if part["range"].iloc[0] < 0:
+                ends = [np.frombuffer(b"".join(part[c]), dtype=np.int64) for c in ("keys", "nodes")]
+            else:
+                _, _, ends = starred(
+                    np.frombuffer(b"".join(part["keys"]), dtype=np.uint64),
+                    np.frombuffer(b"".join(part["nodes"]), dtype=np.int64))
+            yield pd.DataFrame({"a": ends[0], "b": ends[1]})
+
+    packed = classes.select("node", "parts").mapInPandas(
+        local, "range int, keys binary, nodes binary")
+    # Edges found on the spot have no range to meet in; they are dealt at random.
+    dealt = F.when(F.col("range") < 0, -1 - F.pmod(F.xxhash64("keys"), F.lit(ranges)).cast("int")
+                   ).otherwise(F.col("range"))
+    dealt = packed.where(F.octet_length("keys") > 0).withColumn("range", dealt)
+    return dealt.repartition(ranges, "range").sortWithinPartitions("range").mapInPandas(
+        across, "a long, b long")
+
+
 def _blocks(members: DataFrame, percent: int, block_hashes: int) -> DataFrame:
-    """Members (node, digest, doc_id, n, label) once for each pair of blocks to be compared.
+    """Members (node, digest, doc_id, n_shingles, label) for each pair of blocks to compare.
 
-    Groups that fit are one block. Others are cut in the order of sizes, and two blocks
-    meet only if their ranges of sizes allow a link.
+    Groups that fit are one block. Others are dealt to blocks by hash within bands of
+    sizes, and two blocks meet only if their ranges of sizes allow a link.
     """
-    order = Window.partitionBy("label").orderBy("n_shingles", "node")
-    filled = F.sum(F.col("n_shingles") + 64).over(
-        order.rowsBetween(Window.unboundedPreceding, -1))
-    cut = members.withColumn(
-        "block", F.floor(F.coalesce(filled, F.lit(0)) / block_hashes).cast("int"))
+    weight = F.col("n_shingles") + 64
+    band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / percent))).cast("int")
+    banded = members.withColumn("band", band)
+    totals = banded.groupBy("label", "band").agg(F.sum(weight).alias("held"))
+    whole = totals.groupBy("label").agg(F.sum("held").alias("all"))
+    counts = totals.join(whole, "label").select(
+        "label", "band", (F.col("all") <= block_hashes).alias("fits"),
+        F.ceil(F.col("held") / block_hashes).alias("blocks"))
+    cut = written(banded.join(counts, ["label", "band"]).withColumn(
+        "block", F.when(F.col("fits"), F.lit(0)).otherwise(
+            F.col("band") * (1 << 20) + F.pmod(F.xxhash64("digest"), F.col("blocks")))
+    ).select("node", "digest", "doc_id", "n_shingles", "label", "block"), "jaccard-members")
     ranges = cut.groupBy("label", "block").agg(
         F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
-    one = ranges.select("label", F.col("block").alias("i"), F.col("high").alias("high_i"))
-    two = ranges.select("label", F.col("block").alias("j"), F.col("low").alias("low_j"))
+    one = ranges.select("label", F.col("block").alias("i"), F.col("low").alias("low_i"),
+                        F.col("high").alias("high_i"))
+    two = ranges.select("label", F.col("block").alias("j"), F.col("low").alias("low_j"),
+                        F.col("high").alias("high_j"))
     pairs = one.join(two, "label").where(
         (F.col("i") <= F.col("j")) & (F.col("high_i") * 100 >= F.col("low_j") * percent)
-    ).select("label", "i", "j")
+        & (F.col("high_j") * 100 >= F.col("low_i") * percent)).select("label", "i", "j")
     sides = pairs.select("label", "i", "j", F.explode(
         F.array_distinct(F.array("i", "j"))).alias("block"))
     return cut.join(sides, ["label", "block"])
@@ -301,20 +364,15 @@ def similar(
             F.first("parts").alias("parts"))
         .withColumn("node", F.coalesce("doc_id", unnamed)), "jaccard-classes")
 
-    keyed = classes.select("node", F.explode("parts").alias("part"))
-    shared = keyed.groupBy("part").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    candidates = keyed.join(shared.where("first < last"), "part").select(
-        F.col("first").alias("a"), F.col("node").alias("b"))
-    groups = components(candidates, "jaccard-groups")
+    groups = components(_candidates(classes), "jaccard-groups")
 
     members = classes.drop("parts").join(groups, "node")
-    tasks = written(_blocks(members, percent, block_hashes), "jaccard-blocks")
-    wanted = small(written(
-        tasks.select("doc_id", "digest", "node").distinct(), "jaccard-wanted"))
+    tasks = small(written(_blocks(members, percent, block_hashes).select(
+        "doc_id", "digest", "node", "label", "i", "j", "block"), "jaccard-blocks"))
     texts = docs.select(F.col(doc_id).cast("long").alias("_id"),
                         F.col(text).cast("string").alias("text"))
-    texts = texts.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id"))).select(
-        "node", "digest", "text")
+    texts = texts.join(tasks, F.col("_id").eqNullSafe(F.col("doc_id"))).select(
+        "text", "digest", "node", "label", "i", "j", "block")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = WordHashes()
@@ -322,10 +380,10 @@ def similar(
             made = [shingles(t, words, cache).tobytes() for t in rows["text"]]
             same = [hashlib.blake2b(s, digest_size=16).hexdigest() == d
                     for s, d in zip(made, rows["digest"])]
-            yield pd.DataFrame({"node": rows["node"], "digest": rows["digest"],
-                                "hashes": made})[same]
+            yield rows.drop(columns="text").assign(hashes=made)[same]
 
-    hashed = texts.mapInPandas(sets, "node long, digest string, hashes binary")
+    hashed = texts.mapInPandas(
+        sets, "digest string, node long, label long, i long, j long, block long, hashes binary")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _same_keys(batches, ["label", "i", "j"]):
@@ -338,9 +396,7 @@ def similar(
             yield pd.DataFrame([(node[x], node[y]) for x, y in links], columns=["a", "b"],
                                dtype="int64")
 
-    located = tasks.select("label", "i", "j", "block", "node", "digest").join(
-        hashed, ["node", "digest"])
-    ordered = located.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+    ordered = hashed.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
     links = ordered.mapInPandas(compare, "a long, b long")
     # An id that names several texts makes them one document.
     named = features.where("doc_id IS NOT NULL AND digest IS NOT NULL")
