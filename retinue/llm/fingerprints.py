@@ -64,9 +64,9 @@ def fingerprint(keys: Column) -> Column:
 
 
 def _followed(rows: DataFrame, bucket_rows: int) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with ``bucket``, ``nth`` in it and ``follower``.
+    """``rows`` (doc_id, text) with ``keys``, ``bucket``, ``nth`` in it and ``follower``.
 
-    The follower is the next row by descending id, after the last the first. Buckets are
+    The follower is (text, keys) of the next row by descending id, after the last the first. Buckets are
     ranges of ids; the first row of a bucket is also appended to the bucket before it. Rows
     with equal ids are ordered by a hash of their text; null ids come last.
     """
@@ -107,9 +107,12 @@ def _followed(rows: DataFrame, bucket_rows: int) -> DataFrame:
     appended = appended.dropDuplicates(["bucket"]).withColumn("last", F.lit(True))
     order = Window.partitionBy("bucket").orderBy(
         "last", F.desc_nulls_last("doc_id"), F.desc("tie"))
-    carried = F.struct(*[c for c in rows.columns if c != "doc_id"])
-    # Both sides are dealt by bucket together, so what follows needs no further shuffle.
-    return placed.unionByName(appended).withColumn("follower", F.lead(carried).over(order)) \
+    # What follows is by bucket too and needs no further shuffle. Few buckets a partition
+    # keep the cells of all their documents in memory.
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells // 2)
+    dealt = placed.unionByName(appended).repartition(parts, "bucket")
+    dealt = dealt.withColumn("keys", pieces(F.col("text")))
+    return dealt.withColumn("follower", F.lead(F.struct("text", "keys")).over(order)) \
         .withColumn("nth", F.row_number().over(order)).where(~F.col("last")).drop("tie", "last")
 
 
@@ -224,7 +227,7 @@ def compare(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = _followed(rows.withColumn("keys", pieces(F.col("text"))), bucket_rows)
+    rows = _followed(rows, bucket_rows)
     length = F.length("text")
     third = F.floor(length / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), length - third),
