@@ -31,8 +31,10 @@ FOLDS = 10
 #: Counts up to this one are discounted; bigrams below MIN_COUNT are left to backoff.
 DISCOUNTED, MIN_COUNT = 5, 3
 START, END = 0, 1
-#: Tokens of a pack, and words that count as frequent: more than 1 in 8 slices' worth.
-PACK_TOKENS, FREQUENT = 2_000_000, 8
+#: Tokens of a pack that is counted and of one that is scored, which bound a task's memory.
+COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 600_000
+#: Words with more than 1 in FREQUENT * slices of the tokens are frequent.
+FREQUENT = 8
 _HISTORY, _BIGRAM, _TIMES = 0, 1, 2
 _WORDS, _GAMMAS, _PACK, _HEAD = 0, 1, 2, 3
 
@@ -138,14 +140,15 @@ _PACKED = ("slice int, kind int, base long, histories binary, runs binary, words
            "times binary, owners binary")
 
 
-def _batches(rows: Iterator[pd.DataFrame], cache: Codes) -> Iterator[tuple]:
-    """Texts as codes with their rows, in batches of about PACK_TOKENS tokens."""
+def _batches(rows: Iterator[pd.DataFrame], most: int) -> Iterator[tuple]:
+    """Texts as codes with their rows, in batches of about ``most`` tokens."""
+    cache = Codes()
     for frame in rows:
         held, begun, tokens = [], 0, 0
         for k, text in enumerate(frame["text"]):
             held.append(cache.of(text))
             tokens += len(held[-1]) + 1
-            if tokens >= PACK_TOKENS or k + 1 == len(frame):
+            if tokens >= most or k + 1 == len(frame):
                 yield held, frame.iloc[begun:k + 1]
                 held, begun, tokens = [], k + 1, 0
 
@@ -200,7 +203,7 @@ def _frequent(docs: DataFrame, slices: int, seed: int = 17) -> np.ndarray:
 def fit(docs: DataFrame, slicing: Slicing, min_count: int = MIN_COUNT) -> Model:
     """The model of all ``docs`` (key, text)."""
     def pack(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for texts, _ in _batches(rows, cache := Codes()):
+        for texts, _ in _batches(rows, COUNT_TOKENS):
             yield _frame([(p[0], _PACK, 0, *p[1:]) for p in _packs(texts, slicing, False)], _PACKED)
 
     def count(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,7 +357,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     unknown = model.log_unknown
 
     def pack(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for texts, frame in _batches(rows, cache := Codes()):
+        for texts, frame in _batches(rows, SCORE_TOKENS):
             base = int(frame["key"].iloc[0])
             out = [(p[0], _PACK, base, *p[1:]) for p in _packs(texts, slicing, True)]
             lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64).tobytes()
@@ -394,7 +397,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         per_token = np.repeat(per_bigram, times, axis=1)
         texts, inverse = np.unique(owner, return_inverse=True)
         sums = [np.bincount(inverse, weights=v, minlength=len(texts)) for v in per_token]
-        return np.concatenate([texts.astype(np.float64), *sums]).tobytes()
+        known = np.rint(sums[0]).astype(np.uint32)
+        return texts.astype(np.uint32).tobytes() + known.tobytes() + np.concatenate(
+            sums[1:]).tobytes()
 
     def gather(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _grouped(rows, "base"):
@@ -402,8 +407,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             lengths = np.frombuffer(head["values"], dtype=np.int64)
             sums = np.zeros((3, len(lengths)))
             for value in part[part["kind"] == _PACK].sort_values("slice")["values"]:
-                texts, *add_ = np.frombuffer(value).reshape(4, -1)
-                sums[:, texts.astype(np.int64)] += add_
+                n = len(value) // 24
+                texts, known = np.frombuffer(value, dtype=np.uint32, count=2 * n).reshape(2, n)
+                sums[0, texts] += known
+                sums[1:, texts] += np.frombuffer(value, offset=8 * n).reshape(2, n)
             yield pd.DataFrame({
                 "doc_id": json.loads(head["ids"]), "n_tokens": lengths,
                 "n_known": np.rint(sums[0]).astype(np.int64), "base_sum": sums[1],
@@ -446,8 +453,8 @@ def judge(
     that of additively smoothed single words. Null and empty texts are one token, the
     end. If there is nothing to learn from, every token is unknown, with probability 1.
     Repeated rows are learnt from and scored each; an empty table gives an empty result;
-    other columns are not looked at. ``slices`` defaults to the session's number of shuffle
-    partitions; a task holds a slice of the tables and one pack.
+    other columns are not looked at. ``slices`` defaults to half the session's number of
+    shuffle partitions; a task holds a slice of the tables and one pack.
     """
     spark = docs.sparkSession
     held = F.coalesce(F.pmod(F.crc32("doc_id"), F.lit(folds)) == 0, F.lit(False))
@@ -455,7 +462,7 @@ def judge(
                        F.col(text).cast("string").alias("text"),
                        F.monotonically_increasing_id().alias("key"))
     training = rows.where(~held)
-    slices = slices or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     slicing = Slicing(slices, _frequent(training, slices))
     model = fit(training, slicing, min_count)
     norm = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
