@@ -2,8 +2,8 @@
 
 Documents with equal sets are one class. Classes that may link are brought together first:
 the hashes of a set fall into parts, more parts than two linked sets can differ in
-hashes, so linked sets agree in a part, and the digest of a part with all its hashes is a
-very selective key. Classes connected by such keys form a group, which one task can hold.
+hashes, so linked sets agree in some of the larger parts, and the digest of such a part with
+all its hashes is a very selective key. Classes connected by such keys form a group, which one task can hold.
 In a group, a tree is built over the classes: nodes hold the OR of their bitmaps and the
 range of their sizes. A dual traversal from the root drops pairs of nodes whose bitmaps
 and sizes do not allow enough overlap, and exact intersection decides what is left. Pairs
@@ -89,8 +89,10 @@ def part_keys(hashes: np.ndarray, percent: int, bands: list[tuple[int, int]]) ->
     """Keys of which two linked sets share one at least.
 
     A pair is compared in the band of its larger set, so a set gives keys for its own band
-    and for that of the largest set it can link with. Empty parts give a key only where so
-    many are empty that agreeing parts might all be.
+    and for that of the largest set it can link with. Linked sets agree in ``agreeing`` parts
+    at least, so the parts that hold fewest hashes, fewer parts than that, are left out: what
+    a shared passage makes equal are mostly small parts. Of two thresholds the higher one
+    counts, and equal parts are equally large, so a part that both sets keep is left.
     """
     size = len(hashes)
     if not size:
@@ -99,14 +101,16 @@ def part_keys(hashes: np.ndarray, percent: int, bands: list[tuple[int, int]]) ->
     salted = mixed(hashes + np.uint64(0x632BE59BD9B4E019))
     keys = []
     for k in range(fits(size), fits(size * 100 // percent) + 1):
-        part = hashes >> np.uint64(64 - k) if k else np.zeros(size, dtype=np.uint64)
+        parts = 1 << k
+        part = (hashes >> np.uint64(64 - k) if k else np.zeros(size, np.uint64)).astype(np.int64)
         starts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1])
-        digests = np.add.reduceat(salted, starts)
-        keys.append(mixed(digests + mixed((part[starts] << np.uint64(8)) + np.uint64(k))))
-        empty = (1 << k) - len(starts)
-        if empty >= (1 << k) - min(bands[k][1] - 1, most_different(size, percent)):
-            vacant = np.setdiff1d(np.arange(1 << k, dtype=np.uint64), part[starts])
-            keys.append(mixed(mixed((vacant << np.uint64(8)) + np.uint64(k))))
+        digests = np.zeros(parts, dtype=np.uint64)
+        digests[part[starts]] = np.add.reduceat(salted, starts)
+        held = np.bincount(part, minlength=parts)
+        agreeing = parts - min(bands[k][1] - 1, most_different(size, percent))
+        kept = np.nonzero(held >= np.partition(held, agreeing - 1)[agreeing - 1])[0]
+        place = (kept.astype(np.uint64) << np.uint64(8)) + np.uint64(k)
+        keys.append(mixed(digests[kept] + mixed(place)))
     return np.concatenate(keys)
 
 
