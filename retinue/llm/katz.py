@@ -7,7 +7,8 @@ log alpha(h) over its histories, and a correction for each bigram in the table.
 two need a table by word, the third one by bigram, and no token needs both at once.
 
 Bigrams are dealt to slices by their history (frequent histories by the bigram), packed by
-batches of documents: each distinct bigram of a batch once, with the documents it is in.
+batches of documents: each distinct bigram of a batch once, with the documents it is in,
+as places in a list of the pack's words, compressed.
 Counting sums each slice's packs; the tables are made of the counts by joins; scoring reads
 a slice of the tables and then one pack after the other, and returns a sum per document.
 Words are told apart by 48 bits of their hash.
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 600_000
 #: Words with more than 1 in FREQUENT * slices of the tokens are frequent.
 FREQUENT = 8
 _HISTORY, _BIGRAM, _TIMES = 0, 1, 2
+ZSTD_LEVEL = 1
 _WORDS, _GAMMAS, _PACK, _HEAD = 0, 1, 2, 3
 
 
@@ -53,15 +56,39 @@ class Codes(dict):
         return np.array([self[w] for w in words], dtype=np.int64)
 
 
-def _pack48(values: np.ndarray) -> bytes:
-    return (values & 0xFFFFFFFF).astype(np.uint32).tobytes() + (
-        values >> 32).astype(np.uint16).tobytes()
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as bytes, one significance after the other, so that small ones compress."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
-def _unpack48(data: bytes) -> np.ndarray:
-    n = len(data) // 6
-    low = np.frombuffer(data, dtype=np.uint32, count=n)
-    return (np.frombuffer(data, dtype=np.uint16, offset=4 * n).astype(np.int64) << 32) | low
+def _numbers(data: bytes, dtype: type = np.uint32) -> np.ndarray:
+    """The inverse of ``_planes``."""
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _pack_numbers(values: np.ndarray) -> bytes:
+    return zstandard.compress(_planes(values.astype(np.uint32)), ZSTD_LEVEL)
+
+
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    return _numbers(zstandard.decompress(data)).astype(np.int64)
+
+
+def _pack_codes(values: np.ndarray) -> bytes:
+    """The distinct codes, the most frequent first, and which of them each value is."""
+    names, at, n = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(names), dtype=np.uint32)
+    rank[order] = np.arange(len(names), dtype=np.uint32)
+    return zstandard.compress(np.int64(len(names)).tobytes() + _planes(names[order]) + _planes(
+        rank[at]), ZSTD_LEVEL)
+
+
+def _unpack_codes(data: bytes) -> np.ndarray:
+    data = zstandard.decompress(data)
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    return _numbers(data[8:8 + 8 * n], np.int64)[_numbers(data[8 + 8 * n:])]
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -124,16 +151,14 @@ def _packs(texts: list[np.ndarray], slicing: Slicing, owners: bool) -> Iterator[
             starts, n = first[mine], times[mine]
             picked = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(
                 n.sum())
-            held = owner[picked].astype(np.uint32).tobytes() if len(texts) > 65535 else \
-                owner[picked].astype(np.uint16).tobytes()
-        yield (s, _pack48(h[new]), np.diff(np.append(new, len(h))).astype(np.uint32).tobytes(),
-               _pack48(word[first[mine]]), times[mine].astype(np.uint32).tobytes(), held)
+            held = _pack_numbers(owner[picked])
+        yield (s, _pack_codes(h[new]), _pack_numbers(np.diff(np.append(new, len(h)))),
+               _pack_codes(word[first[mine]]), _pack_numbers(times[mine]), held)
 
 
 def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    histories = np.repeat(_unpack48(row.histories), np.frombuffer(row.runs, dtype=np.uint32))
-    return histories, _unpack48(row.words), np.frombuffer(row.times, dtype=np.uint32).astype(
-        np.int64)
+    histories = np.repeat(_unpack_codes(row.histories), _unpack_numbers(row.runs))
+    return histories, _unpack_codes(row.words), _unpack_numbers(row.times)
 
 
 _PACKED = ("slice int, kind int, base long, histories binary, runs binary, words binary, "
@@ -384,8 +409,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def summed(row, lookup: _Lookup) -> bytes:
         """(text, known tokens, base, log P) of what a pack adds to each of its texts."""
         history, word, times = _unpacked(row)
-        wide = len(row.owners) == 4 * times.sum()
-        owner = np.frombuffer(row.owners, dtype=np.uint32 if wide else np.uint16).astype(np.int64)
+        owner = _unpack_numbers(row.owners)
         # The word that a history is counts as a token; the end of text does for the start.
         began = _runs(history)
         token = np.where(history[began] == START, END, history[began])
