@@ -254,7 +254,7 @@ def fit(docs: DataFrame, slicing: Slicing, min_count: int = MIN_COUNT) -> Model:
 
     packed = docs.select("text").mapInPandas(pack, _PACKED)
     counts = written(
-        packed.repartition(slicing.slices, "slice").sortWithinPartitions("slice")
+        packed.repartitionById(slicing.slices, F.col("slice")).sortWithinPartitions("slice")
         .mapInPandas(count, "kind int, history long, word long, n long"), "katz-counts")
 
     # Every word is a history once each time it occurs; the end of text occurs once a text.
@@ -455,7 +455,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         none.alias("base"), *blanks, "history", "word", none.alias("n"),
         F.col("gamma").alias("x"), F.lit(0.0).alias("y"))
     sliced = words.unionByName(bigrams).unionByName(packed)
-    parts = sliced.repartition(slicing.slices, "slice").sortWithinPartitions(
+    parts = sliced.repartitionById(slicing.slices, F.col("slice")).sortWithinPartitions(
         "slice", "kind").mapInPandas(
             add, "base long, slice int, kind int, values binary, ids binary")
     return parts.repartition("base").sortWithinPartitions("base").mapInPandas(
