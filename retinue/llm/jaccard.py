@@ -291,8 +291,8 @@ def _candidates(classes: DataFrame) -> DataFrame:
     dealt = F.when(F.col("range") < 0, -1 - F.pmod(F.xxhash64("keys"), F.lit(ranges)).cast("int")
                    ).otherwise(F.col("range"))
     dealt = packed.where(F.octet_length("keys") > 0).withColumn("range", dealt)
-    return dealt.repartition(ranges, "range").sortWithinPartitions("range").mapInPandas(
-        across, "a long, b long")
+    placed = dealt.repartitionById(ranges, F.pmod("range", F.lit(ranges)))
+    return placed.sortWithinPartitions("range").mapInPandas(across, "a long, b long")
 
 
 def _blocks(members: DataFrame, percent: int, block_hashes: int) -> DataFrame:
