@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from retinue.llm.common import WORD, ascii_lower, written
 
 FOLDS = 10
-#: Counts up to this one are discounted; bigrams below MIN_COUNT are left to backoff.
-DISCOUNTED, MIN_COUNT = 5, 3
+#: Counts up to this one are discounted; bigrams below MIN_COUNT are left to backoff, so none.
+DISCOUNTED, MIN_COUNT = 5, 1
 START, END = 0, 1
 #: Tokens of a pack that is counted and of one that is scored, which bound a task's memory.
 COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 600_000

@@ -87,6 +87,18 @@ def test_equals_plain_model(spark, slices, least):
         assert r.score == pytest.approx(want[r.doc_id][5])
 
 
+def test_default_model_has_bigrams_seen_once(spark):
+    rows = corpus(120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+    plain = Plain([t for d, t in rows if not held(d)], 1)
+    assert any(n == 1 and (h, w) in plain.q for (h, w), n in plain.b.items())
+    for r in katz.judge(docs, slices=7).collect():
+        tokens = words_of(dict(rows)[r.doc_id])
+        assert r.score == pytest.approx(
+            sum(math.log10(plain.prob(h, w)) for h, w in zip([0, *tokens], tokens)))
+
+
 def test_probabilities_after_a_history_sum_to_one():
     plain = Plain([t for _, t in corpus(150)], 3)
     for h in [0, *list(plain.alpha)[:20], "never"]:
