@@ -117,6 +117,36 @@ def test_licences(spark, docs):
     assert (rows[2].text_licence, rows[2].notices, rows[2].n_lines) == (None, "", 0)
 
 
+def test_licence_texts_headers_and_wrapped_notices(spark):
+    full = {n: t for n, t in licences.table() if t.count("\n") > 8}
+    mit = full["MIT"][full["MIT"].index("Permission"):]
+    rewrapped = "\n\n".join(" ".join(block.split()) for block in full["ISC"].split("\n\n"))
+    commented = "".join(f"# {line}\n" for line in full["BSD-2-Clause"].splitlines())
+    cases = [
+        (full["GPL-3.0-only"], "GPL-3.0-only", "GPL-3.0-only", 1),
+        ("Copyright (c) 2020 Some Body\n\n" + mit, "MIT", "MIT", 1),
+        ("MIT License\n\nCopyright (c) 2020 X\n\n" + mit, "MIT", "MIT", 1),
+        (rewrapped, "ISC", "ISC", 1),
+        (commented, "BSD-2-Clause", "BSD-2-Clause", 1),
+        ("Some words.\n\nCopyright 2020 X\n\n" + mit + "\n\nOther words.", None, "MIT", 1),
+        ("Some words.\n \nThis work is licensed under the GNU\nGeneral Public License,\n"
+         "version 3.\n\nOther words.", None, "GPL-3.0-only", 1),
+        ("int x;\n// SPDX-License-Identifier: MPL-2.0\nint y;", None, "MPL-2.0", 1),
+        (mit.split("\n\n")[0] + "\n\nand nothing else", None, "", 0),
+        ("Released under the MIT License.\n\n\n\nRELEASED under the MIT licence", None, "MIT", 2),
+        ("words\n\nCopyright 2020 X\nReleased under the MIT License.\n\nwords", None, "MIT", 1),
+        ("words\n\n" + full["Apache-2.0"], None, "Apache-2.0", 1),
+    ]
+    docs = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan(docs, licences.known_digests(spark)).collect()}
+    for k, (_, whole, notices, n) in enumerate(cases):
+        assert (k, got[k].text_licence, got[k].notices, got[k].n_notices) == (k, whole, notices, n)
+    table = spark.createDataFrame([("X-1", "one\ntwo\n\nthree")], "licence string, text string")
+    own = licences.scan(spark.createDataFrame([(1, "a\n\nOne two\n\nthree\n")], docs.schema),
+                        licences.known_digests(spark, table)).first()
+    assert (own.text_licence, own.notices, own.n_notices) == (None, "X-1", 1)
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(600, 16))
