@@ -1,7 +1,8 @@
 """URL filter: policy rules first, gradient-boosted trees for all other URLs.
 
 DataFrame functions and ``pyspark.ml`` only. URLs that a rule decides are the labelled
-ones; trees trained on lexical features of a bounded sample of them judge the rest.
+ones; trees trained on lexical features of a bounded sample of them judge the rest. What
+is known of suffixes and path segments comes from all labelled URLs.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retinue.llm.common import ascii_lower, written
+from retinue.llm.common import ascii_lower, small, written
 
 ALLOW, BLOCK = "allow", "block"
 #: (verdict, host, path); the policy of the query.
@@ -25,7 +26,7 @@ RULES = (
     (BLOCK, "net", "/es/"),
     (BLOCK, "net", "/fr/"),
 )
-#: Labelled URLs that the trees are fitted on, taken by hash.
+#: Distinct labelled URLs that the trees are fitted on, taken by hash from each verdict.
 TRAIN_ROWS = 15_000
 TREES, DEPTH = 20, 4
 FEATURES = (
@@ -82,6 +83,26 @@ def _lexical(urls: DataFrame) -> DataFrame:
     })
 
 
+def _sampled(labelled: DataFrame, classes: dict[float, tuple[int, float]], train_rows: int,
+             seed: int) -> DataFrame:
+    """At most ``train_rows`` (at least 2) distinct URLs of both classes, with ``weight``.
+
+    Half of them are of each class, or more if the other one has fewer. Weights are the
+    numbers of the URLs, scaled so that a class weighs as much as in the whole table.
+    """
+    each = max(1, train_rows // 2)
+    (n0, _), (n1, _) = classes[0.0], classes[1.0]
+    most = {0.0: max(each, train_rows - n1), 1.0: max(each, train_rows - n0)}
+    drawn = [labelled.where(F.col("label") == label).orderBy(
+        F.xxhash64("url", F.lit(seed)), "url").limit(n) for label, n in most.items()]
+    sample = written(drawn[0].unionByName(drawn[1]), "url-sample")
+    weights = {r["label"]: r["n"] for r in sample.groupBy("label").agg(
+        F.sum("n").alias("n")).collect()}
+    scale = [classes[label][1] / weights[label] for label in (0.0, 1.0)]
+    return sample.withColumn("weight", F.col("n") * F.when(
+        F.col("label") == 1.0, scale[1]).otherwise(scale[0]))
+
+
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
@@ -95,8 +116,10 @@ def judge(
     ``rule`` is the longest fitting rule as ``host/path``, or null; ``verdict`` is the
     rule's, else the trees'; ``score`` is the trees' probability of block. A null URL has
     empty host and path and is judged by the trees. Ties between rules go to the earlier
-    one. If the labelled URLs have one verdict only, the trees' verdict is that one; if
-    there are none, it is allow. Repeated rows are judged alike; other columns are not
+    one. The trees learn from at most ``train_rows`` distinct labelled URLs, of both
+    verdicts; statistics of suffixes and first path segments count all labelled rows. If
+    the labelled URLs have one verdict only, the trees' verdict is that one; if there are
+    none, it is allow. Repeated rows are judged alike; other columns are not
     looked at.
     """
     host, path = split_url(F.col("url"))
@@ -111,17 +134,21 @@ def judge(
     }) if rules else parsed.withColumns({
         "rule": F.lit(None).cast("string"), "ruled": F.lit(None).cast("string")})
 
-    # The bound on the sample also bounds the statistics of suffixes, which are broadcast.
-    labelled = ruled.where("ruled IS NOT NULL").select("url", "host", "path", "ruled")
-    sample = labelled.orderBy(F.xxhash64("url", F.lit(seed)), "url").limit(train_rows)
-    sample = written(_lexical(sample).withColumn("label", (F.col("ruled") == BLOCK).cast("double")),
-                     "url-sample")
-    classes = {r["label"] for r in sample.select("label").distinct().collect()}
-    share = sample.agg(F.avg("label")).first()[0] or 0.0
-    blocked = (F.sum("label") + 10 * share) / (F.count("*") + 10)
-    suffixes = F.broadcast(sample.groupBy("suffix").agg(
-        F.count("*").cast("double").alias("f_suffix_seen"), blocked.alias("f_suffix_blocked")))
-    segments = F.broadcast(sample.groupBy("segment").agg(blocked.alias("f_segment_blocked")))
+    # Every distinct labelled URL once, with its number.
+    labelled = ruled.where("ruled IS NOT NULL").groupBy("url", "host", "path").agg(
+        (F.first("ruled") == BLOCK).cast("double").alias("label"),
+        F.count("*").cast("double").alias("n"))
+    labelled = written(_lexical(labelled).select(
+        "url", "host", "path", "suffix", "segment", "label", "n"), "url-labelled")
+    classes = {r["label"]: (r["urls"], r["rows"]) for r in labelled.groupBy("label").agg(
+        F.count("*").alias("urls"), F.sum("n").alias("rows")).collect()}
+    rows = sum(c[1] for c in classes.values())
+    share = classes.get(1.0, (0, 0.0))[1] / rows if rows else 0.0
+    blocked = (F.sum(F.col("label") * F.col("n")) + 10 * share) / (F.sum("n") + 10)
+    suffixes = small(written(labelled.groupBy("suffix").agg(
+        F.sum("n").alias("f_suffix_seen"), blocked.alias("f_suffix_blocked")), "url-suffixes"))
+    segments = small(written(labelled.groupBy("segment").agg(
+        blocked.alias("f_segment_blocked")), "url-segments"))
 
     def with_statistics(rows: DataFrame) -> DataFrame:
         known = rows.join(suffixes, "suffix", "left").join(segments, "segment", "left")
@@ -131,13 +158,15 @@ def judge(
     judged = with_statistics(_lexical(ruled))
     if len(classes) == 2:
         vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        train = vector.transform(with_statistics(sample)).select("features", "label").coalesce(4)
+        sample = _sampled(labelled, classes, train_rows, seed)
+        train = vector.transform(with_statistics(_lexical(sample))).select(
+            "features", "label", "weight").coalesce(4)
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=64, seed=seed,
-                              subsamplingRate=1.0).fit(train)
+                              subsamplingRate=1.0, weightCol="weight").fit(train)
         judged = trees.transform(vector.transform(judged))
         score = vector_to_array("probability")[1]
     else:
-        score = F.lit(1.0 if classes == {1.0} else 0.0)
+        score = F.lit(1.0 if set(classes) == {1.0} else 0.0)
     verdict = F.coalesce("ruled", F.when(F.col("score") >= 0.5, BLOCK).otherwise(ALLOW))
     return judged.withColumn("score", score).select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

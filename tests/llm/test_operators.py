@@ -109,6 +109,36 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_urls_learn_from_both_verdicts_and_count_all(spark, monkeypatch):
+    block = [f"x://h{k}.net/fr/{k}" for k in range(60)]
+    allow = [f"x://h{k}.com/{'a' * (k % 9)}{k}" for k in range(60)]
+    names = spark.createDataFrame([(u,) for u in block + allow], "url string")
+    first = names.selectExpr("url", "xxhash64(url, 5) AS at").orderBy("at").first()["url"]
+    # One URL with the lowest hash has more copies than the trees have rows.
+    rows = block + allow + [first] * 50 + ["x://other.net/fra/1", "x://some.org/1"]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r.score for r in urls.judge(pages, train_rows=20).collect()}
+    assert len(got) == len(rows) and all(0 < x < 1 for x in got.values())
+    assert sum(got[k] for k in range(60)) > 50 > 10 > sum(got[60 + k] for k in range(60))
+
+    # Statistics of a suffix are the same whatever the sample.
+    seen = []
+    fitted = urls.GBTClassifier.fit
+
+    def fit(self, train):
+        seen.append(train.collect())
+        return fitted(self, train)
+
+    monkeypatch.setattr(urls.GBTClassifier, "fit", fit)
+    many = [f"x://a.com/{k}" for k in range(90)] + [f"x://b{k}.net/fr/" for k in range(90)]
+    pages = spark.createDataFrame(list(enumerate(many * 2)), "page_id long, url string")
+    urls.judge(pages, train_rows=10).count()
+    assert len(seen[0]) == 10 and {r.label for r in seen[0]} == {0.0, 1.0}
+    assert sum(r.weight for r in seen[0]) == pytest.approx(360)
+    at = urls.FEATURES.index("f_suffix_seen")
+    assert {r.features[at] for r in seen[0] if r.label == 0.0} == {180.0}
+
+
 def test_licences(spark, docs):
     text = "Copyright 2020 Somebody\nRELEASED under the  MIT Licence\n"
     more = spark.createDataFrame([(9, text, "s", 0, "", 0)], DOCS).unionByName(docs)
