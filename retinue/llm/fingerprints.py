@@ -63,48 +63,84 @@ def fingerprint(keys: Column) -> Column:
     return F.concat_ws("-", F.size(keys).cast("string"), cells)
 
 
+def _bounds(ids: DataFrame, bucket_rows: int) -> DataFrame:
+    """(bucket, run, key, head): where the buckets begin, in the order of (doc_id, tie).
+
+    ``key`` is the least of a bucket and ``head`` its greatest. Rows that are alike may
+    fill several buckets, which then have one key; ``run`` is the first of those.
+    """
+    order = (F.asc_nulls_first("doc_id"), F.asc("tie"))
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Partitions hold their rows in order, and the number has the place in its lower 33 bits.
+    begun = ranged.withColumn("at", F.monotonically_increasing_id()).where(
+        F.col("at").bitwiseAND((1 << 33) - 1) % bucket_rows == 0)
+    along = Window.orderBy("at")  # a row for each bucket
+    begun = written(begun.select(F.struct("doc_id", "tie").alias("key"), "at"), "fingerprint-begun")
+    return written(begun.select(
+        "key", F.row_number().over(along).alias("bucket")).withColumn(
+        "run", F.min("bucket").over(Window.partitionBy("key"))), "fingerprint-bounds")
+
+
+def _bucketed(rows: DataFrame, bounds: DataFrame, n: int) -> DataFrame:
+    """``rows`` with the ``bucket`` of their (doc_id, tie); rows that are alike are dealt out."""
+    stride = max(1, int(n ** 0.5))
+    listed = bounds.withColumn("cell", ((F.col("bucket") - 1) / stride).cast("int"))
+    cells = listed.groupBy("cell").agg(F.array_sort(F.collect_list(
+        F.struct("bucket", "run", "key"))).alias("inside"))
+    # Two short lists are searched for each row: the cells, then what is inside of one.
+    cells = written(cells, "fingerprint-cells")
+    firsts = cells.agg(F.array_sort(F.collect_list(F.struct(
+        "cell", F.col("inside")[0].key.alias("key")))).alias("firsts"))
+    key = F.struct("doc_id", "tie")
+    found = rows.withColumn("key", key).withColumn(
+        "deal", F.xxhash64(F.monotonically_increasing_id())).crossJoin(F.broadcast(firsts))
+    found = found.withColumn("cell", F.element_at("firsts", F.size(F.filter(
+        "firsts", lambda f: f.key <= F.col("key")))).cell).drop("firsts")
+    found = found.join(small(cells), "cell").withColumn("last", F.element_at(
+        "inside", F.size(F.filter("inside", lambda b: b.key <= F.col("key"))))).drop("inside")
+    first, last = F.col("last.run"), F.col("last.bucket")
+    dealt = F.when(F.col("last.key") == F.col("key"), first + F.pmod(
+        F.col("deal"), last - first + 1).cast("int")).otherwise(last)
+    return found.withColumn("bucket", dealt).select(*rows.columns, "bucket")
+
+
+def _heads(ids: DataFrame, bounds: DataFrame, n: int) -> DataFrame:
+    """(bucket, doc_id, tie): the row by which each bucket's last one is followed."""
+    last = bounds.groupBy("key").agg(F.max("bucket").alias("bucket"), F.min("run").alias("run"))
+    # The greatest of a bucket: the last of equal ones may have greater rows, the others not.
+    single = last.select("bucket", F.col("bucket").alias("run"), "key")
+    greatest = _bucketed(ids, single, n).groupBy("bucket").agg(
+        F.max(F.struct("doc_id", "tie")).alias("greatest"))
+    along = Window.orderBy(F.desc("bucket"))
+    wrapped = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = bounds.join(greatest, "bucket", "left").select(
+        "bucket", F.coalesce("greatest", "key").alias("head"))
+    return written(heads.select("bucket", F.coalesce(
+        F.lead("head").over(along), F.first("head").over(wrapped)).alias("next")).select(
+        "bucket", "next.doc_id", "next.tie"), "fingerprint-heads")
+
+
 def _followed(rows: DataFrame, bucket_rows: int) -> DataFrame:
     """``rows`` (doc_id, text) with ``keys``, ``bucket``, ``nth`` in it and ``follower``.
 
     The follower is (text, keys) of the next row by descending id, after the last the first. Buckets are
-    ranges of ids; the first row of a bucket is also appended to the bucket before it. Rows
-    with equal ids are ordered by a hash of their text; null ids come last.
+    ranges of (doc_id, tie) of about ``bucket_rows`` rows, however the ids are spread; the
+    first row of a bucket is also appended to the bucket before it. Rows with equal ids are
+    ordered by a hash of their text, the tie; null ids come last.
     """
-    ids = rows.select("doc_id", F.xxhash64("text").alias("tie"))
-    n, low, high = ids.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    low, high = low or 0, high or 0
-    cells = max(1, -(-n // bucket_rows))
-    width = (high - low) // cells + 1
-    offset = F.col("doc_id") - F.lit(low)
-    cell = F.coalesce(F.expr(f"CAST((doc_id - {low}L) DIV {width}L AS LONG)"), F.lit(-1))
-    # Where ids lie close together, a range is divided again.
-    dense = ids.groupBy(cell.alias("cell")).count().where(
-        (F.col("count") > 2 * bucket_rows) & (F.col("cell") >= 0)).select(
-        "cell", F.ceil(F.col("count") / bucket_rows).alias("parts"))
-    dense = written(dense, "fingerprint-dense")
-    if dense.isEmpty():
-        def bucketed(df: DataFrame) -> DataFrame:
-            return df.withColumn("bucket", cell * (1 << 20))
-    else:
-        dense = small(dense)
-
-        def bucketed(df: DataFrame) -> DataFrame:
-            inside = F.floor(F.pmod(offset, F.lit(width)) * F.coalesce("parts", F.lit(1)) / width)
-            return df.withColumn("cell", cell).join(dense, "cell", "left").withColumn(
-                "bucket", F.col("cell") * (1 << 20) + inside).drop("cell", "parts")
-
-    heads = bucketed(ids).groupBy("bucket").agg(F.max(F.struct("doc_id", "tie")).alias("head"))
-    along = Window.orderBy(F.desc("bucket"))  # a row for each bucket
-    wrapped = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = heads.select("bucket", F.coalesce(
-        F.lead("head").over(along), F.first("head").over(wrapped)).alias("next"))
-    heads = small(written(heads.select(
-        F.col("bucket").alias("_bucket"), "next.doc_id", "next.tie"), "fingerprint-heads"))
-    placed = bucketed(rows.withColumn("tie", F.xxhash64("text"))).withColumn("last", F.lit(False))
-    appended = placed.alias("p").join(heads.alias("h"), F.col("p.doc_id").eqNullSafe(
-        F.col("h.doc_id")) & (F.col("p.tie") == F.col("h.tie"))).select(
-        *[F.col("_bucket" if c == "bucket" else f"p.{c}").alias(c) for c in placed.columns])
-    appended = appended.dropDuplicates(["bucket"]).withColumn("last", F.lit(True))
+    ids = written(rows.select("doc_id", F.xxhash64("text").alias("tie")), "fingerprint-ids")
+    bounds = _bounds(ids, bucket_rows)
+    cells = bounds.count()
+    heads = _heads(ids, bounds, cells)
+    tied = rows.withColumn("tie", F.xxhash64("text"))
+    placed = _bucketed(tied, bounds, cells).withColumn("last", F.lit(False))
+    # One text for each key that is a head, then one row for each bucket.
+    keys = small(heads.select("doc_id", "tie").distinct()).alias("h")
+    same = F.col("p.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("p.tie") == F.col("h.tie"))
+    texts = tied.alias("p").join(keys, same, "left_semi").dropDuplicates(["doc_id", "tie"])
+    appended = texts.alias("p").join(small(heads).alias("h"), same).select(
+        "p.doc_id", "p.text", "p.tie", "h.bucket").withColumn("last", F.lit(True))
     order = Window.partitionBy("bucket").orderBy(
         "last", F.desc_nulls_last("doc_id"), F.desc("tie"))
     # What follows is by bucket too and needs no further shuffle. Few buckets a partition

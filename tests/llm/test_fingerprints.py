@@ -79,3 +79,27 @@ def test_repeated_rows_null_ids_single_and_empty(spark):
     one = fingerprints.compare(spark.createDataFrame([(3, "x y z")], schema)).collect()
     assert one[0].near_next == 1.0
     assert fingerprints.compare(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_buckets_of_clustered_null_and_equal_ids(spark):
+    rng = random.Random(3)
+    ids = [*range(300), 10**15, 10**15 + 1, -2**63, 2**63 - 1]
+    rows = [(k, f"text {rng.random()}") for k in ids]
+    rows += [(None, f"none {k}") for k in range(150)] + [(7, "the same")] * 60 + [(None, "")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    placed = fingerprints._followed(docs, 20).select(
+        "doc_id", "text", "bucket", "follower.text").toDF("doc_id", "text", "bucket", "next").collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in placed))) == sorted(map(str, rows))
+    sizes = {}
+    for r in placed:
+        sizes[r.bucket] = sizes.get(r.bucket, 0) + 1
+    assert max(sizes.values()) <= 60 and len(sizes) >= len(rows) // 20
+    # Every text follows as often as it occurs, and ids descend along with the followers.
+    assert sorted(r.next for r in placed) == sorted(t for _, t in rows)
+    after = {r.doc_id: r.next for r in placed if r.doc_id not in (None, 7)}
+    want = sorted((r for r in rows if r[0] is not None), key=lambda r: -r[0])
+    for (doc_id, _), (following, text) in zip(want, want[1:]):
+        if doc_id != 7 and following != 7:
+            assert after[doc_id] == text
+    got = fingerprints.compare(docs.limit(60), 7).count()
+    assert got == 60
