@@ -66,16 +66,21 @@ class Forest:
             found[:, t] = at - inner + t * (inner + 1)
         return found
 
-    def search(self, query: np.ndarray, visits: int) -> list[int]:
-        """The leaves that one priority queue over all trees reaches first."""
+    def search(self, query: np.ndarray, visits: int, held: dict[int, int], least: int) -> list[int]:
+        """The leaves that one priority queue over all trees reaches first.
+
+        It goes on past ``visits`` until the leaves reached of some tree hold ``least``
+        members (``held`` by leaf), which are distinct, or no leaf is left.
+        """
         margins = self.directions[:, :, :-1] @ query - self.thresholds
         inner = margins.shape[1]
         queue = [(0.0, t, 0) for t in range(len(margins))]
-        reached = []
-        while queue and len(reached) < visits:
+        reached, members = [], [0] * len(margins)
+        while queue and (len(reached) < visits or max(members) < least):
             cost, t, node = heapq.heappop(queue)
             if node >= inner:
                 reached.append(node - inner + t * (inner + 1))
+                members[t] += held.get(reached[-1], 0)
                 continue
             margin = margins[t, node]
             near = 2 * node + 1 + int(margin > 0)
@@ -106,8 +111,9 @@ def nearest(
     those of the query's id. Score is the inner product in double precision, ties go to
     the smaller id. Rows with null id, or a vector that is null, zero, of another length
     than most or has null or non-finite components, take no part. Repeated rows count
-    once; an id with several vectors is found by its best. No row, no result; with fewer
-    candidates than ``k``, all that the visited leaves hold. Other columns are not read.
+    once; an id with several vectors is found by its best. No row, no result; with at most
+    ``k`` distinct vectors all candidates are looked at, else leaves that hold more than ``k``
+    distinct ones at least. Other columns are not read.
 
     Equal vectors are one candidate that carries its ``k + 1`` smallest ids, which is all
     that any result can show of it, so a vector with very many copies is no hot leaf.
@@ -150,12 +156,16 @@ def nearest(
         for rows in batches:
             for start in range(0, len(rows), 50):
                 part = rows.iloc[start:start + 50]
-                reached = [forest.value.search(q, visits) for q in _matrix(part["v"])]
+                reached = [forest.value.search(q, visits, held, least)
+                           for q in _matrix(part["v"])]
                 yield part.assign(leaf=reached).explode("leaf")
 
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     deal = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
     members = classes.mapInPandas(index, "v array<double>, ids array<long>, leaf long")
+    # A number for each leaf of the forest, trees * leaves at most.
+    held = {r["leaf"]: r["count"] for r in members.groupBy("leaf").count().collect()}
+    least = min(k + 1, n)
     members = members.withColumn("block", deal("v", blocks)).withColumn(
         "query_block", spread(query_blocks))
     asking = queries.withColumnRenamed("vec_id", "query_id").mapInPandas(

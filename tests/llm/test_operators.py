@@ -199,6 +199,17 @@ def test_nearest(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 15, 30])
+def test_nearest_of_few_vectors_are_all_listed(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(rng.normal(size=(n, 24)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(table, every=1, visits=4).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert {q: len(f) for q, f in found.items()} == {k: min(20, n - 1) for k in range(n)}
+
+
 def test_toxicity(spark):
     rng = random.Random(5)
     text = lambda bad: " ".join(rng.choices([f"w{k}" for k in range(200)], k=60) + bad)
