@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.llm import (
+    alignment,
     fingerprints,
     jaccard,
     katz,
@@ -78,6 +79,11 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.judge(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its tokens by two tokenizers, their groups and links."""
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
     "op10_katz": op10_katz,
+    "op13_alignment": op13_alignment,
 }
 
 _OP2 = r"""
