@@ -12,6 +12,7 @@ from retinue.llm import (
     katz,
     licences,
     mixing,
+    negatives,
     neighbours,
     packing,
     sharding,
@@ -79,6 +80,13 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.judge(_table(spark, sf_dir, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, with every seventh one's label moved on."""
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its tokens by two tokenizers, their groups and links."""
     return alignment.align(_table(spark, sf_dir, "documents"))
@@ -95,6 +103,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
     "op10_katz": op10_katz,
+    "op12_negatives": op12_negatives,
     "op13_alignment": op13_alignment,
 }
 
@@ -163,4 +172,30 @@ FROM (SELECT *, {_sql_canonical("body")} AS form FROM docs) d LEFT JOIN found US
 LEFT JOIN known ON digest = CASE WHEN form <> '' THEN md5(form) END
 """
 
-ORACLE_SQL = {"op2_mixing": _OP2, "op9_licences": _OP9}
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS nth
+  FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score,
+    s.score AS negative_score, CAST(row_number() OVER (
+      PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id
+  WHERE p.nth <= 5 AND NOT s.same AND 50 * positive_score <= 100 * s.score
+    AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n
+WHERE rank <= 3"""
+
+ORACLE_SQL = {"op2_mixing": _OP2, "op9_licences": _OP9, "op12_negatives": _OP12}
