@@ -16,6 +16,7 @@ from retinue.llm import (
     neighbours,
     packing,
     sharding,
+    substrings,
     toxicity,
     urls,
 )
@@ -80,6 +81,11 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with how many words repeat earlier windows, and what is left of it."""
+    return substrings.repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, with every seventh one's label moved on."""
     rows = _table(spark, sf_dir, "embeddings")
@@ -103,6 +109,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_licences": op9_licences,
     "op10_katz": op10_katz,
+    "op11_substrings": op11_substrings,
     "op12_negatives": op12_negatives,
     "op13_alignment": op13_alignment,
 }
@@ -172,6 +179,31 @@ FROM (SELECT *, {_sql_canonical("body")} AS form FROM docs) d LEFT JOIN found US
 LEFT JOIN known ON digest = CASE WHEN form <> '' THEN md5(form) END
 """
 
+_OP11 = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos, len(words) AS n FROM t
+), runs AS (
+  SELECT doc_id, pos, n, md5(string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)) AS run FROM w
+), later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth
+    FROM runs WHERE pos + 20 <= n) x
+  WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM later
+), kept AS (
+  SELECT w.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY w.pos) AS kept
+  FROM w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.pos = w.pos WHERE g.doc_id IS NULL
+  GROUP BY w.doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN kept k ON k.doc_id = t.doc_id"""
+
 _OP12 = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -198,4 +230,5 @@ WITH v AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n
 WHERE rank <= 3"""
 
-ORACLE_SQL = {"op2_mixing": _OP2, "op9_licences": _OP9, "op12_negatives": _OP12}
+ORACLE_SQL = {"op2_mixing": _OP2, "op9_licences": _OP9, "op11_substrings": _OP11,
+              "op12_negatives": _OP12}
