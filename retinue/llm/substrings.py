@@ -7,7 +7,7 @@ difference modulo v is one of two members of D), any two equal windows of at lea
 they begin. So only runs of w words at cover positions (``anchors``) are hashed and compared,
 4 of 13 positions for the default, and windows are looked at only where they contain an
 anchor that occurs elsewhere too: there the match is extended to the whole window by a
-128-bit hash, and of equal windows all but the earliest are marked.
+96-bit hash, and of equal windows all but the earliest are marked.
 
 Anchors and windows travel packed, by slices of their hash. A task keeps only its earliest
 copy of a window and marks the others at once, so that a passage of very many documents is
@@ -31,7 +31,7 @@ from retinue.llm.common import WORD, word_count, written
 
 WINDOW, PERIOD = 20, 13
 #: Characters of text whose hashes make up one slice, and what a task gathers before packing.
-SLICE_CHARS = 24_000_000
+SLICE_CHARS = 48_000_000
 FLUSH_WORDS = 1_500_000
 #: Characters split into words at once.
 BATCH_CHARS = 1_500_000
@@ -45,6 +45,8 @@ PLACE = np.dtype([("none", "u1"), ("id", "<i8"), ("a", "<u8"), ("b", "<u8")])
 
 ANCHOR_SCHEMA = "slice int, docs binary, hash binary, doc binary, at binary"
 WINDOW_SCHEMA = "slice int, docs binary, high binary, low binary, doc binary, at binary"
+FOUND_SCHEMA = "bucket int, docs binary, doc binary, at binary"
+DIGEST = "<u8,<u8"
 
 
 @lru_cache(8)
@@ -108,8 +110,9 @@ def _pick(keys: list[np.ndarray], count: int) -> Iterator[tuple[int, slice]]:
 
 
 def _referred(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    used, at = np.unique(doc, return_inverse=True)
-    return used, at.astype("<u4")
+    """The documents of entries that are in their order, and how many entries each has."""
+    used, counts = np.unique(doc, return_counts=True)
+    return used, counts.astype("<u4")
 
 
 def anchors(rows: DataFrame, slices: int, window: int, period: int, flush: int) -> DataFrame:
@@ -120,8 +123,10 @@ def anchors(rows: DataFrame, slices: int, window: int, period: int, flush: int)
     def pack(digests, hashes, docs, at) -> Iterator[dict]:
         hashes, docs, at = map(np.concatenate, (hashes, docs, at))
         by = (hashes % np.uint64(slices)).astype(np.int64)
-        order = np.lexsort((hashes, by))
+        order = np.argsort(by, kind="stable")
         names = np.frombuffer(b"".join(digests), "V16")
+        # Half of the hash will do within a slice: a coincidence costs a look, no result.
+        hashes = (hashes >> np.uint64(32)).astype("<u4")
         for s, here in _pick([by[order]], slices):
             used, doc = _referred(docs[order[here]])
             yield {"slice": s, "docs": names[used].tobytes(), "hash": hashes[order[here]].tobytes(),
@@ -184,20 +189,30 @@ def _joined(packs: pd.DataFrame, column: str, kind: str) -> np.ndarray:
 
 def _documents(packs: pd.DataFrame, kind) -> tuple[np.ndarray, np.ndarray]:
     """The distinct documents of several packs, in order, and that of each entry."""
-    sizes = [len(x) // np.dtype(kind).itemsize for x in packs["docs"]]
     names, at = np.unique(_joined(packs, "docs", kind), return_inverse=True)
-    first = np.cumsum(sizes) - sizes
-    local = [np.frombuffer(x, "<u4").astype(np.int64) + k for x, k in zip(packs["doc"], first)]
-    return names, at[np.concatenate(local)]
+    return names, np.repeat(at, _joined(packs, "doc", "<u4"))
 
 
-def _by_document(names: list[bytes], doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+def _by_bucket(names: np.ndarray, doc: np.ndarray, at: np.ndarray, buckets: int) -> Iterator[dict]:
+    """Positions in documents, packed by buckets of digests, so that rows do not multiply
+    where a document has some in every slice."""
+    by = (names["f0"] % np.uint64(buckets)).astype(np.int64)[doc]
+    order = np.lexsort((at, doc, by))
+    by, doc, at = by[order], doc[order], at[order]
+    for bucket, here in _pick([by], buckets):
+        used, local = _referred(doc[here])
+        yield {"bucket": bucket, "docs": names[used].tobytes(), "doc": local.tobytes(),
+               "at": at[here].astype("<u4").tobytes()}
+
+
+def gather(packs: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: each document with all its positions."""
+    names, doc = _documents(packs, DIGEST)
+    at = _joined(packs, "at", "<u4")
     order = np.argsort(doc, kind="stable")
-    doc, at = doc[order], at[order].astype("<u4")
-    bounds = np.searchsorted(doc, np.arange(len(names) + 1))
-    kept = [k for k in range(len(names)) if bounds[k] < bounds[k + 1]]
-    return pd.DataFrame({"digest": [names[k] for k in kept],
-                         "at": [at[bounds[k]:bounds[k + 1]].tobytes() for k in kept]})
+    at, bounds = at[order], np.searchsorted(doc[order], np.arange(len(names) + 1))
+    return pd.DataFrame({"digest": [n.tobytes() for n in names],
+                         "at": [at[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]})
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -209,10 +224,10 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return first
 
 
-def shared_anchors(packs: pd.DataFrame) -> pd.DataFrame:
+def shared_anchors(packs: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Of one slice: documents and the positions of their anchors that occur elsewhere too."""
-    names, doc = _documents(packs, "<u8,<u8")
-    hashes, at = _joined(packs, "hash", "<u8"), _joined(packs, "at", "<u4")
+    names, doc = _documents(packs, DIGEST)
+    hashes, at = _joined(packs, "hash", "<u4"), _joined(packs, "at", "<u4")
     order = np.lexsort((at, doc, hashes))
     hashes, doc, at = hashes[order], doc[order], at[order]
     # A text that several tasks hold gives the same entries more than once.
@@ -220,13 +235,17 @@ def shared_anchors(packs: pd.DataFrame) -> pd.DataFrame:
     hashes, doc, at = hashes[once], doc[once], at[once]
     run = np.cumsum(_starts(hashes)) - 1
     shared = np.bincount(run)[run] > 1
-    return _by_document([n.tobytes() for n in names], doc[shared], at[shared])
+    return _frame(_by_bucket(names, doc[shared], at[shared], buckets))
 
 
-def _digest(names: np.ndarray) -> list[bytes]:
-    raw = np.empty((len(names), 2), "<u8")
-    raw[:, 0], raw[:, 1] = names["a"], names["b"]
-    return [r.tobytes() for r in raw]
+def _frame(rows: Iterator[dict]) -> pd.DataFrame:
+    return pd.DataFrame(list(rows), columns=[c.split()[0] for c in FOUND_SCHEMA.split(", ")])
+
+
+def _digests(places: np.ndarray) -> np.ndarray:
+    made = np.empty(len(places), dtype=DIGEST)
+    made["f0"], made["f1"] = places["a"], places["b"]
+    return made
 
 
 def candidate_starts(shared: np.ndarray, words: int, window: int, period: int) -> np.ndarray:
@@ -240,7 +259,7 @@ def candidate_starts(shared: np.ndarray, words: int, window: int, period: int) -
 def windows(rows: DataFrame, slices: int, window: int, period: int, flush: int) -> DataFrame:
     """Packed windows around shared anchors, the earliest of equal ones in a task.
 
-    Rows without hashes are marks already made: ``docs`` is one digest, ``at`` the starts.
+    Rows without hashes are marks already made, by digest; their slice is a bucket.
     """
     types = _types(WINDOW_SCHEMA)
 
@@ -255,15 +274,15 @@ def windows(rows: DataFrame, slices: int, window: int, period: int, flush: int)
         order = np.lexsort((at, doc, low, high, by))
         by, high, low, doc, at = (x[order] for x in (by, high, low, doc, at))
         first = _starts(by, high, low)
-        marks = _by_document(_digest(places), doc[~first], at[~first])
-        for digest, starts in zip(marks["digest"], marks["at"]):
-            yield {"slice": int.from_bytes(digest[:4], "little") % slices, "docs": digest,
-                   "at": starts}
-        by, high, low, doc, at = (x[first] for x in (by, high, low, doc, at))
+        for marked in _by_bucket(_digests(places), doc[~first], at[~first], slices):
+            marked["slice"] = marked.pop("bucket")
+            yield marked
+        order = np.lexsort((at[first], doc[first], by[first]))
+        by, high, low, doc, at = (x[first][order] for x in (by, high, low, doc, at))
         for s, here in _pick([by], slices):
             used, local = _referred(doc[here])
             yield {"slice": s, "docs": places[used].tobytes(), "high": high[here].tobytes(),
-                   "low": low[here].tobytes(), "doc": local.tobytes(),
+                   "low": low[here].astype("<u4").tobytes(), "doc": local.tobytes(),
                    "at": at[here].astype("<u4").tobytes()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -274,7 +293,7 @@ def windows(rows: DataFrame, slices: int, window: int, period: int, flush: int)
             for part in _parts(texts):
                 words, sizes = _words([texts[k] for k in part])
                 starts = [candidate_starts(
-                    np.frombuffer(b"".join(shared[k]), "<u4").astype(np.int64), n, window, period)
+                    np.frombuffer(shared[k], "<u4").astype(np.int64), n, window, period)
                     for k, n in zip(part, sizes.tolist())]
                 doc = np.repeat(np.arange(len(places), len(places) + len(part)),
                                 [len(s) for s in starts])
@@ -282,7 +301,8 @@ def windows(rows: DataFrame, slices: int, window: int, period: int, flush: int)
                 where = at + np.repeat(np.cumsum(sizes) - sizes, [len(s) for s in starts])
                 hashes = Hashes(words)
                 for into, values in zip(found, (hashes.runs(where, window),
-                                                hashes.runs(where, window, 1), doc, at)):
+                                                hashes.runs(where, window, 1) >> np.uint64(32),
+                                                doc, at)):
                     into.append(values)
                 places += [(ids[k] is None, ids[k] or 0, *np.frombuffer(digests[k], "<u8"))
                            for k in part]
@@ -296,19 +316,19 @@ def windows(rows: DataFrame, slices: int, window: int, period: int, flush: int)
     return rows.mapInArrow(_dicts(run, types), WINDOW_SCHEMA)
 
 
-def repeated_windows(packs: pd.DataFrame) -> pd.DataFrame:
+def repeated_windows(packs: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Of one slice: documents and the starts of windows that are not the earliest."""
     made = packs["high"].isna()
-    marks = packs[made].rename(columns={"docs": "digest"})[["digest", "at"]]
+    marks = packs[made].rename(columns={"slice": "bucket"})[["bucket", "docs", "doc", "at"]]
     packs = packs[~made]
     if not len(packs):
         return marks
     names, doc = _documents(packs, PLACE)
-    high, low = _joined(packs, "high", "<u8"), _joined(packs, "low", "<u8")
+    high, low = _joined(packs, "high", "<u8"), _joined(packs, "low", "<u4")
     at = _joined(packs, "at", "<u4")
     order = np.lexsort((at, doc, low, high))
     later = order[~_starts(high[order], low[order])]
-    found = _by_document(_digest(names), doc[later], at[later])
+    found = _frame(_by_bucket(_digests(names), doc[later], at[later], buckets))
     return pd.concat([marks, found]) if len(marks) else found
 
 
@@ -324,7 +344,7 @@ def _kept(rows: DataFrame, window: int) -> DataFrame:
                 words = text.encode().split()
                 steps = np.zeros(len(words) + 1, dtype=np.int64)
                 if at:
-                    starts = np.frombuffer(b"".join(at), "<u4").astype(np.int64)
+                    starts = np.frombuffer(at, "<u4").astype(np.int64)
                     np.add.at(steps, starts, 1)
                     np.add.at(steps, starts + window, -1)
                 gone = np.cumsum(steps)[:-1] > 0
@@ -366,16 +386,19 @@ def repeats(
     chars = filled.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = int(max(1, -(-chars // slice_chars)))
 
-    found = written(
-        anchors(filled.select("digest", "text"), slices, window, period, flush_words).groupBy("slice")
-        .applyInPandas(shared_anchors, "digest binary, at binary"), "substrings-shared")
+    def by_document(packs: DataFrame, judge) -> DataFrame:
+        found = packs.groupBy("slice").applyInPandas(lambda p: judge(p, slices), FOUND_SCHEMA)
+        return found.groupBy("bucket").applyInPandas(gather, "digest binary, at binary")
+
+    shared = written(by_document(
+        anchors(filled.select("digest", "text"), slices, window, period, flush_words),
+        shared_anchors), "substrings-shared")
     texts = filled.groupBy("digest").agg(
         F.min("doc_id").alias("first_id"), F.first("text").alias("text"))
-    gathered = found.groupBy("digest").agg(F.collect_list("at").alias("at"))
-    marks = windows(texts.join(gathered, "digest"), slices, window, period, flush_words).groupBy(
-        "slice").applyInPandas(repeated_windows, "digest binary, at binary")
-    marked = marks.groupBy("digest").agg(F.collect_list("at").alias("at")).toDF("digest", "at")
-    kept = _kept(texts.join(marked, "digest", "left"), window)
+    marks = by_document(
+        windows(texts.join(shared, "digest"), slices, window, period, flush_words),
+        repeated_windows).toDF("digest", "at")
+    kept = _kept(texts.join(marks, "digest", "left"), window)
 
     # Rows need a text's result only if they are its first; others need their words alone.
     words = F.when(F.col("n_words") < window, F.array_join(
