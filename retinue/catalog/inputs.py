@@ -135,10 +135,11 @@ def _total_rows(spark, sf_dir, day=DAY):
     return metrics.total_metrics(totals, day)
 
 
-TOTAL_ROWS = f"""
+def total_rows_sql(visits_view: str = "vis") -> str:
+    return f"""
 SELECT 'COMMON,' || pid || ',' || s.first || ',{DAY},visit.*,' || s.segment
   || ',VF-ALL-0-0,PERIOD' AS cache_key, '{DAY} 00:00' AS label, CAST(s.users AS BIGINT) AS users
-FROM ({totals_sql(DAY)}) t, LATERAL (VALUES
+FROM ({totals_sql(DAY, visits_view)}) t, LATERAL (VALUES
   ('{DAY}', 'TOTAL_USER', dau), ('{back(7)}', 'TOTAL_USER', wau),
   ('{back(30)}', 'TOTAL_USER', mau),
   ('{DAY}', '{{"register_time":{{"$gte":"{DAY}","$lte":"{DAY}"}}}}', new_users),
@@ -148,6 +149,9 @@ FROM ({totals_sql(DAY)}) t, LATERAL (VALUES
 ) s(first, segment, users)"""
 
 
+TOTAL_ROWS = total_rows_sql()
+
+
 @add("reload_metrics", TOTAL_ROWS)
 def _(spark, sf_dir):
     root = shared_dir(spark)

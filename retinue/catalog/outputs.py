@@ -23,7 +23,7 @@ from retinue.catalog.common import (
     visits_of,
     week,
 )
-from retinue.catalog.inputs import TOTAL_ROWS
+from retinue.catalog.inputs import TOTAL_ROWS, total_rows_sql
 from retinue.catalog.scalars import search_key_sql
 from retinue.catalog.searches import CUBE_DAY, cube_sql
 from retinue.catalog.users import SET_RULES, active_sql, page_views
@@ -34,7 +34,7 @@ from retinue.operators.profile import group_totals, user_profile
 from retinue.operators.visits import visits
 from retinue.plans.daily import run_daily, stage_devices, write_visits
 from retinue.plans.history import republish as republish_job
-from retinue.plans.history import run_history
+from retinue.plans.history import publish_history, run_history
 from retinue.plans.search import run_search, run_search_levels, stage_search
 from retinue.settings import Settings
 from retinue.sources import sample, store
@@ -293,13 +293,20 @@ def _(spark, sf_dir):
 @add("history_job", SET_RULES + f"SELECT * FROM ({_history_sql('setvis')}) h")
 def _(spark, sf_dir):
     warehouse = new_warehouse(spark, everything(spark, sf_dir))
-    path = shared_dir(spark)
     groups = sample.groups(spark)
     for day in HISTORY_DAYS:
-        newest = run_history(warehouse, groups, GROUP_NAMES, day, HEARTBEAT_PIDS, path)
+        newest = run_history(warehouse, groups, GROUP_NAMES, day, HEARTBEAT_PIDS)
     return newest
 
 
+@add("publish_history", SET_RULES + f"""SELECT cache_key, label, users
+FROM ({total_rows_sql('setvis')}) t WHERE cache_key NOT LIKE 'COMMON,g3,%'""")
+def _(spark, sf_dir):
+    warehouse = new_warehouse(spark, everything(spark, sf_dir))
+    run_history(warehouse, sample.groups(spark), GROUP_NAMES, DAY, HEARTBEAT_PIDS)
+    return publish_history(warehouse, GROUP_NAMES, DAY).select("cache_key", "label", "users")
+
+
 IN_G1 = "AND pid IN ('p0', 'p1')"
 
 

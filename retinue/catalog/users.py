@@ -26,7 +26,7 @@ from retinue.operators import counters, identity, registrations, search, segment
 from retinue.operators import metrics as M
 from retinue.operators import visits as V
 from retinue.operators.profile import group_totals, user_profile
-from retinue.plans.history import cohort_totals
+from retinue.plans.history import cohort_totals, set_visits
 from retinue.settings import Settings
 
 catalog = Catalog()
@@ -372,4 +372,5 @@ setvis AS (
 @add("cohort_sets", SET_RULES + totals_sql(DAY, "setvis"))
 def _(spark, sf_dir):
     x = month(spark, sf_dir)
-    return cohort_totals(x.events, x.ids, x.properties, x.groups, DAY, HEARTBEAT_PIDS)
+    visited = set_visits(x.events, x.ids, back(29), DAY, HEARTBEAT_PIDS)
+    return cohort_totals(visited, x.ids, x.properties, x.groups, DAY)

@@ -39,3 +39,10 @@ def unpivot_newest(history: DataFrame, groups: Sequence[str]) -> DataFrame:
         for m in HISTORY_METRICS for g in groups
     ]
     return newest(history, 1).select("day", F.inline(F.array(*entries)))
+
+
+def wide_totals(entries: DataFrame) -> DataFrame:
+    """(pid, metric, users) rows back to one row per group with a column per metric."""
+    return entries.groupBy("pid").agg(*[
+        F.max(F.when(F.col("metric") == m, F.col("users"))).alias(m) for m in HISTORY_METRICS
+    ])

@@ -222,9 +222,9 @@ def reset_then(rows: DataFrame, zeros: DataFrame) -> DataFrame:
     return rows.unionByName(zeros.join(written, "cache_key", "left_anti"))
 
 
-#: Page views give way to the user metrics that carry them on, and the breakdown by single
+#: Page views give way to the user metrics that carry them on, as do totals by the set rules, and the breakdown by single
 #: levels, which counts every path, to the combinations, which count a user's first path.
-FAMILY_ORDER = ("page_views", "search_levels", "search_week", "search_day", "users")
+FAMILY_ORDER = ("page_views", "history", "search_levels", "search_week", "search_day", "users")
 
 
 def merge_metric_sets(first: DataFrame, *later: DataFrame) -> DataFrame:

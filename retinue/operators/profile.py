@@ -6,6 +6,7 @@ the visits once for each of them.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,14 +56,38 @@ def _recent_registrations(bounds: DataFrame, day: str) -> DataFrame:
     )
 
 
-def user_profile(visit_rows: DataFrame, bounds: DataFrame, day: str) -> DataFrame:
+def user_profile(
+    visit_rows: DataFrame, bounds: DataFrame, day: str, days: int = MONTH_DAYS
+) -> DataFrame:
     """(pid, orig_id, visit_mask, reg_age, is_cover) of users a metric of ``day`` needs.
 
     Visits and registrations are stacked and aggregated rather than joined: a single
     shuffle whose input is combined beforehand, and nothing to sort. Duplicate visit rows
-    do no harm, so visits need not be de-duplicated first.
+    do no harm, so visits need not be de-duplicated first. With fewer ``days`` only the
+    visits of these are read; flags that look further back are then not to be used.
     """
-    visits = _visit_bits(visit_rows, day, MONTH_DAYS)
+    return _profile(_visit_bits(visit_rows, day, days), bounds, day)
+
+
+def rolled_profile(
+    previous: DataFrame, since: str, visit_rows: DataFrame, bounds: DataFrame, day: str
+) -> DataFrame:
+    """The profile of ``day`` from the one of ``since``, an earlier day of its month.
+
+    The masks move on by the days between, losing those that leave the month, and only the
+    visits after ``since`` are read. Registrations are taken anew, as they may have changed.
+    """
+    days = (date.fromisoformat(day) - date.fromisoformat(since)).days
+    if not 0 < days < MONTH_DAYS:
+        raise ValueError(f"{since} is not in the month that ends at {day}, or not before it")
+    moved = F.call_function("shiftleft", F.col("visit_mask"), F.lit(days))
+    kept = previous.select(
+        "pid", "orig_id", moved.bitwiseAND(F.lit((1 << MONTH_DAYS) - 1)).alias("visit_mask")
+    ).where(F.col("visit_mask") != 0)
+    return _profile(kept.unionByName(_visit_bits(visit_rows, day, days)), bounds, day)
+
+
+def _profile(visits: DataFrame, bounds: DataFrame, day: str) -> DataFrame:
     return (
         visits.unionByName(_recent_registrations(bounds, day), allowMissingColumns=True)
         .groupBy("pid", "orig_id")
@@ -120,5 +145,5 @@ def group_totals(profile: DataFrame) -> DataFrame:
 
 
 def group_breakdown(segmented: DataFrame) -> DataFrame:
-    """One row per group and attribute value; input carries ``attr_value``."""
-    return segmented.groupBy("pid", "attr_value").agg(*_counts(breakdown_flags()))
+    """One row per group, attribute and value; input carries ``attr`` and ``attr_value``."""
+    return segmented.groupBy("pid", "attr", "attr_value").agg(*_counts(breakdown_flags()))

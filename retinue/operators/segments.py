@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import compact, shift
@@ -70,7 +70,7 @@ def retention_by_attr(
     A step (age, days) takes the cohort registered ``age`` days before ``day`` and its
     visits on the ``days`` days ending at ``day``.
     """
-    users = up.user_profile(visits, bounds, day)
+    users = up.user_profile(visits, bounds, day, max(days for _age, days in steps))
     step_rows = [
         F.when(
             up.retained(age, days),
@@ -89,7 +89,29 @@ def retention_by_attr(
     )
 
 
-def breakdown(profile: DataFrame, attrs: DataFrame, attr: str) -> DataFrame:
-    """All per-value metrics of a day in one pass over the profile."""
+def with_attributes(users: DataFrame, attrs: DataFrame, *names: str) -> DataFrame:
+    """Users, unique on (pid, orig_id), once for each value of each attribute.
+
+    The values of a user are gathered as one array per attribute, so that one scan of the
+    attributes and one join serve any number of them. A user without a value of an attribute
+    gets the unknown value there.
+    """
+    gathered = attrs.where(F.col("attr").isin(*names)).groupBy("pid", "orig_id").agg(*[
+        F.collect_set(F.when(F.col("attr") == name, F.col("val"))).alias(f"values_{i}")
+        for i, name in enumerate(names)
+    ])
+
+    def named(name: str, values: Column) -> Column:
+        known = F.when(F.size(values) > 0, values).otherwise(F.array(F.lit(UNKNOWN_VALUE)))
+        return F.transform(
+            known, lambda v: F.struct(F.lit(name).alias("attr"), v.alias("attr_value")))
+
+    rows = [named(name, F.col(f"values_{i}")) for i, name in enumerate(names)]
+    joined = users.join(gathered, ["pid", "orig_id"], "left")
+    return joined.select(*users.columns, F.inline(F.concat(*rows)))
+
+
+def breakdown(profile: DataFrame, attrs: DataFrame, *names: str) -> DataFrame:
+    """All per-value metrics of a day, of all the attributes, in one pass over the profile."""
     counted = profile.where(up.any_of(up.breakdown_flags()))
-    return up.group_breakdown(with_attribute(counted, attrs, attr))
+    return up.group_breakdown(with_attributes(counted, attrs, *names))

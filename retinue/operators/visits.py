@@ -68,6 +68,19 @@ def visit_rows(
     return to_groups(events_to_devices(in_any_group(visited, groups), devices), groups)
 
 
+def member_visits(
+    events: DataFrame,
+    devices: DataFrame,
+    from_day: str,
+    to_day: str,
+    heartbeat_pids: Sequence[str] | None = None,
+    utc_offset_hours: int = 0,
+) -> DataFrame:
+    """Distinct (day, orig_id, pid) of visiting devices per sub-project, of no group yet."""
+    visited = visit_events(events, from_day, to_day, heartbeat_pids, utc_offset_hours)
+    return events_to_devices(visited, devices).select("day", "orig_id", "pid").distinct()
+
+
 def visits(*args, **kwargs) -> DataFrame:
     """Distinct visitors per group and day; arguments as for ``visit_rows``."""
     return visit_rows(*args, **kwargs).distinct()

@@ -11,13 +11,13 @@ from retinue.functions.days import shift
 from retinue.local import local_rows
 from retinue.operators import metrics as M
 from retinue.operators.identity import device_ids
-from retinue.operators.profile import MONTH_DAYS, group_totals, user_profile
+from retinue.operators.profile import MONTH_DAYS, group_totals, rolled_profile, user_profile
 from retinue.operators.registrations import register_bounds
 from retinue.operators.segments import attributes, breakdown
 from retinue.operators.visits import visits
 from retinue.settings import NATION, REGISTER_TIME, Settings
 from retinue.sources.store import export_json, publish
-from retinue.sources.warehouse import Warehouse, cut_lineage
+from retinue.sources.warehouse import Registration, Warehouse, cut_lineage
 
 FAMILY = "users"
 
@@ -60,9 +60,12 @@ def group_config(
 
 
 def stage_devices(warehouse: Warehouse, members: list[str]) -> None:
-    """Write the cleaned id map of the given sub-projects for every later step."""
+    """Write the cleaned id map of the given sub-projects for every later step.
+
+    A sub-project whose id map has become empty has no devices any more.
+    """
     ids = warehouse.table("user_id").where(F.col("pid").isin(*members))
-    warehouse.overwrite_found("user_device", device_ids(ids))
+    warehouse.overwrite_each("user_device", device_ids(ids), [{"pid": m} for m in members])
 
 
 def write_visits(
@@ -71,26 +74,35 @@ def write_visits(
     """Write the visits of a range of days.
 
     A single day is replaced as a whole; in a longer range, a backfill, the groups that
-    have visitors on a day.
+    have visitors on a day. Activity derived from these days before is forgotten.
     """
-    groups, _, members = group_config(warehouse, groups, settings)
+    local, _, members = group_config(warehouse, groups, settings)
+    _write_visits(warehouse, local, members, settings, from_day, to_day)
+
+
+def _write_visits(
+    warehouse: Warehouse, groups: DataFrame, members: list[str], settings: Settings,
+    from_day: str, to_day: str,
+) -> None:
     of_members = F.col("pid").isin(*members)
     rows = visits(
         warehouse.table("user_event").where(of_members),
         warehouse.table("user_device").where(of_members),
         groups, from_day, to_day, settings.heartbeat_pids, settings.utc_offset_hours,
     )
+    warehouse.forget("user_activity", from_day, shift(to_day, 1 - MONTH_DAYS))
     if from_day == to_day:
         warehouse.overwrite("user_visit", rows.drop("day"), day=to_day)
     else:
         warehouse.overwrite_found("user_visit", rows)
 
 
-def stage_users(warehouse: Warehouse, groups: DataFrame, settings: Settings, day: str) -> None:
+def stage_users(
+    warehouse: Warehouse, local: DataFrame, members: list[str], settings: Settings, day: str
+) -> None:
     """Write devices, visits of ``day``, registration bounds and attributes."""
-    local, _, members = group_config(warehouse, groups, settings)
     stage_devices(warehouse, members)
-    write_visits(warehouse, groups, settings, day, day)
+    _write_visits(warehouse, local, members, settings, day, day)
     of_members = F.col("pid").isin(*members)
     devices = warehouse.table("user_device").where(of_members)
     properties = warehouse.table("user_property").where(of_members)
@@ -101,6 +113,28 @@ def stage_users(warehouse: Warehouse, groups: DataFrame, settings: Settings, day
         warehouse.overwrite("user_attribute", values.drop("attr"), attr=attr)
 
 
+def stage_activity(warehouse: Warehouse, day: str) -> DataFrame:
+    """Write the activity of ``day``: each user's visits of a month as a mask, and the
+    registration that a metric needs; returns it.
+
+    It is rolled on from the newest activity of an earlier day of the month, so that only the
+    visits since then are read, and built from the whole month where there is none. Whoever
+    writes visits forgets the activity that follows from them, so what is stored is good:
+    late days and repeated ones give what a full rebuild gives.
+    """
+    visits_, bounds = warehouse.table("user_visit"), warehouse.table("user_register_time")
+    first = shift(day, MONTH_DAYS - 1)
+    since = max((d for d in warehouse.days("user_activity") if first <= d < day), default=None)
+    if since is None:
+        rows = user_profile(visits_, bounds, day)
+    else:
+        before = warehouse.table("user_activity").where(F.col("day") == since)
+        rows = rolled_profile(before, since, visits_, bounds, day)
+    warehouse.overwrite_each("user_activity", rows.withColumn("day", F.lit(day)),
+                             warehouse.partitions("user_activity", day, day))
+    return warehouse.table("user_activity").where(F.col("day") == day).drop("day")
+
+
 def run_daily(
     warehouse: Warehouse, groups: DataFrame, settings: Settings, day: str, export_root: str
 ) -> DataFrame:
@@ -110,27 +144,24 @@ def run_daily(
     the joins behind them. A failed step fails the day and publishes nothing. Days of the
     month without stored visits are reported as a warning, as they count nobody.
     """
-    _, names, members = group_config(warehouse, groups, settings)
-    register_inputs(warehouse, members, settings, day)
-    stage_users(warehouse, groups, settings, day)
+    local, names, members = group_config(warehouse, groups, settings)
+    failed = [r for r in register_inputs(warehouse, members, settings, day) if r.error]
+    if failed:
+        warnings.warn(f"not registered: {failed}", stacklevel=2)
+    stage_users(warehouse, local, members, settings, day)
     if missing := missing_days(warehouse, day):
         warnings.warn(f"no visits stored for {len(missing)} days from {missing[0]}", stacklevel=2)
 
-    profile = user_profile(
-        warehouse.table("user_visit"), warehouse.table("user_register_time"), day
-    )
+    profile = stage_activity(warehouse, day)
     warehouse.overwrite("group_totals", group_totals(profile), day=day)
     totals = warehouse.table("group_totals").where(F.col("day") == day).drop("day")
 
     in_breakdown = F.col("pid").isin(*settings.breakdown_groups)
     attrs = warehouse.table("user_attribute").where(in_breakdown)
-    breakdowns = {}
-    for attr in settings.attributes:
-        counts = breakdown(profile.where(in_breakdown), attrs, attr)
-        warehouse.overwrite("group_breakdown", counts, day=day, attr=attr)
-        breakdowns[attr] = warehouse.table("group_breakdown").where(
-            (F.col("day") == day) & (F.col("attr") == attr)
-        )
+    counts = breakdown(profile.where(in_breakdown), attrs, *settings.attributes)
+    warehouse.overwrite("group_breakdown", counts, day=day)
+    stored_counts = warehouse.table("group_breakdown").where(F.col("day") == day)
+    breakdowns = {a: stored_counts.where(F.col("attr") == a) for a in settings.attributes}
     # What this family published today is about to be replaced and must not be read. The
     # checkpoint, of rows that are all derived from the two small tables above, is needed
     # because a table cannot be read and overwritten in one plan.
@@ -148,8 +179,9 @@ def run_daily(
 
 def missing_days(warehouse: Warehouse, day: str) -> list[str]:
     """Days of the month ending at ``day`` that have no stored visits at all."""
+    stored = warehouse.days("user_visit")
     wanted = [shift(day, n) for n in reversed(range(MONTH_DAYS))]
-    return [d for d in wanted if d not in warehouse.days("user_visit")]
+    return [d for d in wanted if d not in stored]
 
 
 def expire_visits(warehouse: Warehouse, day: str, keep_days: int) -> list[str]:
@@ -160,16 +192,21 @@ def expire_visits(warehouse: Warehouse, day: str, keep_days: int) -> list[str]:
     """
     if keep_days < MONTH_DAYS:
         raise ValueError(f"a month of visits is needed; keep_days is {keep_days}")
+    warehouse.expire("user_activity", day, keep_days)
     return warehouse.expire("user_visit", day, keep_days)
 
 
 def register_inputs(
     warehouse: Warehouse, members: list[str], settings: Settings, day: str
-) -> None:
-    """Make the raw partitions of the day known; none of it is listed from storage."""
-    warehouse.add_partitions("user_event", [{"day": day, "pid": m} for m in members])
-    warehouse.add_partitions("user_id", [{"pid": m} for m in members])
+) -> list[Registration]:
+    """Make the raw partitions of the day known; none of it is listed from storage.
+
+    Returns what became of each; one that fails leaves the others registered.
+    """
     props = sorted({REGISTER_TIME, NATION, *settings.attributes})
-    warehouse.add_partitions(
-        "user_property", [{"pid": m, "prop": p} for m in members for p in props]
-    )
+    return [
+        *warehouse.add_partitions("user_event", [{"day": day, "pid": m} for m in members]),
+        *warehouse.add_partitions("user_id", [{"pid": m} for m in members]),
+        *warehouse.add_partitions(
+            "user_property", [{"pid": m, "prop": p} for m in members for p in props]),
+    ]

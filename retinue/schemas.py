@@ -21,6 +21,10 @@ USER_PROPERTY = _schema(("uid", STRING), ("val", STRING), ("pid", STRING), ("pro
 USER_ID = _schema(("uid", STRING), ("orig_id", STRING), ("pid", STRING))
 USER_DEVICE = _schema(("uid", STRING), ("orig_id", STRING), ("pid", STRING))
 USER_VISIT = _schema(("orig_id", STRING), ("day", STRING), ("pid", STRING))
+USER_ACTIVITY = _schema(
+    ("orig_id", STRING), ("visit_mask", LONG), ("reg_age", T.IntegerType()),
+    ("is_cover", T.BooleanType()), ("day", STRING), ("pid", STRING),
+)
 USER_REGISTER_TIME = _schema(
     ("orig_id", STRING), ("max_reg_time", STRING), ("min_reg_time", STRING), ("pid", STRING)
 )
@@ -46,6 +50,7 @@ METRICS = _schema(
 TOTALS = ("dau", "wau", "mau", "new_users", "cover_users", "total_new", "ret_day2", "ret_day7",
           "ret_week")
 GROUP_TOTALS = _schema(*((m, LONG) for m in TOTALS), ("day", STRING), ("pid", STRING))
+SET_TOTALS = _schema(*((m, LONG) for m in TOTALS), ("pid", STRING), ("day", STRING))
 BREAKDOWNS = ("active", "new", "new_7d", "ret_day2", "ret_day7", "ret_week", "ladder_5",
               "ladder_4", "ladder_3", "ladder_2")
 GROUP_BREAKDOWN = _schema(
@@ -64,12 +69,15 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "user_id": (USER_ID, ("pid",)),
     "user_device": (USER_DEVICE, ("pid",)),
     "user_visit": (USER_VISIT, ("day", "pid")),
+    "user_activity": (USER_ACTIVITY, ("day", "pid")),
+    "user_set_visit": (USER_VISIT, ("day", "pid")),
     "user_register_time": (USER_REGISTER_TIME, ("pid",)),
     "user_attribute": (USER_ATTRIBUTE, ("attr", "pid")),
     "user_search_path": (USER_SEARCH_PATH, ("day", "pid")),
     "user_search": (USER_SEARCH, ("day",)),
     "user_search_by_type": (USER_SEARCH_BY_TYPE, ("day", "type")),
     "group_totals": (GROUP_TOTALS, ("day", "pid")),
+    "set_totals": (SET_TOTALS, ("day",)),
     "group_breakdown": (GROUP_BREAKDOWN, ("day", "attr")),
     "metrics": (METRICS, ("run_day", "family")),
 }

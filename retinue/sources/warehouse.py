@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
@@ -50,6 +53,14 @@ def _listed(partition: str) -> dict[str, str]:
     return {k: unquote(v) for k, v in pairs}
 
 
+@dataclass(frozen=True)
+class Registration:
+    """A partition that was to be registered, and why it was not, if so."""
+
+    partition: dict[str, str]
+    error: str | None = None
+
+
 class Warehouse:
     """One database of Parquet tables.
 
@@ -94,6 +105,34 @@ class Warehouse:
         Partitions under ``fixed`` that ``rows`` no longer fills disappear too. The
         rebalance packs output files by partition and splits the large ones.
         """
+        self._insert(table, rows, "static", fixed)
+
+    def overwrite_found(self, table: str, rows: DataFrame) -> None:
+        """Replace only the partitions that ``rows`` has rows for, keeping the others."""
+        self._insert(table, rows, "dynamic", {})
+
+    def overwrite_each(self, table: str, rows: DataFrame, specs: list[dict[str, str]]) -> None:
+        """Replace the partitions ``specs``, to which all ``rows`` belong; those without rows
+        end up empty, and registered, so that they are known to have been written."""
+        if not specs:
+            return self.overwrite_found(table, rows)
+        before = self._files(table, specs)
+        self.overwrite_found(table, rows)
+        filled = [
+            _listed("/".join(part for part in path.split("/")[:-1] if "=" in part))
+            for path in self._files(table, specs) - before
+        ]
+        empty = [s for s in specs if s not in filled]
+        self.drop_partitions(table, empty)
+        self.add_partitions(table, empty)
+
+    def _files(self, table: str, specs: list[dict[str, str]]) -> set[str]:
+        """Files of the given partitions; each write makes new ones."""
+        of_spec = [reduce(Column.__and__, [F.col(k) == v for k, v in s.items()]) for s in specs]
+        return set(self.table(table).where(reduce(Column.__or__, of_spec)).inputFiles())
+
+    def _insert(self, table: str, rows: DataFrame, mode: str, fixed: dict[str, str]) -> None:
+        """One write with its own overwrite mode, whatever that of the session."""
         schema, partitions = TABLES[table]
         open_ = [p for p in partitions if p not in fixed]
         spec = ", ".join(([_spec(fixed)] if fixed else []) + open_)
@@ -101,23 +140,28 @@ class Warehouse:
         packed = rows.select(*columns)
         packed = packed.hint("rebalance", *open_) if open_ else packed.hint("rebalance")
         self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({spec}) "
+            f"INSERT OVERWRITE TABLE {self.name(table)} "
+            f"WITH ('partitionOverwriteMode' = '{mode}') PARTITION ({spec}) "
             "SELECT * FROM {packed}",
             packed=packed,
         )
 
-    def overwrite_found(self, table: str, rows: DataFrame) -> None:
-        """Replace only the partitions that ``rows`` has rows for, keeping the others."""
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            self.overwrite(table, rows)
-        finally:
-            self.spark.conf.set(mode, before)
+    def add_partitions(self, table: str, specs: list[dict[str, str]]) -> list[Registration]:
+        """Register the given partitions without listing the table; a report of each.
 
-    def add_partitions(self, table: str, specs: list[dict[str, str]]) -> None:
-        """Register the given partitions without listing the whole table."""
+        One that cannot be registered does not keep the others from it.
+        """
+        if not specs:
+            return []
+        try:
+            self._add(table, specs)
+            return [Registration(s) for s in specs]
+        except PySparkException as error:
+            if len(specs) == 1:
+                return [Registration(specs[0], str(error))]
+            return [done for s in specs for done in self.add_partitions(table, [s])]
+
+    def _add(self, table: str, specs: list[dict[str, str]]) -> None:
         clauses = " ".join(f"PARTITION ({_spec(s)})" for s in specs)
         self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS {clauses}")
 
@@ -126,23 +170,36 @@ class Warehouse:
         self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
         return self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
 
+    def _by_day(self, table: str) -> DataFrame:
+        """Stored partitions of a table partitioned by day first: (partition, day)."""
+        day_value = F.regexp_extract("partition", "^[^=]+=([^/]+)", 1)
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        return listed.select("partition", day_value.alias("day"))
+
+    def partitions(self, table: str, from_day: str, to_day: str) -> list[dict[str, str]]:
+        """The values of the stored partitions of a range of days."""
+        listed = self._by_day(table).where(F.col("day").between(from_day, to_day))
+        return [_listed(r.partition) for r in listed.collect()]
+
     def days(self, table: str) -> set[str]:
         """Days that a table partitioned by day first has partitions of."""
-        day_value = F.regexp_extract("partition", "^[^=]+=([^/]+)", 1).alias("day")
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
-        return {r.day for r in listed.select(day_value).distinct().collect()}
+        return {r.day for r in self._by_day(table).select("day").distinct().collect()}
 
     def expire(self, table: str, day: str, keep_days: int = KEEP_DAYS) -> list[str]:
         """Drop partitions whose leading day column lies more than ``keep_days`` back."""
-        cutoff = shift(day, keep_days)
-        day_value = F.regexp_extract("partition", "^[^=]+=([^/]+)", 1)
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
-        old = [r.partition for r in listed.where(day_value < cutoff).collect()]
-        self._drop(table, old)
+        return self._drop_days(table, F.col("day") < shift(day, keep_days))
+
+    def forget(self, table: str, from_day: str, to_day: str) -> list[str]:
+        """Drop the partitions of a range of days."""
+        return self._drop_days(table, F.col("day").between(from_day, to_day))
+
+    def _drop_days(self, table: str, which: Column) -> list[str]:
+        old = [r.partition for r in self._by_day(table).where(which).collect()]
+        self.drop_partitions(table, [_listed(p) for p in old])
         return old
 
-    def _drop(self, table: str, partitions: list[str]) -> None:
-        if not partitions:
+    def drop_partitions(self, table: str, specs: list[dict[str, str]]) -> None:
+        if not specs:
             return
-        clauses = ", ".join(f"PARTITION ({_spec(_listed(p))})" for p in partitions)
+        clauses = ", ".join(f"PARTITION ({_spec(s)})" for s in specs)
         self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {clauses}")

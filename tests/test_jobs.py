@@ -108,9 +108,9 @@ def test_one_entry_for_each_key_and_label(spark):
 
 def test_history_keeps_columns_of_added_groups(spark):
     warehouse = C.new_warehouse(spark, C.today(spark, SF_DIR))
-    path, x = shared_dir(spark), C.today(spark, SF_DIR)
+    x = C.today(spark, SF_DIR)
     for day, names in ((C.back(1), ["g1"]), (C.DAY, ["g1", "g2"])):
         kept = x.groups.where(F.col("grp").isin(names))
-        rows = run_history(warehouse, kept, names, day, ("p1",), path)
+        rows = run_history(warehouse, kept, names, day, ("p1",))
     assert {"dau_g1", "dau_g2"} <= set(rows.columns)
     assert [r.dau_g2 for r in rows.where(F.col("day") == C.back(1)).collect()] == [0]
