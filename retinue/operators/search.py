@@ -70,10 +70,17 @@ def nations(properties: DataFrame) -> DataFrame:
 
 
 def attach_identity(rows: DataFrame, devices: DataFrame, properties: DataFrame) -> DataFrame:
-    """Device id (unmapped users drop out) and nation (null if unknown) of uid rows."""
-    stored = nations(properties).withColumnRenamed("uid", "stored_uid")
+    """Device id (unmapped users drop out) and nation (null if unknown) of uid rows.
+
+    The property table holds all users, the rows those of a day: it is reduced to their uids
+    before it is aggregated.
+    """
     stored_uid = F.nullif(md5uid(F.col("uid")), F.lit(""))
-    mapped = rows.join(devices, ["pid", "uid"]).withColumn("stored_uid", stored_uid)
+    keyed = rows.withColumn("stored_uid", stored_uid)
+    wanted = keyed.select("pid", F.col("stored_uid").alias("uid")).distinct()
+    asked = properties.join(wanted, ["pid", "uid"], "left_semi")
+    stored = nations(asked).withColumnRenamed("uid", "stored_uid")
+    mapped = keyed.join(devices, ["pid", "uid"])
     return mapped.join(stored, ["pid", "stored_uid"], "left").drop("stored_uid")
 
 

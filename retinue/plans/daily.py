@@ -16,7 +16,7 @@ from retinue.operators.registrations import register_bounds
 from retinue.operators.segments import attributes, breakdown
 from retinue.operators.visits import visits
 from retinue.settings import NATION, REGISTER_TIME, Settings
-from retinue.sources.store import export_json, publish
+from retinue.sources.store import export_json, publish, upsert
 from retinue.sources.warehouse import Registration, Warehouse, cut_lineage
 
 FAMILY = "users"
@@ -174,6 +174,8 @@ def run_daily(
         (F.col("run_day") == day) & (F.col("family") == FAMILY)
     )
     export_json(published, export_root, day, FAMILY)
+    if settings.store_client:
+        upsert(published, settings.store_client, **settings.store_options)
     return published
 
 

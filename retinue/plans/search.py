@@ -25,7 +25,7 @@ from retinue.operators.search import (
 )
 from retinue.plans.daily import register_inputs, stage_devices
 from retinue.settings import Settings
-from retinue.sources.store import publish
+from retinue.sources.store import publish, upsert
 from retinue.sources.warehouse import Warehouse
 
 # Search data lags a day: a run for D reads D-1, a weekly one D-6 to D-1.
@@ -77,10 +77,16 @@ def search_rows(
     return search_metrics(cube, settings.search_group, first, end, last, settings.search_event)
 
 
-def _published(warehouse: Warehouse, day: str, family: str) -> DataFrame:
-    return warehouse.table("metrics").where(
+def _publish(
+    warehouse: Warehouse, settings: Settings, rows: DataFrame, day: str, family: str
+) -> DataFrame:
+    publish(warehouse, rows, day, family)
+    published = warehouse.table("metrics").where(
         (F.col("run_day") == day) & (F.col("family") == family)
     )
+    if settings.store_client:
+        upsert(published, settings.store_client, **settings.store_options)
+    return published
 
 
 def run_search(
@@ -101,8 +107,7 @@ def run_search(
     if today is not None and shift(today, 1) == day:
         zeros = reset_rows(warehouse.spark, settings.search_group, day, settings.search_event)
         rows = reset_then(rows, zeros)
-    publish(warehouse, rows, day, f"search_{period}")
-    return _published(warehouse, day, f"search_{period}")
+    return _publish(warehouse, settings, rows, day, f"search_{period}")
 
 
 def level_rows(typed: DataFrame, settings: Settings, day: str) -> DataFrame:
@@ -129,5 +134,4 @@ def run_search_levels(
     if today is not None and shift(today, 1) == day:
         zeros = reset_rows(warehouse.spark, settings.search_group, day, settings.search_event)
         rows = reset_then(rows, zeros)
-    publish(warehouse, rows, day, "search_levels")
-    return _published(warehouse, day, "search_levels")
+    return _publish(warehouse, settings, rows, day, "search_levels")

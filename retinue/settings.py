@@ -35,7 +35,8 @@ class Settings:
     ``combined`` maps a roll-up group to the groups it unites. ``categories`` maps a
     group to the (roll-up project, category) under which its daily actives are
     published a second time. ``heartbeat_pids`` limits heartbeat events to the listed
-    sub-projects; ``None`` counts them everywhere.
+    sub-projects; ``None`` counts them everywhere. ``store_client`` names the function that
+    connects to an external key-value store; without it metrics stay in the warehouse.
     """
 
     combined: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"all": ("g1", "g2")})
@@ -50,3 +51,5 @@ class Settings:
     search_extra_members: tuple[str, ...] = ()
     search_event: str = SEARCH_EVENT
     utc_offset_hours: int = 0
+    store_client: str | None = None
+    store_options: dict[str, str] = field(default_factory=dict)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +14,47 @@ from retinue.functions.days import shift
 PART_FILES = "part-*"
 
 
-def _tab_text(spark: SparkSession, schema, path: str) -> DataFrame:
-    return (
+#: Characters that a partition folder has percent-encoded, besides control characters.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def partition_folder(column: str, value: str) -> str:
+    """The folder of a partition, as Spark and other writers of such tables name it."""
+    return f"{column}=" + "".join(
+        f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in value)
+
+
+def _glob(text: str) -> str:
+    """Text that a path pattern takes literally."""
+    return "".join("\\" + c if c in "\\*?[]{}," else c for c in text)
+
+
+def partition_paths(path: str, **values: Sequence[str]) -> str:
+    """A pattern of the partition folders of the given values, column by column.
+
+    Every level names its folders, so they are looked up one by one and nothing is listed
+    above them; those that do not exist are left out.
+    """
+    levels = ["{%s}" % ",".join(sorted({_glob(partition_folder(c, v)) for v in of}))
+              for c, of in values.items()]
+    return "/".join([path.rstrip("/"), *levels])
+
+
+def _tab_text(spark: SparkSession, schema, path: str, **values: Sequence[str]) -> DataFrame:
+    """The partitions of the given values of a table of tab-separated text; of none, no rows."""
+    found = (
         spark.read.schema(schema)
+        .option("basePath", path)
         .option("sep", "\t")
         .option("quote", "")
         .option("pathGlobFilter", PART_FILES)
-        .csv(path)
     )
+    try:
+        return found.csv(partition_paths(path, **values))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def last_n_days(day_col: Column, day: str, n: int) -> Column:
@@ -31,16 +65,15 @@ def last_n_days(day_col: Column, day: str, n: int) -> Column:
 def read_events(
     spark: SparkSession, path: str, day: str, pids: Sequence[str], days: int = 1
 ) -> DataFrame:
-    """Day and sub-project slice of the event log; both filters prune directories."""
-    events = _tab_text(spark, schemas.USER_EVENT, path)
-    return events.where(last_n_days(F.col("day"), day, days) & F.col("pid").isin(*pids))
+    """Day and sub-project slice of the event log; no other part of the log is looked at."""
+    wanted = [shift(day, k) for k in range(days)]
+    return _tab_text(spark, schemas.USER_EVENT, path, day=wanted, pid=pids)
 
 
 def read_properties(
     spark: SparkSession, path: str, prop: str, pids: Sequence[str]
 ) -> DataFrame:
-    properties = _tab_text(spark, schemas.USER_PROPERTY, path)
-    return properties.where((F.col("prop") == prop) & F.col("pid").isin(*pids))
+    return _tab_text(spark, schemas.USER_PROPERTY, path, pid=pids, prop=[prop])
 
 
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import uuid
+from collections.abc import Iterator
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from retinue.functions.keys import metric_entry
 from retinue.operators.metrics import KEY_PARTS, ROW
@@ -20,7 +23,16 @@ KEY_PATTERN = r"^([^,]*),([^,]*),([^,]*),([^,]*),([^,]*),(.*),VF-ALL-0-0,(.*)$"
 
 
 class KeyValueClient(Protocol):
-    def put(self, key: str, label: str, entry: list[float]) -> None: ...
+    """A connection to a key-value store that can hold entries back."""
+
+    def stage(self, part: str, key: str, label: str, entry: list[float]) -> None:
+        """Put an entry of a part aside, unseen by readers."""
+
+    def show(self, parts: list[str]) -> None:
+        """Make the entries of these parts the current ones. Repeating it changes nothing."""
+
+    def discard(self, parts: list[str]) -> None:
+        """Forget what was put aside in these parts."""
 
     def close(self) -> None: ...
 
@@ -86,21 +98,70 @@ def reload_json(spark: SparkSession, root: str, run_day: str, family: str) -> Da
     return from_documents(lines.text(_export_path(root, run_day, family)))
 
 
-def publish_to_client(rows: DataFrame, connect: Callable[[], KeyValueClient]) -> None:
-    """Upsert every entry into an external store, one connection per partition.
+class KeyValueSource(DataSource):
+    """A batch sink of metric entries: ``df.write.format("retinue_store")``.
+
+    Option ``client`` names a function (``module:function``) that takes the options and
+    returns a ``KeyValueClient``; it is called in every task and once more to finish.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "retinue_store"
+
+    def writer(self, schema, overwrite: bool) -> KeyValueWriter:
+        return KeyValueWriter(dict(self.options))
+
+
+class Staged(WriterCommitMessage):
+    """What one task has put aside."""
+
+    def __init__(self, part: str, entries: int):
+        self.part, self.entries = part, entries
+
+
+class KeyValueWriter(DataSourceWriter):
+    """Tasks put their entries aside; readers see them when all of them have ended.
 
-    Entries are absolute values, so a retried task repeats its puts harmlessly.
+    A repeated task puts aside a part of its own, so the part of the attempt that failed is
+    never shown. Entries are absolute values: a job that ran twice leaves what one leaves.
     """
 
-    def send(partition):
-        client = connect()
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+
+    def _client(self) -> KeyValueClient:
+        module, function = self.options["client"].split(":")
+        return getattr(importlib.import_module(module), function)(self.options)
+
+    def write(self, rows: Iterator[Row]) -> Staged:
+        client, part, entries = self._client(), uuid.uuid4().hex, 0
         try:
-            for r in partition:
+            for r in rows:
                 entry = [r.cnt, float(r.value), r.users, r.sample_rate]
-                client.put(r.cache_key, r.label, entry)
+                client.stage(part, r.cache_key, r.label, entry)
+                entries += 1
         finally:
             client.close()
+        return Staged(part, entries)
 
-    rows.select("cache_key", "label", "cnt", "value", "users", "sample_rate").foreachPartition(
-        send
-    )
+    def commit(self, messages: list[Staged]) -> None:
+        client = self._client()
+        try:
+            client.show([m.part for m in messages if m is not None])
+        finally:
+            client.close()
+
+    def abort(self, messages: list[Staged]) -> None:
+        client = self._client()
+        try:
+            client.discard([m.part for m in messages if m is not None])
+        finally:
+            client.close()
+
+
+def upsert(rows: DataFrame, client: str, **options: str) -> None:
+    """Show every entry of ``rows`` in an external store, all of them or none."""
+    rows.sparkSession.dataSource.register(KeyValueSource)
+    rows.select("cache_key", "label", "cnt", "value", "users", "sample_rate").write.format(
+        KeyValueSource.name()).mode("append").options(client=client, **options).save()

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from retinue.functions import ids as I
+from retinue.functions.ids import md5uid
 from retinue.operators import search
 from retinue.operators.registrations import register_bounds
 
@@ -225,3 +226,20 @@ def test_uids_that_are_no_numbers_have_no_properties(spark):
     rows = devices.select("pid", "uid")
     named = search.attach_identity(rows, devices, properties)
     assert named.count() == 1_000 and named.where("nation IS NOT NULL").count() == 0
+
+
+def test_properties_are_reduced_to_the_uids_of_the_day(spark):
+    """A third of all users searched nothing, one stored uid has a third of all rows."""
+    stored = md5uid(F.col("id").cast("string"))
+    everyone = spark.range(30_000).select(
+        F.lit("p").alias("pid"), F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise(stored).alias("uid"),
+        F.lit("nation").alias("prop"), F.concat(F.lit("n"), F.col("id") % 50).alias("val"))
+    devices = spark.range(40).select(
+        F.lit("p").alias("pid"), F.col("id").cast("string").alias("uid"), F.lit("d").alias("orig_id"))
+    rows = devices.select("pid", "uid")
+    named = search.attach_identity(rows, devices, everyone)
+    got = {r.uid: r.nation for r in named.collect()}
+    assert got == {str(u): None if u % 3 == 0 else f"n{u}" for u in range(40)}
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    semi, aggregate = plan.index("Join LeftSemi"), plan.index("min(val")
+    assert aggregate < semi  # outer nodes come first: the aggregate reads the reduced table

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from retinue import schemas
 from retinue.catalog.common import new_warehouse
 from retinue.operators import history
 from retinue.operators import metrics as M
@@ -11,6 +12,7 @@ from retinue.schemas import TABLES
 from retinue.settings import Settings
 from retinue.sources import logs, store
 from retinue.sources.warehouse import Warehouse, cut_lineage, shared_dir
+from tests.file_store import FileStore
 
 DAY = "2024-01-20"
 VISIT = "orig_id string, day string, pid string"
@@ -46,11 +48,31 @@ def test_read_events_slices_days_and_pids(spark, tmp_path):
     assert logs.read_events(spark, str(tmp_path), DAY, ["b"], days=30).count() == 3
 
 
-def test_event_read_prunes_directories(spark, tmp_path):
+def test_only_the_wanted_partitions_are_looked_at(spark, tmp_path):
+    """A folder of another day that is no partition, or of another project, does no harm."""
     for day in ("2024-01-19", "2024-01-20"):
         write_lines(f"{tmp_path}/day={day}/pid=a", ["p\t1\tvisit.x\t1\t1"])
-    plan = logs.read_events(spark, str(tmp_path), DAY, ["a"])._jdf.queryExecution()
-    assert "PartitionFilters: [isnotnull(day" in plan.executedPlan().toString()
+    write_lines(f"{tmp_path}/day=2024-01-18/broken=1/pid=a/deeper=2", ["no log"])
+    write_lines(f"{tmp_path}/other", ["no log"])
+    write_lines(f"{tmp_path}/day=2024-01-20/pid=b", ["\0"])
+    rows = logs.read_events(spark, str(tmp_path), DAY, ["a", "absent"], days=2)
+    assert {r.day for r in rows.collect()} == {"2024-01-19", "2024-01-20"}
+    assert all("/pid=a/" in f for f in rows.inputFiles()) and len(rows.inputFiles()) == 2
+    assert logs.read_events(spark, str(tmp_path), "2025-01-01", ["a"]).collect() == []
+    write_lines(f"{tmp_path}/props/pid=a/prop=nation", ["1\tus"])
+    write_lines(f"{tmp_path}/props/pid=broken", ["no partition"])
+    got = logs.read_properties(spark, f"{tmp_path}/props", "nation", ["a", "c"]).collect()
+    assert [(r.uid, r.val, r.pid, r.prop) for r in got] == [("1", "us", "a", "nation")]
+
+
+def test_names_of_partitions_may_hold_any_character(spark, tmp_path):
+    odd = ["a b", "x=y", "50%", "q?[1]{2}*", "c,d", "e/f"]
+    rows = spark.createDataFrame([("p", "1", "visit.x", 1.0, "1", DAY, p) for p in odd],
+                                 schemas.USER_EVENT)
+    rows.write.partitionBy("day", "pid").option("sep", "\t").csv(f"{tmp_path}/log")
+    for name in odd:
+        got = logs.read_events(spark, f"{tmp_path}/log", DAY, [name]).collect()
+        assert [r.pid for r in got] == [name]
 
 
 def test_id_map_lines_need_two_fields(spark, tmp_path):
@@ -173,7 +195,7 @@ def test_checkpoint_goes_to_the_shared_folder(spark):
 
 def totals(spark, **values):
     names = [s.metric for s in (*M.TOTALS, *M.COVER)]
-    row = ("site-1", *[values.get(n, 0) for n in names])
+    row = ("shop", *[values.get(n, 0) for n in names])
     return spark.createDataFrame([row], "pid string, " + ", ".join(f"{n} long" for n in names))
 
 
@@ -185,13 +207,13 @@ def test_total_keys(spark):
     """Keys as readers of the store know them."""
     rows = by_key(M.total_metrics(totals(spark, dau=5, wau=9, ret_week=2), "2014-08-13"))
     label = "2014-08-13 00:00"
-    assert rows[("COMMON,site-1,2014-08-13,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,shop,2014-08-13,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 5
-    assert rows[("COMMON,site-1,2014-08-06,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,shop,2014-08-06,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 9
-    assert rows[("COMMON,site-1,2014-07-14,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
+    assert rows[("COMMON,shop,2014-07-14,2014-08-13,visit.*,TOTAL_USER,VF-ALL-0-0,PERIOD",
                  label)] == 0
-    week = ('COMMON,site-1,2014-08-07,2014-08-13,visit.*,{"register_time":'
+    week = ('COMMON,shop,2014-08-07,2014-08-13,visit.*,{"register_time":'
             '{"$gte":"2014-08-06","$lte":"2014-08-06"}},VF-ALL-0-0,PERIOD')
     assert rows[(week, label)] == 2
     assert len(rows) == 7
@@ -201,25 +223,25 @@ def test_cover_keys(spark):
     rows = by_key(M.total_metrics(totals(spark, cover_users=3, total_new=7), "2014-08-24", M.COVER))
     tail = ('{"register_time":{"$gte":"2014-08-24","$lte":"2014-08-24"}},VF-ALL-0-0,PERIOD',
             "2014-08-24 00:00")
-    head = "COMMON,site-1,2014-08-24,2014-08-24,"
+    head = "COMMON,shop,2014-08-24,2014-08-24,"
     assert rows == {(head + "int1cover.*," + tail[0], tail[1]): 3,
                     (head + "int1totalnew.*," + tail[0], tail[1]): 7}
 
 
 def test_breakdown_keys(spark):
     names = [s.metric for s in M.BREAKDOWN]
-    row = ("site-1", "us", *[1 if n in ("active", "new_7d", "ladder_2") else 0 for n in names])
+    row = ("shop", "us", *[1 if n in ("active", "new_7d", "ladder_2") else 0 for n in names])
     counts = spark.createDataFrame(
         [row], "pid string, attr_value string, " + ", ".join(f"{n} long" for n in names))
     rows = by_key(M.breakdown_metrics(counts, "2015-01-08", "geoip"))
     assert set(rows) == {
-        ('COMMON,site-1,2015-01-08,2015-01-08,visit.*,{"geoip":"us"},VF-ALL-0-0,PERIOD',
+        ('COMMON,shop,2015-01-08,2015-01-08,visit.*,{"geoip":"us"},VF-ALL-0-0,PERIOD',
          "2015-01-08 00:00"),
-        ("GROUP,site-1,2015-01-08,2015-01-08,visit.*,TOTAL_USER,VF-ALL-0-0,"
+        ("GROUP,shop,2015-01-08,2015-01-08,visit.*,TOTAL_USER,VF-ALL-0-0,"
          "USER_PROPERTIES,geoip", "us"),
-        ('GROUP,site-1,2015-01-02,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-02",'
+        ('GROUP,shop,2015-01-02,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-02",'
          '"$lte":"2015-01-08"}},VF-ALL-0-0,USER_PROPERTIES,geoip', "us"),
-        ('GROUP,site-1,2015-01-06,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-06",'
+        ('GROUP,shop,2015-01-06,2015-01-08,visit.*,{"register_time":{"$gte":"2015-01-06",'
          '"$lte":"2015-01-06"}},VF-ALL-0-0,USER_PROPERTIES,geoip', "us"),
     }
 
@@ -228,28 +250,29 @@ CUBE = "ev3 string, ev4 string, ev5 string, nation string, grp string, grpkey st
        "users long, cnt long, value decimal(38,18)"
 
 
+# The layout of a key is fixed, as readers of the store depend on it; the values are invented.
 @pytest.mark.parametrize("cells,start,end,key,label", [
-    (("hppp", "cor", "google", "*", "6", "-"), "2014-12-19", "2014-12-19",
-     "COMMON,site-1,2014-12-19,2014-12-19,pay.search2.hppp.cor.google.*,TOTAL_USER,"
-     "VF-ALL-0-0,PERIOD", "2014-12-19 00:00"),
-    (("sc", "*", "google", "*", "3", "cor"), "2014-12-19", "2014-12-19",
-     "GROUP,site-1,2014-12-19,2014-12-19,pay.search2.sc.*.google.*,TOTAL_USER,VF-ALL-0-0,"
-     "EVENT,3", "cor"),
-    (("*", "*", "*", "ru", "6", "-"), "2014-12-19", "2014-12-19",
-     'COMMON,site-1,2014-12-19,2014-12-19,pay.search2.*,{"nation":"ru"},VF-ALL-0-0,PERIOD',
-     "2014-12-19 00:00"),
-    (("*", "*", "*", "*", "5", "us"), "2014-12-03", "2014-12-09",
-     "GROUP,site-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,"
-     "USER_PROPERTIES,nation", "us"),
-    (("*", "*", "*", "*", "6", "-"), "2014-12-03", "2014-12-09",
-     "GROUP,site-1,2014-12-03,2014-12-09,pay.search2.*,TOTAL_USER,VF-ALL-0-0,EVENT,6",
-     "2014-12-19 00:00"),
+    (("shoes", "red", "mail", "*", "6", "-"), "2024-02-03", "2024-02-03",
+     "COMMON,shop,2024-02-03,2024-02-03,pay.search2.shoes.red.mail.*,TOTAL_USER,"
+     "VF-ALL-0-0,PERIOD", "2024-02-05 00:00"),
+    (("hats", "*", "mail", "*", "3", "blue"), "2024-02-03", "2024-02-03",
+     "GROUP,shop,2024-02-03,2024-02-03,pay.search2.hats.*.mail.*,TOTAL_USER,VF-ALL-0-0,"
+     "EVENT,3", "blue"),
+    (("*", "*", "*", "peru", "6", "-"), "2024-02-03", "2024-02-03",
+     'COMMON,shop,2024-02-03,2024-02-03,pay.search2.*,{"nation":"peru"},VF-ALL-0-0,PERIOD',
+     "2024-02-05 00:00"),
+    (("*", "*", "*", "*", "5", "fiji"), "2024-01-28", "2024-02-03",
+     "GROUP,shop,2024-01-28,2024-02-03,pay.search2.*,TOTAL_USER,VF-ALL-0-0,"
+     "USER_PROPERTIES,nation", "fiji"),
+    (("*", "*", "*", "*", "6", "-"), "2024-01-28", "2024-02-03",
+     "GROUP,shop,2024-01-28,2024-02-03,pay.search2.*,TOTAL_USER,VF-ALL-0-0,EVENT,6",
+     "2024-02-05 00:00"),
 ])
 def test_search_keys(spark, cells, start, end, key, label):
     from decimal import Decimal
 
     cube = spark.createDataFrame([(*cells, 1, 2, Decimal(3))], CUBE)
-    row = M.search_metrics(cube, "site-1", start, end, "2014-12-19", "pay.search2").first()
+    row = M.search_metrics(cube, "shop", start, end, "2024-02-05", "pay.search2").first()
     assert (row.cache_key, row.label) == (key, label)
     assert (row.users, row.cnt, int(row.value), row.sample_rate) == (1, 2, 3, 1.0)
 
@@ -265,8 +288,8 @@ def test_reset_rows_do_not_touch_written_keys(spark):
 
 
 def test_missing_groups_are_published_as_zero(spark):
-    rows = M.with_all_groups(totals(spark, dau=5), ["site-1", "quiet"])
-    assert {r.pid: r.dau for r in rows.collect()} == {"site-1": 5, "quiet": 0}
+    rows = M.with_all_groups(totals(spark, dau=5), ["shop", "quiet"])
+    assert {r.pid: r.dau for r in rows.collect()} == {"shop": 5, "quiet": 0}
 
 
 # --- store ----------------------------------------------------------------------------
@@ -327,32 +350,40 @@ def test_reload_keeps_commas_inside_values(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
 
 
-class FileClient:
-    """Stands in for an external store; partitions run in other processes."""
-
-    def __init__(self, path):
-        self.path = path
-
-    def put(self, key, label, entry):
-        name = str(abs(hash((key, label))))
-        with open(f"{self.path}/{name}", "w") as f:
-            json.dump([key, label, entry], f)
-
-    def close(self):
-        pass
-
-
 def test_external_store_gets_every_entry(spark, tmp_path):
-    path = str(tmp_path)
-    rows = metric_rows(spark, dau=4)
+    at = FileStore(str(tmp_path), None)
+    rows = metric_rows(spark, dau=4).repartition(3)
     for _ in range(2):
-        store.publish_to_client(rows, lambda: FileClient(path))
-    put = []
-    for name in os.listdir(path):
-        with open(f"{path}/{name}") as f:
-            put.append(json.load(f))
-    assert {p[0] for p in put} == {r.cache_key for r in rows.collect()}
-    assert [0, 0.0, 4, 1.0] in [p[2] for p in put]
+        store.upsert(rows, "tests.file_store:connect", path=at.path)
+        assert {k for k, _ in at.entries()} == {r.cache_key for r in rows.collect()}
+        assert [0, 0.0, 4, 1.0] in at.entries().values() and not at.parts()
+    store.upsert(metric_rows(spark, dau=5).limit(1), "tests.file_store:connect", path=at.path)
+    assert [0, 0.0, 5, 1.0] in at.entries().values() and len(at.entries()) == rows.count()
+
+
+def test_a_failed_upsert_shows_nothing(spark, tmp_path):
+    at = FileStore(str(tmp_path), None)
+    store.upsert(metric_rows(spark, dau=4), "tests.file_store:connect", path=at.path)
+    before = at.entries()
+    rows = metric_rows(spark, dau=9)
+    bad = rows.limit(1).withColumn("label", F.lit("poison"))
+    with pytest.raises(Exception, match="refused"):
+        store.upsert(rows.unionByName(bad), "tests.file_store:connect", path=at.path,
+                     poison="poison")
+    assert at.entries() == before
+
+
+def test_a_repeated_task_counts_once(spark, tmp_path):
+    at = FileStore(str(tmp_path), None)
+    writer = store.KeyValueWriter({"client": "tests.file_store:connect", "path": at.path})
+    rows = metric_rows(spark, dau=4).collect()
+    lost, kept = writer.write(iter(rows[:3])), writer.write(iter(rows))
+    assert (lost.entries, kept.entries) == (3, len(rows)) and len(at.parts()) == 2
+    writer.commit([kept, None])
+    assert len(at.entries()) == len(rows)
+    writer.commit([kept])  # a commit that is repeated changes nothing
+    writer.abort([lost, None])
+    assert len(at.entries()) == len(rows) and not at.parts()
 
 
 # --- history ------------------------------------------------------------------------------
