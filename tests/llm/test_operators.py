@@ -225,3 +225,18 @@ def test_toxicity(spark):
     right = sum(r.predicted == int(r.doc_id % 3 == 0) for r in held)
     assert right / len(held) > 0.95
     assert toxicity.judge(docs, labels.limit(0)).where("predicted = 1").count() == 0
+
+
+def test_long_and_repeated_texts_do_not_empty_the_sample(spark):
+    """Forty texts longer than the bound, and an id that holds a third of all rows."""
+    rng = random.Random(6)
+    text = lambda bad: " ".join(rng.choices([f"w{k}" for k in range(100)], k=30) + bad)
+    rows = [(k, text(["vile"] if k % 3 == 0 else [])) for k in range(300)]
+    long = [(1_000 + k, "vile " * 30_000) for k in range(40)]
+    docs = spark.createDataFrame(rows + long + [(1, rows[1][1])] * 150, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0 or k >= 1_000)) for k, _ in rows + long],
+                                   "doc_id long, toxic int")
+    got = toxicity.judge(docs, labels, train_chars=140_000).collect()
+    assert len(got) == 490
+    wrong = sum(r.predicted != int(r.doc_id % 3 == 0 or r.doc_id >= 1_000) for r in got)
+    assert wrong < 15
