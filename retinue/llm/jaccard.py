@@ -15,6 +15,7 @@ from pairs of blocks.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,6 @@ LEAF, FANOUT = 32, 8
 #: Hashes that one block of a group may hold; a task holds two blocks.
 BLOCK_HASHES = 1_000_000
 MAX_BITS = 1 << 16
-#: Classes without any id are numbered from here, so that real ids are smaller.
-NO_ID = 1 << 62
 _MULTIPLIERS = np.array(
     [(0x9E3779B97F4A7C15 * (2 * j + 1) ^ (0xBF58476D1CE4E5B9 << j)) % 2**64 | 1
      for j in range(16)], dtype=np.uint64)
@@ -220,6 +219,11 @@ def spanning_links(left: dict[str, np.ndarray], right: dict[str, np.ndarray] | N
     return links
 
 
+def text_key(text: str) -> Column:
+    """A hash by which rows of a text find each other; it never decides alone."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def _features(docs: DataFrame, words: int, percent: int, doc_id: str, text: str) -> DataFrame:
     bands = _bands(percent)
 
@@ -228,16 +232,16 @@ def _features(docs: DataFrame, words: int, percent: int, doc_id: str, text: str)
         for rows in batches:
             sets = [shingles(t, words, cache) for t in rows["text"]]
             yield pd.DataFrame({
-                "doc_id": rows["doc_id"], "n_shingles": [len(s) for s in sets],
+                "doc_id": rows["doc_id"], "key": rows["key"], "n_shingles": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest()
                            if len(s) else None for s in sets],
                 "parts": [part_keys(s, percent, bands).view(np.int64) for s in sets]})
 
     # Ids travel as text, since pandas turns whole numbers with nulls into floats.
     narrow = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"),
-                         F.col(text).cast("string").alias("text"))
+                         F.col(text).cast("string").alias("text")).withColumn("key", text_key("text"))
     made = narrow.mapInPandas(
-        features, "doc_id string, n_shingles long, digest string, parts array<long>")
+        features, "doc_id string, key long, n_shingles long, digest string, parts array<long>")
     return written(made.withColumn("doc_id", F.col("doc_id").cast("long")), "jaccard-features")
 
 
@@ -296,7 +300,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame, percent: int, block_hashes: int) -> DataFrame:
-    """Members (node, digest, doc_id, n_shingles, label) for each pair of blocks to compare.
+    """Members (node, digest, doc_id, key, n_shingles, label) for each pair of blocks to compare.
 
     Groups that fit are one block. Others are dealt to blocks by hash within bands of
     sizes, and two blocks meet only if their ranges of sizes allow a link.
@@ -312,7 +316,8 @@ def _blocks(members: DataFrame, percent: int, block_hashes: int) -> DataFrame:
     cut = written(banded.join(counts, ["label", "band"]).withColumn(
         "block", F.when(F.col("fits"), F.lit(0)).otherwise(
             F.col("band") * (1 << 20) + F.pmod(F.xxhash64("digest"), F.col("blocks")))
-    ).select("node", "digest", "doc_id", "n_shingles", "label", "block"), "jaccard-members")
+    ).select("node", "digest", "doc_id", "key", "n_shingles", "label", "block"),
+        "jaccard-members")
     ranges = cut.groupBy("label", "block").agg(
         F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
     one = ranges.select("label", F.col("block").alias("i"), F.col("low").alias("low_i"),
@@ -355,27 +360,40 @@ def similar(
     Two documents link if 100 times the size of the intersection of their sets of runs of
     ``words`` words is at least ``percent`` times that of the union; a text with fewer
     words is one run, and ``component_id`` is the least id that links reach, the own one
-    included. Null texts and texts without words have no runs and link with nothing. Rows
-    that repeat an id are one document, whatever their texts. A null id is never the least
-    one; the component is null if no row in it has an id. An empty table gives an empty
+    included. Null texts and texts without words have no runs and link with nothing. A row is
+    judged by its text, so texts that share an id need not be in one component. Any whole
+    number is an id; a null id is never the least one, and the component is null if no row in
+    it has an id. A very long text is hashed whole by one task. An empty table gives an empty
     result; other columns are not looked at. Sets are compared by 64-bit hashes.
     """
+    return _components(docs, words, percent, block_hashes, doc_id, text).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def _components(
+    docs: DataFrame, words: int, percent: int, block_hashes: int, doc_id: str, text: str
+) -> DataFrame:
+    """(doc_id, key, n_shingles, label, component_id); the label, null without words, is the
+    same for all rows of a component, with ids or without."""
     features = _features(docs, words, percent, doc_id, text)
-    unnamed = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("digest"), 2)
+    # Classes of equal sets go by a number of their own; their text is that of the row of
+    # least id. The table is written, so the numbers stay.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least")
     classes = written(
         features.where("digest IS NOT NULL").groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-            F.first("parts").alias("parts"))
-        .withColumn("node", F.coalesce("doc_id", unnamed)), "jaccard-classes")
+            least, F.first("n_shingles").alias("n_shingles"), F.first("parts").alias("parts"))
+        .select("digest", "least.doc_id", "least.key", "n_shingles", "parts",
+                F.monotonically_increasing_id().alias("node")), "jaccard-classes")
 
     groups = components(_candidates(classes), "jaccard-groups")
 
     members = classes.drop("parts").join(groups, "node")
     tasks = small(written(_blocks(members, percent, block_hashes).select(
-        "doc_id", "digest", "node", "label", "i", "j", "block"), "jaccard-blocks"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"),
+        "doc_id", "key", "digest", "node", "label", "i", "j", "block"), "jaccard-blocks"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("own_id"), text_key(text).alias("own_key"),
                         F.col(text).cast("string").alias("text"))
-    texts = texts.join(tasks, F.col("_id").eqNullSafe(F.col("doc_id"))).select(
+    texts = texts.join(tasks, (F.col("own_key") == F.col("key"))
+                       & F.col("own_id").eqNullSafe(F.col("doc_id"))).select(
         "text", "digest", "node", "label", "i", "j", "block")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -402,38 +420,40 @@ def similar(
 
     ordered = hashed.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
     links = ordered.mapInPandas(compare, "a long, b long")
-    # An id that names several texts makes them one document.
-    named = features.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    several = named.groupBy("doc_id").agg(
-        F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
-    same_id = named.join(several, "doc_id").join(
-        classes.select("digest", "node"), "digest").select(
-            F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    labels = components(links.unionByName(same_id), "jaccard-links")
-
-    grouped = classes.select("digest", "node").join(labels, "node", "left").select(
-        "digest", F.coalesce("label", "node").alias("label"))
+    labels = components(links, "jaccard-links")
+
+    grouped = classes.select("digest", "doc_id", "node").join(labels, "node", "left").select(
+        "digest", "doc_id", F.coalesce("label", "node").alias("label"))
+    first = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    grouped = grouped.select("digest", "label").join(first, "label")
     result = features.drop("parts").join(grouped, "digest", "left")
-    known = F.when(F.col("label") < NO_ID, F.col("label"))
-    return result.select("doc_id", "n_shingles", F.when(
-        F.col("digest").isNull(), F.col("doc_id")).otherwise(known).alias("component_id"))
+    return result.select("doc_id", "key", "n_shingles", "label", F.when(
+        F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
+            "component_id"))
 
 
 def representatives(docs: DataFrame, words: int, percent: int, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that link to a smaller id.
+    """The rows of ``docs`` without those that link to another that stays.
 
-    Rows without words stay. Of rows that repeat an id that stays, one stays. Rows with
-    null id cannot be named; of those with equal texts one stays.
+    Of each component the row of least id stays, null ids coming last and texts of one id in
+    the order of a hash. Rows without words stay. Of rows that repeat id and text one stays.
+    Columns of any name are kept as they are.
     """
-    found = written(similar(docs, words, percent, doc_id=doc_id, text=text), "jaccard-found")
-    gone = small(written(found.where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_id")).distinct(), "jaccard-gone"))
-    named = docs.where(F.col(doc_id).isNotNull()).join(gone, F.col(doc_id) == F.col("_id"),
-                                                       "left_anti")
-    if not found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where(
-            "count > 1").limit(1).isEmpty():
-        named = named.dropDuplicates([doc_id])
-    unnamed = docs.where(F.col(doc_id).isNull())
-    return named if unnamed.limit(1).isEmpty() else named.unionByName(
-        unnamed.dropDuplicates([text]))
+    found = written(_components(docs, words, percent, BLOCK_HASHES, doc_id, text), "jaccard-found")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least")
+    kept = found.where("label IS NOT NULL").groupBy("label").agg(least)
+    is_kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("key") == F.col("least.key"))
+    # Names that no column of a caller has.
+    own, gone_id, gone_key = (f"{c}_{uuid.uuid4().hex}" for c in ("key", "id", "gone"))
+    gone = small(written(
+        found.join(kept, "label").where(~is_kept)
+        .select(F.col("doc_id").alias(gone_id), F.col("key").alias(gone_key)).distinct(),
+        "jaccard-gone"))
+    rows = docs.withColumn(own, text_key(text))
+    rows = rows.join(gone, (F.col(own) == F.col(gone_key))
+                     & F.col(doc_id).cast("long").eqNullSafe(F.col(gone_id)), "left_anti")
+    repeated = found.groupBy("doc_id", "key").count().where("count > 1")
+    if not repeated.limit(1).isEmpty():
+        rows = rows.dropDuplicates([doc_id, own])
+    return rows.drop(own)

@@ -27,10 +27,6 @@ def brute(rows, words, percent):
             i = parent[i]
         return i
 
-    by_id = {}
-    for i, (doc_id, _) in enumerate(rows):
-        if doc_id is not None and sets[i]:
-            parent[find(i)] = find(by_id.setdefault(doc_id, i))
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
@@ -40,6 +36,10 @@ def brute(rows, words, percent):
     for i, (doc_id, _) in enumerate(rows):
         named = [d for j, (d, _) in enumerate(rows) if find(j) == find(i) and d is not None]
         out.append((doc_id, len(sets[i]), min(named) if named else None))
+    brute.groups = {}
+    for i in range(len(rows)):
+        brute.groups.setdefault(find(i), []).append(i)
+    brute.sets = sets
     return sorted(out, key=str)
 
 
@@ -67,7 +67,9 @@ def test_equals_all_pairs(spark, words, percent, block):
     rows = [(1000 - i, t) for i, t in enumerate(texts(words))]
     rows += [(2000, None), (2001, ""), (None, rows[3][1]), (None, "only here nothing else"),
              (None, None), (5000, rows[10][1]), (5000, "quite another text of that id"),
-             rows[20], rows[20], (3000, " \t\n ")]
+             rows[20], rows[20], (3000, " \t\n "), (2**62 + 5, "huge ids " * 9),
+             (2**62 + 9, "HUGE ids " * 9), (2**63 - 1, "huge  ids " * 9), (2**63 - 2, rows[2][1]),
+             (-(2**63), "the least of all ids is here"), (7, "the least of all ids is here")]
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows],
                                  "doc_id long, text string, digest string")
     got = jaccard.similar(docs, words, percent, block_hashes=block).collect()
@@ -103,9 +105,38 @@ def test_many_near_copies_are_one_group():
 
 
 def test_representatives(spark):
-    rows = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "other words in here now"), (2, None),
-            (7, ""), (None, "q r s"), (None, "q r s"), (None, "a b c d e f")]
+    """One row of each component stays, whatever its ids; names of columns may clash."""
+    rows = [(1000 - i, t) for i, t in enumerate(texts(5))]
+    rows += [(2**62 + 5, "huge ids " * 9), (2**62 + 9, "huge  ids " * 9), (2**63 - 1, rows[30][1]),
+             (5, "one text of an id and more of it"), (5, "quite another text under that id"),
+             (None, rows[12][1]), (None, "q r s t u v"), (None, "q r s t u  v"), (2, None), (7, ""),
+             (None, ""), (None, "words of their own, without an id"), rows[8], rows[8]]
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows],
+                                 "doc_id long, text string, _id int, label string")
+    kept = jaccard.representatives(docs, 5, 80)
+    assert kept.columns == docs.columns
+    got = {(r.doc_id, r.text) for r in kept.collect()}
+    assert len(got) == kept.count()
+    brute(rows, 5, 80)
+    want = set()
+    for members in brute.groups.values():
+        own = [rows[i] for i in members]
+        if not brute.sets[members[0]]:
+            want |= set(own)
+            continue
+        first = min(own, key=lambda r: (r[0] is None, r[0] or 0))
+        # Of several texts with the least id any one may stay.
+        stays = [r for r in own if r[0] == first[0] and r in got]
+        assert len(set(stays)) == 1
+        want |= set(stays)
+    assert got == want
+    assert jaccard.representatives(docs.limit(0), 5, 80).collect() == []
+
+
+def test_rows_without_ids_cost_no_more(spark):
+    """A thousand near copies without an id are compared as those with one are."""
+    rows = [(None, " ".join(f"w{(k * 7 + j) % 997}" if j == k % 90 else f"same{j}"
+                            for j in range(90))) for k in range(1_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [tuple(r) for r in jaccard.representatives(docs, 5, 80).collect()]
-    assert sorted(k[0] for k in kept if k[0] is not None) == [1, 2, 7]
-    assert sorted(k[1] for k in kept if k[0] is None) == ["a b c d e f", "q r s"]
+    assert jaccard.similar(docs, 5, 80).where("component_id IS NULL").count() == 1_000
+    assert jaccard.representatives(docs, 5, 80).count() == 1
