@@ -9,9 +9,12 @@ two need a table by word, the third one by bigram, and no token needs both at on
 Bigrams are dealt to slices by their history (frequent histories by the bigram), packed by
 batches of documents: each distinct bigram of a batch once, with the documents it is in,
 as places in a list of the pack's words, compressed.
-Counting sums each slice's packs; the tables are made of the counts by joins; scoring reads
-a slice of the tables and then one pack after the other, and returns a sum per document.
-Words are told apart by 48 bits of their hash.
+Counting sums each slice's packs and keeps the counts packed, by slice. A word that is not
+frequent is a history of one slice, which knows its count: a slice asks there, once for all
+its distinct words, and what it is told makes probabilities, weights and corrections of its
+bigrams in place. Only frequent histories need a sum over slices. Scoring reads the counts of
+a slice and then one pack after the other, and returns a sum per document. No bigram is ever
+a row. Words are told apart by 48 bits of their hash.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.llm.common import WORD, ascii_lower, written
@@ -37,9 +40,14 @@ START, END = 0, 1
 COUNT_TOKENS, SCORE_TOKENS = 1_500_000, 600_000
 #: Words with more than 1 in FREQUENT * slices of the tokens are frequent.
 FREQUENT = 8
-_HISTORY, _BIGRAM, _TIMES = 0, 1, 2
+#: A slice for so many bytes of training text, MIN_SLICES at least; its tables are in one task.
+SLICE_BYTES, MIN_SLICES = 24_000_000, 12
+#: Bigrams of a row of the counts.
+TABLE_ROW = 1_000_000
 ZSTD_LEVEL = 1
-_WORDS, _GAMMAS, _PACK, _HEAD = 0, 1, 2, 3
+#: Kinds of rows; within a slice they come in this order.
+_HISTORIES, _TABLE, _HOT_TABLE, _WANTED, _ANSWER, _PACK, _HEAD = range(7)
+_TIMES, _WORD_TIMES, _TOKENS, _DISTINCT, _HOT = range(7, 12)
 
 
 class Codes(dict):
@@ -68,11 +76,19 @@ def _numbers(data: bytes, dtype: type = np.uint32) -> np.ndarray:
 
 
 def _pack_numbers(values: np.ndarray) -> bytes:
-    return zstandard.compress(_planes(values.astype(np.uint32)), ZSTD_LEVEL)
+    return zstandard.compress(_planes(values.astype(np.int64)), ZSTD_LEVEL)
 
 
 def _unpack_numbers(data: bytes) -> np.ndarray:
-    return _numbers(zstandard.decompress(data)).astype(np.int64)
+    return _numbers(zstandard.decompress(data), np.int64)
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack_numbers(np.diff(values, prepend=0))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack_numbers(data))
 
 
 def _pack_codes(values: np.ndarray) -> bytes:
@@ -111,11 +127,6 @@ class Slicing:
         frequent = np.isin(history, self.hot)
         return np.where(frequent, history ^ word, history) % self.slices
 
-    def column(self, history: str, word: str) -> Column:
-        chosen = F.col(history).isin(self.hot.tolist()) if len(self.hot) else F.lit(False)
-        mixed = F.when(chosen, F.col(history).bitwiseXOR(F.col(word))).otherwise(F.col(history))
-        return (mixed % self.slices).cast("int")
-
 
 def _bigrams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(history, word, number of the text) of all tokens, sorted."""
@@ -144,16 +155,20 @@ def _packs(texts: list[np.ndarray], slicing: Slicing, owners: bool) -> Iterator[
         mine = order[bounds[s]:bounds[s + 1]]
         if not len(mine):
             continue
-        h = history[first[mine]]
-        new = _runs(h)
         held = b""
         if owners:
             starts, n = first[mine], times[mine]
             picked = np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(
                 n.sum())
             held = _pack_numbers(owner[picked])
-        yield (s, _pack_codes(h[new]), _pack_numbers(np.diff(np.append(new, len(h)))),
-               _pack_codes(word[first[mine]]), _pack_numbers(times[mine]), held)
+        yield s, *_packed(history[first[mine]], word[first[mine]], times[mine]), held
+
+
+def _packed(history: np.ndarray, word: np.ndarray, times: np.ndarray) -> tuple[bytes, ...]:
+    """(histories, bigrams per history, words, times) of bigrams sorted by history."""
+    new = _runs(history)
+    return (_pack_codes(history[new]), _pack_numbers(np.diff(np.append(new, len(history)))),
+            _pack_codes(word), _pack_numbers(times))
 
 
 def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,8 +176,9 @@ def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return histories, _unpack_codes(row.words), _unpack_numbers(row.times)
 
 
-_PACKED = ("slice int, kind int, base long, histories binary, runs binary, words binary, "
-           "times binary, owners binary")
+_PACKED = ("slice int, kind int, base long, n long, histories binary, runs binary, "
+           "words binary, times binary, owners binary")
+_BLANK = (b"",) * 5
 
 
 def _batches(rows: Iterator[pd.DataFrame], most: int) -> Iterator[tuple]:
@@ -198,21 +214,113 @@ def _good_turing(times: dict[int, int], total: int, least: int = 1) -> list[floa
     return out
 
 
+@dataclass
+class Laws:
+    """Discounts by count, and the frequent words (sorted) with what is known of each.
+
+    The end of text stands for the start among histories. ``share`` and ``log_alpha`` are
+    what a frequent history gives its bigrams and all other words.
+    """
+
+    words: np.ndarray
+    bigrams: np.ndarray
+    total: int
+    scale: float
+    names: np.ndarray
+    counts: np.ndarray
+    share: np.ndarray
+    log_alpha: np.ndarray
+
+    def p(self, n: np.ndarray) -> np.ndarray:
+        return n * self.words[np.minimum(n, DISCOUNTED + 1)] * (self.scale / max(1, self.total))
+
+    def held(self, n: np.ndarray) -> np.ndarray:
+        return n * self.bigrams[np.minimum(n, DISCOUNTED + 1)]
+
+
 @dataclass
 class Model:
-    """Tables of words (word, n, log_p, log_alpha) and bigrams (history, word, gamma)."""
+    """Counts packed by slice, counts of the words that each slice asked for, and the laws."""
 
-    words: DataFrame
-    bigrams: DataFrame
+    counts: DataFrame
+    answers: DataFrame
     slicing: Slicing
-    total: int
+    laws: Laws
     distinct: int
     log_unknown: float
 
 
-def _frequent(docs: DataFrame, slices: int, seed: int = 17) -> np.ndarray:
-    """Words that are frequent in a sample of about 16 texts a slice; only sends them apart."""
-    n = docs.count()
+def _as_word(history: np.ndarray) -> np.ndarray:
+    """Histories as the words they are; the start of a text is named by the end."""
+    return np.where(history == START, END, history)
+
+
+def _joined(arrays: list[np.ndarray], dtype: type = np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *arrays])
+
+
+def _sums(values: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, begun) if len(begun) else values[:0]
+
+
+def _weights(held: np.ndarray, p: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(share, log alpha) of histories from the sums of their bigrams and their counts."""
+    # What the bigrams of a history leave; a history seen with nothing else leaves something.
+    left = np.maximum(1 - held / seen, 1 / (seen + 1))
+    return (1 - left) / held, np.log10(left / (1 - p))
+
+
+def _followers(part: pd.DataFrame, laws: Laws) -> tuple[np.ndarray, ...]:
+    """(history, word, discounted count, P(word)) of the bigrams in the rows of a slice, sorted."""
+    answers = part[part["kind"] == _ANSWER]
+    names = _joined([laws.names, *map(_unpack_sorted, answers["words"])])
+    n = _joined([laws.counts, *map(_unpack_numbers, answers["times"])])
+    order = np.argsort(names)
+    names, n = names[order], n[order]
+    tables = [_unpacked(r) for r in part[part["kind"].isin([_TABLE, _HOT_TABLE])].itertuples()]
+    history, word, times = (_joined([t[k] for t in tables]) for k in range(3))
+    order = np.lexsort((word, history))
+    history, word, times = history[order], word[order], times[order]
+    return history, word, laws.held(times), laws.p(n[np.searchsorted(names, word)])
+
+
+def _counted(part: pd.DataFrame, slicing: Slicing, min_count: int) -> Iterator[tuple]:
+    """Rows of ``_PACKED``: what the packs of a slice add up to and which words it asks for."""
+    at = int(part["slice"].iloc[0])
+    history, word, times = (
+        np.concatenate(c) for c in zip(*[_unpacked(r) for r in part.itertuples()]))
+    order = np.lexsort((word, history))
+    history, word, times = history[order], word[order], times[order]
+    first = _runs(history, word)
+    times = np.add.reduceat(times, first)
+    history, word = history[first], word[first]
+    begun = _runs(history)
+    names, n = history[begun], np.add.reduceat(times, begun)
+    hot = np.isin(names, slicing.hot)
+    yield at, _HISTORIES, 0, 0, _pack_sorted(names[~hot]), b"", b"", _pack_numbers(n[~hot]), b""
+    for kind, values in ((_TIMES, times), (_WORD_TIMES, n[~hot])):
+        for r, k in zip(*np.unique(values[values <= DISCOUNTED + 1], return_counts=True)):
+            yield at, kind, int(r), int(k), *_BLANK
+    yield at, _TOKENS, 0, int(n[~hot].sum()), *_BLANK
+    yield at, _DISTINCT, 0, int(np.sum(~hot)), *_BLANK
+    for name, k in zip(names[hot], n[hot]):
+        yield at, _HOT, int(name), int(k), *_BLANK
+    kept, of_hot = times >= min_count, np.isin(history, slicing.hot)
+    for kind, mine in ((_TABLE, kept & ~of_hot), (_HOT_TABLE, kept & of_hot)):
+        places = np.nonzero(mine)[0]
+        for begin in range(0, len(places), TABLE_ROW):
+            row = places[begin:begin + TABLE_ROW]
+            yield at, kind, 0, 0, *_packed(history[row], word[row], times[row]), b""
+    asked = np.unique(word[kept])
+    asked = asked[~np.isin(asked, _as_word(slicing.hot))]
+    to = asked % slicing.slices
+    for s in np.unique(to):
+        yield int(s), _WANTED, at, 0, b"", b"", _pack_sorted(asked[to == s]), b"", b""
+
+
+def _frequent(docs: DataFrame, n: int, slices: int, seed: int = 17) -> np.ndarray:
+    """Words that are frequent in a sample of about 16 of ``n`` texts a slice; only sends them
+    apart."""
     share = min(1.0, 16 * slices / max(1, n))
     drawn = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
     words = docs.where(drawn).select(F.explode(F.regexp_extract_all(
@@ -227,86 +335,74 @@ def _frequent(docs: DataFrame, slices: int, seed: int = 17) -> np.ndarray:
 
 def fit(docs: DataFrame, slicing: Slicing, min_count: int = MIN_COUNT) -> Model:
     """The model of all ``docs`` (key, text)."""
+    slices = slicing.slices
+
     def pack(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for texts, _ in _batches(rows, COUNT_TOKENS):
-            yield _frame([(p[0], _PACK, 0, *p[1:]) for p in _packs(texts, slicing, False)], _PACKED)
+            packs = [(p[0], _PACK, 0, 0, *p[1:]) for p in _packs(texts, slicing, False)]
+            yield _frame(packs, _PACKED)
 
     def count(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _grouped(rows, "slice"):
-            unpacked = [_unpacked(r) for r in part.itertuples()]
-            history, word, times = (np.concatenate(c) for c in zip(*unpacked))
-            order = np.lexsort((word, history))
-            history, word, times = history[order], word[order], times[order]
-            first = _runs(history, word)
-            times = np.add.reduceat(times, first)
-            history, word = history[first], word[first]
-            begun = _runs(history)
-            often, how_often = np.unique(times[times <= DISCOUNTED + 1], return_counts=True)
-            kept = times >= min_count
-            nothing = np.zeros(0, dtype=np.int64)
-            for kind, h, w, n in (
-                (_HISTORY, history[begun], nothing, np.add.reduceat(times, begun)),
-                (_BIGRAM, history[kept], word[kept], times[kept]),
-                (_TIMES, often, nothing, how_often),
-            ):
-                yield pd.DataFrame({"kind": np.int32(kind), "history": h,
-                                    "word": w if len(w) else np.zeros(len(h), np.int64), "n": n})
-
-    packed = docs.select("text").mapInPandas(pack, _PACKED)
-    counts = written(
-        packed.repartitionById(slicing.slices, F.col("slice")).sortWithinPartitions("slice")
-        .mapInPandas(count, "kind int, history long, word long, n long"), "katz-counts")
+            yield _frame(list(_counted(part, slicing, min_count)), _PACKED)
+
+    def answer(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = n = None
+        for frame in rows:
+            out = []
+            for r in frame.itertuples():
+                if r.kind == _HISTORIES:
+                    names, n = _unpack_sorted(r.histories), _unpack_numbers(r.times)
+                else:
+                    found = n[np.searchsorted(names, _unpack_sorted(r.words))]
+                    out.append((r.base, _ANSWER, r.slice, 0, b"", b"", r.words,
+                                _pack_numbers(found), b""))
+            yield _frame(out, _PACKED)
+
+    counts = written(_sliced(docs.select("text").mapInPandas(pack, _PACKED), slices).mapInPandas(
+        count, _PACKED), "katz-counts")
+    answers = written(_sliced(counts.where(F.col("kind").isin(_HISTORIES, _WANTED)), slices)
+                      .mapInPandas(answer, _PACKED), "katz-answers")
 
     # Every word is a history once each time it occurs; the end of text occurs once a text.
-    histories = counts.where(F.col("kind") == _HISTORY).groupBy("history").agg(
-        F.sum("n").alias("n"))
-    words = written(histories.select(F.when(
-        F.col("history") == START, END).otherwise(F.col("history")).alias("word"), "n"),
-        "katz-words")
-    total, distinct = words.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
-    times = {r["n"]: r["count"] for r in words.where(
-        F.col("n") <= DISCOUNTED + 1).groupBy("n").count().collect()}
+    found = counts.where(F.col("kind") >= _TIMES).groupBy("kind", "base").agg(
+        F.sum("n").alias("n")).collect()  # FREQUENT * slices
+    of = {k: {r["base"]: r["n"] for r in found if r["kind"] == k} for k in range(_TIMES, _HOT + 1)}
+    hot = sorted((END if h == START else h, n) for h, n in of[_HOT].items())
+    total = of[_TOKENS].get(0, 0) + sum(n for _, n in hot)
+    distinct = of[_DISTINCT].get(0, 0) + len(hot)
+    times = {r: of[_WORD_TIMES].get(r, 0) + sum(n == r for _, n in hot)
+             for r in range(1, DISCOUNTED + 2)}
     discounts = _good_turing(times, total)
-    known = sum(times.get(r, 0) * r * (discounts[r - 1] - 1) for r in range(1, DISCOUNTED + 1))
+    known = sum(times[r] * r * (discounts[r - 1] - 1) for r in range(1, DISCOUNTED + 1))
     mass = (total + known) / total if total else 0.0
     # An unknown word gets what the discounts leave, and something in any case.
     unknown = max(1 - mass, 1 / (total + 1))
-    scale = (1 - unknown) / mass if mass else 0.0
-    probability = _discounted(F.col("n"), discounts) / F.lit(float(total or 1)) * F.lit(scale)
-    words = words.withColumn("p", probability)
-
-    often = {r["history"]: r["n"] for r in counts.where(F.col("kind") == _TIMES).groupBy(
-        "history").agg(F.sum("n").alias("n")).collect()}
-    bigram_discounts = _good_turing(often, total, min_count)
-    bigrams = counts.where(F.col("kind") == _BIGRAM).select(
-        "history", "word", _discounted(F.col("n"), bigram_discounts).alias("held"))
-    bigrams = bigrams.join(words.select("word", "p"), "word")
-    before = words.select(F.when(F.col("word") == END, START).otherwise(F.col("word")).alias(
-        "history"), F.col("n").alias("all"))
-    sums = bigrams.groupBy("history").agg(
-        F.sum("held").alias("held"), F.sum("p").alias("p")).join(before, "history")
-    # What the bigrams of a history leave; a history seen with nothing else leaves something.
-    left = F.greatest(1 - F.col("held") / F.col("all"), 1 / (F.col("all") + 1))
-    weights = written(sums.select(
-        "history", "all", ((1 - left) / F.col("held")).alias("share"),
-        F.log10(left / (1 - F.col("p"))).alias("log_alpha")), "katz-weights")
-    gammas = bigrams.join(weights.select("history", "share", "log_alpha"), "history").select(
-        "history", "word", (F.log10(F.col("held") * F.col("share"))
-                            - F.col("log_alpha") - F.log10("p")).alias("gamma"))
-    named = weights.select(F.when(F.col("history") == START, END).otherwise(
-        F.col("history")).alias("word"), "log_alpha")
-    words = words.join(named, "word", "left").select(
-        "word", "n", F.log10("p").alias("log_p"),
-        F.coalesce("log_alpha", F.lit(0.0)).alias("log_alpha"))
-    return Model(written(words, "katz-unigrams"), written(gammas, "katz-bigrams"), slicing,
-                 total, distinct or 0, float(np.log10(unknown)))
-
-
-def _discounted(n: Column, discounts: list[float]) -> Column:
-    value = F.array(*[F.lit(d) for d in discounts])
-    return n * F.when(n <= DISCOUNTED, F.element_at(
-        value, F.least(n, F.lit(DISCOUNTED)).cast("int"))).otherwise(1.0)
+    laws = Laws(
+        np.array([1.0, *discounts, 1.0]),
+        np.array([1.0, *_good_turing(of[_TIMES], total, min_count), 1.0]),
+        total, (1 - unknown) / mass if mass else 0.0,
+        np.array([h for h, _ in hot], dtype=np.int64), np.array([n for _, n in hot], dtype=np.int64),
+        np.zeros(len(hot)), np.zeros(len(hot)))
+
+    def hot_sums(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _grouped(rows, "slice"):
+            history, _, held, p = _followers(part, laws)
+            begun = _runs(history)
+            yield pd.DataFrame({"name": _as_word(history[begun]), "held": _sums(held, begun),
+                                "p": _sums(p, begun)})
+
+    sums = _sliced(counts.where(F.col("kind") == _HOT_TABLE).unionByName(answers), slices)
+    for r in sums.mapInPandas(hot_sums, "name long, held double, p double").groupBy("name").agg(
+            F.sum("held").alias("held"), F.sum("p").alias("p")).collect():  # FREQUENT * slices
+        k = np.searchsorted(laws.names, r["name"])
+        laws.share[k], laws.log_alpha[k] = _weights(r["held"], r["p"], laws.counts[k])
+    return Model(counts, answers, slicing, laws, distinct, float(np.log10(unknown)))
+
+
+def _sliced(rows: DataFrame, slices: int) -> DataFrame:
+    """Each slice in a task of its own, its rows by kind."""
+    return rows.repartitionById(slices, F.col("slice")).sortWithinPartitions("slice", "kind")
 
 
 def _grouped(rows: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
@@ -323,35 +419,37 @@ def _grouped(rows: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame
 
 
 class _Lookup:
-    """The tables of a slice as sorted arrays."""
-
-    def __init__(self, hot: tuple[np.ndarray, ...]):
-        self.hot = hot
-        self.parts: dict[int, list] = {_WORDS: [], _GAMMAS: []}
-        self.ready = False
-
-    def add(self, kind: int, rows: pd.DataFrame) -> None:
-        self.parts[kind].append(tuple(rows[c].to_numpy() for c in ("history", "word", "n", "x", "y")))
-
-    def close(self) -> None:
-        empty = tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0) for _ in range(2))
-        word = [np.concatenate(c) for c in zip(empty, *self.parts[_WORDS])]
-        order = np.argsort(word[0], kind="stable")
-        self.words = [word[k][order] for k in (0, 2, 3, 4)]
-        gamma = [np.concatenate(c) for c in zip(empty, *self.parts[_GAMMAS])]
-        order = np.lexsort((gamma[1], gamma[0]))
-        self.history, self.word, self.gamma = (gamma[k][order] for k in (0, 1, 3))
-        self.ready = True
+    """The tables of a slice, made of its counts, as sorted arrays."""
+
+    def __init__(self, part: pd.DataFrame, laws: Laws):
+        own = part[part["kind"] == _HISTORIES]
+        names = _joined([laws.names, *map(_unpack_sorted, own["histories"])])
+        n = _joined([laws.counts, *map(_unpack_numbers, own["times"])])
+        order = np.argsort(names)
+        names, n = names[order], n[order]
+        frequent = np.searchsorted(names, laws.names)
+        share, log_alpha = np.zeros(len(names)), np.zeros(len(names))
+
+        self.history, self.word, held, p = _followers(part, laws)
+        begun = _runs(self.history)
+        runs = np.diff(np.append(begun, len(self.history)))
+        at = np.searchsorted(names, _as_word(self.history[begun]))
+        # A frequent history is in several slices: its sums here are parts, replaced next.
+        share[at], log_alpha[at] = _weights(_sums(held, begun), _sums(p, begun), n[at])
+        share[frequent], log_alpha[frequent] = laws.share, laws.log_alpha
+        at = np.repeat(at, runs)
+        self.gamma = np.log10(held * share[at]) - log_alpha[at] - np.log10(p)
+        self.words = names, n, np.log10(laws.p(n)), log_alpha
 
     def word_values(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(count, log P or NaN, log alpha) of words, which are in the slice or frequent."""
         n, p, a = np.zeros(len(words)), np.full(len(words), np.nan), np.zeros(len(words))
-        for names, *values in (self.words, self.hot):
-            if len(names):
-                at = np.minimum(np.searchsorted(names, words), len(names) - 1)
-                found = names[at] == words
-                for to, value in zip((n, p, a), values):
-                    to[found] = value[at[found]]
+        names, *values = self.words
+        if len(names):
+            at = np.minimum(np.searchsorted(names, words), len(names) - 1)
+            found = names[at] == words
+            for to, value in zip((n, p, a), values):
+                to[found] = value[at[found]]
         return n, p, a
 
     def gammas(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -373,34 +471,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Ids are strings. Keys tell rows apart and only need to hold while this runs; those of
     ``monotonically_increasing_id`` do, as every pack brings along what it is keyed by.
     """
-    slicing = model.slicing
-    hot = slicing.hot.tolist()
-    rows = model.words.where(F.col("word").isin([END, *hot])).collect()  # FREQUENT * slices
-    table = sorted((r["word"], r["n"], r["log_p"], r["log_alpha"]) for r in rows)
-    arrays = tuple(np.array([r[k] for r in table], dtype=np.int64 if k < 2 else np.float64)
-                   for k in range(4))
-    unknown = model.log_unknown
+    slicing, laws, unknown = model.slicing, model.laws, model.log_unknown
 
     def pack(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for texts, frame in _batches(rows, SCORE_TOKENS):
             base = int(frame["key"].iloc[0])
-            out = [(p[0], _PACK, base, *p[1:]) for p in _packs(texts, slicing, True)]
+            out = [(p[0], _PACK, base, 0, *p[1:]) for p in _packs(texts, slicing, True)]
             lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64).tobytes()
             ids = json.dumps(frame["doc_id"].tolist()).encode()
-            head = (base % slicing.slices, _HEAD, base, lengths, b"", ids, b"", b"")
+            head = (base % slicing.slices, _HEAD, base, 0, lengths, b"", ids, b"", b"")
             yield _frame([*out, head], _PACKED)
 
     def add(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup, at = None, None
+        lookup, tables, at = None, [], None
         for frame in rows:
             for (slice_, kind), part in frame.groupby(["slice", "kind"], sort=True):
                 if slice_ != at:
-                    lookup, at = _Lookup(arrays), slice_
-                if kind in (_WORDS, _GAMMAS):
-                    lookup.add(kind, part)
+                    lookup, tables, at = None, [frame.iloc[:0]], slice_
+                if kind < _PACK:
+                    tables.append(part)
                     continue
-                if not lookup.ready:
-                    lookup.close()
+                if lookup is None:
+                    lookup, tables = _Lookup(pd.concat(tables), laws), []
                 yield pd.DataFrame(
                     [(r.base, slice_, kind, r.histories, r.words) if kind == _HEAD else
                      (r.base, slice_, kind, summed(r, lookup), None) for r in part.itertuples()],
@@ -440,23 +532,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 "n_known": np.rint(sums[0]).astype(np.int64), "base_sum": sums[1],
                 "log_p": sums[2]})
 
-    none, blob = F.lit(0).cast("long"), F.lit(None).cast("binary")
-    packed = docs.select("key", "doc_id", "text").mapInPandas(pack, _PACKED).select(
-        "*", none.alias("history"), none.alias("word"), none.alias("n"),
-        F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    blanks = [blob.alias(c) for c in ("histories", "runs", "words", "times", "owners")]
-    own = (F.col("word") % slicing.slices).cast("int")
-    words = model.words.where(~F.col("word").isin([END, *hot])).select(
-        own.alias("slice"), F.lit(_WORDS).alias("kind"), none.alias("base"), *blanks,
-        F.col("word").alias("history"), none.alias("word"), "n", F.col("log_p").alias("x"),
-        F.col("log_alpha").alias("y"))
-    bigrams = model.bigrams.select(
-        slicing.column("history", "word").alias("slice"), F.lit(_GAMMAS).alias("kind"),
-        none.alias("base"), *blanks, "history", "word", none.alias("n"),
-        F.col("gamma").alias("x"), F.lit(0.0).alias("y"))
-    sliced = words.unionByName(bigrams).unionByName(packed)
-    parts = sliced.repartitionById(slicing.slices, F.col("slice")).sortWithinPartitions(
-        "slice", "kind").mapInPandas(
+    packed = docs.select("key", "doc_id", "text").mapInPandas(pack, _PACKED)
+    tables = model.counts.where(F.col("kind").isin(_HISTORIES, _TABLE, _HOT_TABLE))
+    parts = _sliced(tables.unionByName(model.answers).unionByName(packed), slicing.slices).mapInPandas(
             add, "base long, slice int, kind int, values binary, ids binary")
     return parts.repartition("base").sortWithinPartitions("base").mapInPandas(
         gather, "doc_id string, n_tokens long, n_known long, base_sum double, log_p double")
@@ -477,22 +555,24 @@ def judge(
     that of additively smoothed single words. Null and empty texts are one token, the
     end. If there is nothing to learn from, every token is unknown, with probability 1.
     Repeated rows are learnt from and scored each; an empty table gives an empty result;
-    other columns are not looked at. ``slices`` defaults to half the session's number of
-    shuffle partitions; a task holds a slice of the tables and one pack.
+    other columns are not looked at. A very long text is counted and scored as a whole, in a
+    pack of its own. ``slices`` defaults to one for each ``SLICE_BYTES`` of training text; a task
+    holds a slice of the tables and one pack.
     """
-    spark = docs.sparkSession
     held = F.coalesce(F.pmod(F.crc32("doc_id"), F.lit(folds)) == 0, F.lit(False))
     rows = docs.select(F.col(doc_id).cast("string").alias("doc_id"),
                        F.col(text).cast("string").alias("text"),
                        F.monotonically_increasing_id().alias("key"))
     training = rows.where(~held)
-    slices = slices or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    slicing = Slicing(slices, _frequent(training, slices))
+    n, size = training.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    slices = slices or max(MIN_SLICES, (size or 0) // SLICE_BYTES)
+    slicing = Slicing(slices, _frequent(training, n, slices))
     model = fit(training, slicing, min_count)
-    norm = float(np.log10(model.total + 0.1 * (model.distinct + 1)))
+    total = model.laws.total
+    norm = float(np.log10(total + 0.1 * (model.distinct + 1)))
     return score(rows, model).select(
         F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"),
         held.alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base_sum") - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
         F.col("log_p").alias("score"))

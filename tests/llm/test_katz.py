@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from retinue.llm import katz
@@ -112,3 +113,40 @@ def test_nothing_to_learn_from(spark):
     alone = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 10 == 0)
     row = katz.judge(spark.createDataFrame([(alone, "a b")], schema), slices=3).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (3, 0, 0, 0.0)
+
+
+def test_counts_of_a_slice_span_rows(monkeypatch):
+    slicing = katz.Slicing(3, np.array([katz.START, 7]))
+    texts = [np.array([7, 5, 7, 8, 11, 5]), np.array([5, 7, 5]), np.zeros(0, np.int64)]
+    packs = [p for t in ([texts[0]], texts[1:]) for p in katz._packs(t, slicing, False)]
+    monkeypatch.setattr(katz, "TABLE_ROW", 2)
+    got, asked = Counter(), set()
+    for s in range(3):
+        rows = katz._frame([(p[0], katz._PACK, 0, 0, *p[1:]) for p in packs if p[0] == s],
+                           katz._PACKED)
+        out = katz._frame(list(katz._counted(rows, slicing, 1)), katz._PACKED)
+        for r in out[out.kind.isin([katz._TABLE, katz._HOT_TABLE])].itertuples():
+            columns = katz._unpacked(r)
+            assert len(columns[0]) <= 2
+            for h, w, n in zip(*columns):
+                got[int(h), int(w)] += int(n)
+        for r in out[out.kind == katz._WANTED].itertuples():
+            words = katz._unpack_sorted(r.words)
+            assert set(words % 3) == {r.slice} and r.base == s
+            asked |= set(words.tolist())
+    ended = [[*t.tolist(), katz.END] for t in texts]
+    assert got == Counter(p for t in ended for p in zip([katz.START, *t], t))
+    assert asked == {5, 8, 11}  # neither the frequent word nor the end of text
+
+
+def test_very_long_text(spark):
+    text = " ".join(f"w{k % 997}" for k in range(400_000))
+    rows = [(k, t) for k, t in enumerate(["w1 w2", text, "w3 W4"]) for _ in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
+    plain = Plain([t for d, t in rows if not held(d)], 1)
+    for r in katz.judge(docs, slices=4).collect():
+        tokens = words_of(dict(rows)[r.doc_id])
+        assert r.n_tokens == len(tokens)
+        assert r.score == pytest.approx(
+            sum(math.log10(plain.prob(h, w)) for h, w in zip([0, *tokens], tokens)))
