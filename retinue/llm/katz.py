@@ -430,16 +430,19 @@ class _Lookup:
         frequent = np.searchsorted(names, laws.names)
         share, log_alpha = np.zeros(len(names)), np.zeros(len(names))
 
-        self.history, self.word, held, p = _followers(part, laws)
-        begun = _runs(self.history)
-        runs = np.diff(np.append(begun, len(self.history)))
-        at = np.searchsorted(names, _as_word(self.history[begun]))
+        history, word, held, p = _followers(part, laws)
+        begun = _runs(history)
+        runs = np.diff(np.append(begun, len(history)))
+        at = np.searchsorted(names, _as_word(history[begun]))
         # A frequent history is in several slices: its sums here are parts, replaced next.
         share[at], log_alpha[at] = _weights(_sums(held, begun), _sums(p, begun), n[at])
         share[frequent], log_alpha[frequent] = laws.share, laws.log_alpha
         at = np.repeat(at, runs)
         self.gamma = np.log10(held * share[at]) - log_alpha[at] - np.log10(p)
         self.words = names, n, np.log10(laws.p(n)), log_alpha
+        # A bigram's key: the places of its words among the distinct ones, in one number.
+        self.history, (self.word, place) = history[begun], np.unique(word, return_inverse=True)
+        self.key = np.repeat(np.arange(len(begun)), runs) * len(self.word) + place
 
     def word_values(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(count, log P or NaN, log alpha) of words, which are in the slice or frequent."""
@@ -453,15 +456,15 @@ class _Lookup:
         return n, p, a
 
     def gammas(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Corrections of the sorted bigrams (by history and word); 0 without one."""
+        """Corrections of bigrams; 0 for one that is not in the table."""
         out = np.zeros(len(history))
-        if len(self.history):
-            both = np.concatenate([self.history, history]), np.concatenate([self.word, word])
-            mine = np.arange(len(both[0])) < len(self.history)
-            order = np.lexsort((~mine, both[1], both[0]))
-            h, w = both[0][order], both[1][order]
-            same = np.nonzero((h[1:] == h[:-1]) & (w[1:] == w[:-1]))[0]
-            out[order[same + 1] - len(self.history)] = self.gamma[order[same]]
+        if len(self.key):
+            h = np.minimum(np.searchsorted(self.history, history), len(self.history) - 1)
+            w = np.minimum(np.searchsorted(self.word, word), len(self.word) - 1)
+            key = h * len(self.word) + w
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            found = (self.history[h] == history) & (self.word[w] == word) & (self.key[at] == key)
+            out[found] = self.gamma[at[found]]
         return out
 
 
