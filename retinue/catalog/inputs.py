@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.catalog.common import (
@@ -174,7 +176,8 @@ def _(spark, sf_dir):
     views = grouped.groupBy("pid", "day").agg(
         F.count_if(F.col("event").startswith("visit.")).alias("cnt"))
     stored = views.where(F.col("day") < DAY).select(
-        key, "cnt", F.col("day").alias("run_day"), F.lit("x").alias("label"))
+        key, "cnt", F.col("day").alias("run_day"), F.lit("x").alias("label"),
+        F.lit("page_views").alias("family"))
     return metrics.previous_counts(views.select(key), stored)
 
 
@@ -185,10 +188,37 @@ def _(spark, sf_dir):
     return warehouse.discover("user_event")
 
 
+@add("init_schemas", """
+SELECT 'user_event' AS source, pid, count(*) AS stored FROM ev GROUP BY pid
+UNION ALL SELECT 'user_property', pid, count(*) FROM props GROUP BY pid
+UNION ALL SELECT 'user_id', pid, count(*) FROM idm GROUP BY pid""")
+def _(spark, sf_dir):
+    x = everything(spark, sf_dir)
+    warehouse = new_warehouse(spark)
+    tables = {"user_event": x.events.withColumn("p", F.col("pid")),
+              "user_property": x.properties, "user_id": x.ids}
+    for table, rows in tables.items():
+        warehouse.overwrite_found(table, rows)
+    warehouse.create_tables()  # again: what is stored and registered stays
+    counts = [warehouse.table(t).groupBy(F.lit(t).alias("source"), "pid").agg(
+        F.count("*").alias("stored")) for t in tables]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _put_foreign_file(spark, folder: str) -> None:
+    """A file beside the part files, which no reader may take for one of them."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/notes.txt")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.writeBytes("999999\tDEV-999999\n")
+    out.close()
+
+
 @add("only_part_files", "SELECT pid, count(DISTINCT orig_id) AS ids FROM dev GROUP BY pid")
 def _(spark, sf_dir):
     root = shared_dir(spark)
     stage_text(today(spark, sf_dir), root)
+    _put_foreign_file(spark, f"{root}/user_id/pid=p0")
     lines = logs.read_id_map(spark, f"{root}/user_id")
     return identity.device_ids(lines).groupBy("pid").agg(
         F.count_distinct("orig_id").alias("ids"))

@@ -237,6 +237,12 @@ def merge_metric_sets(first: DataFrame, *later: DataFrame) -> DataFrame:
     return kept.where(F.col("_order") == F.col("_last")).select(*first.columns)
 
 
+def _by_family() -> Column:
+    """Later families of ``FAMILY_ORDER`` above earlier ones and these above all others."""
+    named = F.array(*[F.lit(f) for f in FAMILY_ORDER])
+    return F.struct(F.array_position(named, F.col("family")), "family")
+
+
 def current_metrics(metrics: DataFrame) -> DataFrame:
     """The entries a reader of the store sees: per key those of its latest run.
 
@@ -245,20 +251,19 @@ def current_metrics(metrics: DataFrame) -> DataFrame:
     """
     last = metrics.groupBy("cache_key").agg(F.max("run_day").alias("_last"))
     latest = metrics.join(last, "cache_key").where(F.col("run_day") == F.col("_last"))
-    owner = F.struct(
-        F.array_position(F.array(*[F.lit(f) for f in FAMILY_ORDER]), F.col("family")), "family")
     rest = [c for c in metrics.columns if c not in ("cache_key", "label")]
     entries = latest.groupBy("cache_key", "label").agg(
-        F.max_by(F.struct(*rest), owner).alias("_entry"))
+        F.max_by(F.struct(*rest), _by_family()).alias("_entry"))
     return entries.select("cache_key", "label", "_entry.*").select(*metrics.columns)
 
 
 def previous_counts(wanted: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Stored count of each wanted key, 0 if it has none; of several labels the last."""
+    """Stored count of each wanted key, 0 if it has none; of several entries that of the
+    latest run, the last label and the last family, as ``current_metrics`` has them."""
     stored = (
         metrics.join(wanted.select("cache_key").distinct(), "cache_key", "left_semi")
         .groupBy("cache_key")
-        .agg(F.max_by("cnt", F.struct("run_day", "label")).alias("stored"))
+        .agg(F.max_by("cnt", F.struct("run_day", "label", _by_family())).alias("stored"))
     )
     return wanted.join(stored, "cache_key", "left").select(
         *wanted.columns, F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored_cnt")

@@ -76,6 +76,19 @@ def read_properties(
     return _tab_text(spark, schemas.USER_PROPERTY, path, pid=pids, prop=[prop])
 
 
+#: Columns of a line ``value`` of the id map, for the reader and for the table of the jobs.
+ID_MAP_FIELDS = r"split(rtrim('\t', value), '\t')"
+ID_MAP_COLUMNS = {
+    "uid": f"get({ID_MAP_FIELDS}, 0)",
+    "orig_id": f"CASE WHEN size({ID_MAP_FIELDS}) = 2 THEN get({ID_MAP_FIELDS}, 1) END",
+    "pid": "pid",
+}
+
+
+def id_map_select() -> list[str]:
+    return [f"{rule} AS {column}" for column, rule in ID_MAP_COLUMNS.items()]
+
+
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     """``uid <tab> orig_id`` lines; ``orig_id`` is null unless a line has two fields."""
     lines = (
@@ -83,12 +96,7 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
         .option("pathGlobFilter", PART_FILES)
         .text(path)
     )
-    fields = F.split(F.rtrim("value", F.lit("\t")), "\t")
-    return lines.select(
-        "pid",
-        F.get(fields, F.lit(0)).alias("uid"),
-        F.when(F.size(fields) == 2, F.get(fields, F.lit(1))).alias("orig_id"),
-    )
+    return lines.selectExpr(*id_map_select())
 
 
 def read_groups(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from retinue.functions.days import shift
 from retinue.schemas import RAW_TABLES, TABLES
 from retinue.settings import KEEP_DAYS
+from retinue.sources.logs import PART_FILES, id_map_select
+
+#: What tells a table of lines from the view of the same name that splits them.
+LINES = "_lines"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -81,14 +85,20 @@ class Warehouse:
         """Create the tables that do not exist yet.
 
         With ``raw_location`` the raw inputs are the tab-separated text found there, one
-        folder per table and partition; otherwise they are Parquet like the rest.
+        folder per table and partition; otherwise they are Parquet like the rest. The id
+        map is then a view of its lines by the rule of ``read_id_map``, since a CSV table
+        would take the first two fields of any line.
         """
         for table in TABLES:
+            if raw_location and table == "user_id":
+                self._create_id_map(f"{raw_location}/{table}")
+                continue
             schema, partitions = TABLES[table]
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
             storage, location = "USING parquet", ""
             if raw_location and table in RAW_TABLES:
-                storage = "USING csv OPTIONS (sep '\\t', quote '', pathGlobFilter 'part-*')"
+                storage = ("USING csv OPTIONS (sep '\\t', quote '', "
+                           f"pathGlobFilter '{PART_FILES}')")
                 location = f" LOCATION '{raw_location}/{table}'"
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) {storage} "
@@ -96,6 +106,19 @@ class Warehouse:
             )
         return list(TABLES)
 
+    def _create_id_map(self, location: str) -> None:
+        view, lines = self.name("user_id"), self.name("user_id" + LINES)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {lines} (value STRING, pid STRING) USING text "
+            f"OPTIONS (pathGlobFilter '{PART_FILES}') PARTITIONED BY (pid) LOCATION '{location}'")
+        self.spark.sql(f"CREATE VIEW IF NOT EXISTS {view} AS "
+                       f"SELECT {', '.join(id_map_select())} FROM {lines}")
+
+    def _stored(self, table: str) -> str:
+        """The table that holds the partitions of ``table``, which may be a view of it."""
+        lines = self.name(table + LINES)
+        return lines if self.spark.catalog.tableExists(lines) else self.name(table)
+
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
@@ -163,12 +186,13 @@ class Warehouse:
 
     def _add(self, table: str, specs: list[dict[str, str]]) -> None:
         clauses = " ".join(f"PARTITION ({_spec(s)})" for s in specs)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS {clauses}")
+        self.spark.sql(f"ALTER TABLE {self._stored(table)} ADD IF NOT EXISTS {clauses}")
 
     def discover(self, table: str) -> DataFrame:
         """Register partitions found on storage; repeating it changes nothing."""
-        self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
-        return self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        stored = self._stored(table)
+        self.spark.sql(f"MSCK REPAIR TABLE {stored}")
+        return self.spark.sql(f"SHOW PARTITIONS {stored}")
 
     def _by_day(self, table: str) -> DataFrame:
         """Stored partitions of a table partitioned by day first: (partition, day)."""
@@ -202,4 +226,4 @@ class Warehouse:
         if not specs:
             return
         clauses = ", ".join(f"PARTITION ({_spec(s)})" for s in specs)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {clauses}")
+        self.spark.sql(f"ALTER TABLE {self._stored(table)} DROP IF EXISTS {clauses}")

@@ -1,5 +1,6 @@
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,26 @@ def test_id_map_lines_need_two_fields(spark, tmp_path):
     assert got == {"1": "Dev", "2": None, "3": None, "4": None}
 
 
+def test_jobs_read_the_id_map_by_the_rule_of_its_reader(spark, tmp_path):
+    write_lines(f"{tmp_path}/raw/user_id/pid=a", ["1\tDev", "2", "3\tx\ty", "4\t", "\t5", ""])
+    write_lines(f"{tmp_path}/raw/user_id/pid=b", ["1\tOther"])
+    warehouse = Warehouse(spark, f"lines_{uuid.uuid4().hex}", f"{tmp_path}/tables")
+    for _ in range(2):
+        warehouse.create_tables(f"{tmp_path}/raw")
+    done = warehouse.add_partitions("user_id", [{"pid": "a"}, {"pid": "none"}])
+    assert [r.error for r in done] == [None, None]
+    key = lambda r: (r.pid, r.uid, r.orig_id or "")
+    of_table = sorted(map(key, warehouse.table("user_id").collect()))
+    read = logs.read_id_map(spark, f"{tmp_path}/raw/user_id").where("pid = 'a'")
+    assert of_table == sorted(map(key, read.collect()))
+    assert ("a", "1", "Dev") in of_table and ("a", "3", "") in of_table
+    only = warehouse.table("user_id").where("pid = 'a'")
+    assert "PartitionFilters: [isnotnull(pid" in only._jdf.queryExecution().toString()
+    assert warehouse.discover("user_id").count() == 3
+    warehouse.drop_partitions("user_id", [{"pid": "a"}])
+    assert [r.pid for r in warehouse.table("user_id").collect()] == ["b"]
+
+
 def test_properties_of_one_kind(spark, tmp_path):
     write_lines(f"{tmp_path}/pid=a/prop=nation", ["1\tus", "2\t"])
     write_lines(f"{tmp_path}/pid=a/prop=register_time", ["1\t20240101000000"])
@@ -322,8 +343,9 @@ def test_later_set_replaces_whole_keys(spark):
 def test_previous_counts(spark):
     wanted = spark.createDataFrame([("a",), ("b",)], "cache_key string")
     stored_rows = spark.createDataFrame(
-        [("a", "d1", "x", 5), ("a", "d2", "x", 7), ("a", "d2", "w", 6), ("c", "d1", "x", 1)],
-        "cache_key string, run_day string, label string, cnt long")
+        [("a", "d1", "x", 5, "users"), ("a", "d2", "x", 3, "page_views"), ("a", "d2", "x", 7, "users"),
+         ("a", "d2", "x", 9, "another"), ("a", "d2", "w", 6, "users"), ("c", "d1", "x", 1, "users")],
+        "cache_key string, run_day string, label string, cnt long, family string")
     got = {r.cache_key: r.stored_cnt
            for r in M.previous_counts(wanted, stored_rows).collect()}
     assert got == {"a": 7, "b": 0}
