@@ -16,8 +16,8 @@ from retinue.sources import sample
 from retinue.sources.sample import GROUPS, Inputs
 from retinue.sources.warehouse import Warehouse, shared_dir
 
-DAY = "2024-01-20"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
+#: The test day, whose month is all days of events, and the next, whose month leaves one out.
+DAY, NEXT_DAY = "2024-01-30", "2024-01-31"
 PREFIX = "pay.search2"
 HEARTBEAT_PIDS = ("p1",)
 
@@ -66,6 +66,11 @@ def visits_of(x: Inputs, days: int = 30) -> DataFrame:
     return visits(x.events, x.devices, x.groups, back(days - 1), DAY)
 
 
+def all_visits(x: Inputs) -> DataFrame:
+    """Visits of every day of events, for queries whose own window matters."""
+    return visits(x.events, x.devices, x.groups, "2024-01-01", NEXT_DAY)
+
+
 def bounds_of(x: Inputs) -> DataFrame:
     return register_bounds(x.properties, x.devices, x.groups)
 

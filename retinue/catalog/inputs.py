@@ -50,7 +50,7 @@ WHERE day = '{DAY}' AND pid IN ('p0', 'p1')""")
 def _(spark, sf_dir):
     root = shared_dir(spark)
     stage_text(everything(spark, sf_dir), root)
-    return logs.read_events(spark, f"{root}/user_event", DAY, G1).drop("p")
+    return as_double(logs.read_events(spark, f"{root}/user_event", DAY, G1).drop("p"), "value")
 
 
 @add("scan_properties", """

@@ -8,8 +8,10 @@ from retinue.catalog.common import (
     DAY,
     HEARTBEAT_PIDS,
     MD5UID,
+    NEXT_DAY,
     PREFIX,
     Catalog,
+    all_visits,
     back,
     bounds_of,
     everything,
@@ -21,7 +23,7 @@ from retinue.catalog.common import (
     week,
 )
 from retinue.functions import ids as I
-from retinue.functions.days import compact
+from retinue.functions.days import compact, shift
 from retinue.operators import counters, identity, registrations, search, segments
 from retinue.operators import metrics as M
 from retinue.operators import visits as V
@@ -129,9 +131,9 @@ def _(spark, sf_dir):
 # --- counts per group --------------------------------------------------------------------
 
 
-def active_sql(first: str) -> str:
+def active_sql(first: str, last: str = DAY) -> str:
     return (f"SELECT pid, count(DISTINCT orig_id) AS users FROM vis "
-            f"WHERE day BETWEEN '{first}' AND '{DAY}' GROUP BY pid")
+            f"WHERE day BETWEEN '{first}' AND '{last}' GROUP BY pid")
 
 
 def _add_active(name: str, days: int) -> None:
@@ -145,6 +147,11 @@ _add_active("weekly_active", 7)
 _add_active("monthly_active", 30)
 
 
+@add("monthly_active_next_day", active_sql(shift(NEXT_DAY, 29), NEXT_DAY))
+def _(spark, sf_dir):
+    return V.active_users(all_visits(everything(spark, sf_dir)), NEXT_DAY, 30)
+
+
 @add("new_users", f"""
 SELECT pid, count(DISTINCT orig_id) AS users FROM reg
 WHERE min_reg_time = '{compact(DAY)}' GROUP BY pid""")
@@ -192,6 +199,12 @@ def _(spark, sf_dir):
     return group_totals(user_profile(visits_of(x), bounds_of(x), DAY))
 
 
+@add("daily_totals_next_day", totals_sql(NEXT_DAY).replace(f"'{NEXT_DAY}' AS day, ", "", 1))
+def _(spark, sf_dir):
+    x = everything(spark, sf_dir)
+    return group_totals(user_profile(all_visits(x), bounds_of(x), NEXT_DAY))
+
+
 # --- by attribute ------------------------------------------------------------------------
 
 

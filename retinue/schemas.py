@@ -14,7 +14,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 
 USER_EVENT = _schema(
-    ("p", STRING), ("uid", STRING), ("event", STRING), ("value", DOUBLE), ("ts", STRING),
+    ("p", STRING), ("uid", STRING), ("event", STRING), ("value", EVENT_VALUE), ("ts", STRING),
     ("day", STRING), ("pid", STRING),
 )
 USER_PROPERTY = _schema(("uid", STRING), ("val", STRING), ("pid", STRING), ("prop", STRING))

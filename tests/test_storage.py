@@ -1,6 +1,7 @@
 import json
 import os
 import uuid
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from retinue import schemas
 from retinue.catalog.common import new_warehouse
 from retinue.operators import history
 from retinue.operators import metrics as M
+from retinue.operators.search import search_events
 from retinue.schemas import TABLES
 from retinue.settings import Settings
 from retinue.sources import logs, store
@@ -49,6 +51,16 @@ def test_read_events_slices_days_and_pids(spark, tmp_path):
     assert logs.read_events(spark, str(tmp_path), DAY, ["b"], days=30).count() == 3
 
 
+def test_values_are_read_digit_by_digit(spark, tmp_path):
+    """Digits that a double cannot hold arrive, text that is no number does not."""
+    texts = ["12345678901234567.123456789012345678", "0.000000000000000001", "1.5E3", "x", ""]
+    write_lines(f"{tmp_path}/day={DAY}/pid=a",
+                [f"p\t{i}\tpay.search2\t{text}\t1" for i, text in enumerate(texts)])
+    found = search_events(logs.read_events(spark, str(tmp_path), DAY, ["a"]), DAY, DAY, "pay")
+    assert [r.value for r in found.orderBy("uid").collect()] == [
+        Decimal(texts[0]), Decimal("1E-18"), Decimal(1500), None, None]
+
+
 def test_only_the_wanted_partitions_are_looked_at(spark, tmp_path):
     """A folder of another day that is no partition, or of another project, does no harm."""
     for day in ("2024-01-19", "2024-01-20"):
@@ -68,7 +80,7 @@ def test_only_the_wanted_partitions_are_looked_at(spark, tmp_path):
 
 def test_names_of_partitions_may_hold_any_character(spark, tmp_path):
     odd = ["a b", "x=y", "50%", "q?[1]{2}*", "c,d", "e/f"]
-    rows = spark.createDataFrame([("p", "1", "visit.x", 1.0, "1", DAY, p) for p in odd],
+    rows = spark.createDataFrame([("p", "1", "visit.x", Decimal(1), "1", DAY, p) for p in odd],
                                  schemas.USER_EVENT)
     rows.write.partitionBy("day", "pid").option("sep", "\t").csv(f"{tmp_path}/log")
     for name in odd:
