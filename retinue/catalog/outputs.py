@@ -290,6 +290,19 @@ def _(spark, sf_dir):
     return again.select("cache_key", "label", "cnt", "users")
 
 
+@add("run_counters", """
+SELECT 'events' AS source, count(*) AS read, count(*) FILTER (WHERE
+    event LIKE 'visit.%' OR event LIKE 'ientheartbeat.%') AS kept,
+  count(*) FILTER (WHERE NOT (event LIKE 'visit.%' OR event LIKE 'ientheartbeat.%')) AS missed
+FROM ev WHERE day = '""" + DAY + """'
+UNION ALL SELECT 'id_map', count(*), count(orig_id), count(*) - count(orig_id) FROM idm
+UNION ALL SELECT 'property ' || prop, count(*), count(*) FILTER (WHERE val <> ''),
+  count(*) FILTER (WHERE val = '') FROM props GROUP BY prop""")
+def _(spark, sf_dir):
+    warehouse, _, _ = _daily_run(spark, sf_dir)
+    return warehouse.table("run_counters").where(F.col("run_day") == DAY).drop("run_day")
+
+
 @add("history_job", SET_RULES + f"SELECT * FROM ({_history_sql('setvis')}) h")
 def _(spark, sf_dir):
     warehouse = new_warehouse(spark, everything(spark, sf_dir))

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.days import shift
+from retinue.functions.ids import is_filled
 from retinue.local import local_rows
 from retinue.operators import metrics as M
+from retinue.operators.counters import InputCounters
 from retinue.operators.identity import device_ids
 from retinue.operators.profile import MONTH_DAYS, group_totals, rolled_profile, user_profile
 from retinue.operators.registrations import register_bounds
 from retinue.operators.segments import attributes, breakdown
-from retinue.operators.visits import visits
+from retinue.operators.visits import in_day_range, is_visit, visits
+from retinue.schemas import TABLES
 from retinue.settings import NATION, REGISTER_TIME, Settings
 from retinue.sources.store import export_json, publish, upsert
 from retinue.sources.warehouse import Registration, Warehouse, cut_lineage
@@ -59,12 +62,16 @@ def group_config(
     return local, sorted({grp for grp, _ in rows}), sorted({member for _, member in rows})
 
 
-def stage_devices(warehouse: Warehouse, members: list[str]) -> None:
+def stage_devices(
+    warehouse: Warehouse, members: list[str], counters: InputCounters | None = None
+) -> None:
     """Write the cleaned id map of the given sub-projects for every later step.
 
     A sub-project whose id map has become empty has no devices any more.
     """
     ids = warehouse.table("user_id").where(F.col("pid").isin(*members))
+    if counters:
+        ids = counters.watch("id_map", ids, is_filled(F.col("orig_id")))
     warehouse.overwrite_each("user_device", device_ids(ids), [{"pid": m} for m in members])
 
 
@@ -82,12 +89,16 @@ def write_visits(
 
 def _write_visits(
     warehouse: Warehouse, groups: DataFrame, members: list[str], settings: Settings,
-    from_day: str, to_day: str,
+    from_day: str, to_day: str, counters: InputCounters | None = None,
 ) -> None:
     of_members = F.col("pid").isin(*members)
+    events = warehouse.table("user_event").where(
+        of_members & F.col("day").between(from_day, to_day))
+    if counters:
+        events = counters.watch("events", events, is_visit(settings.heartbeat_pids) & in_day_range(
+            from_day, to_day, settings.utc_offset_hours))
     rows = visits(
-        warehouse.table("user_event").where(of_members),
-        warehouse.table("user_device").where(of_members),
+        events, warehouse.table("user_device").where(of_members),
         groups, from_day, to_day, settings.heartbeat_pids, settings.utc_offset_hours,
     )
     warehouse.forget("user_activity", from_day, shift(to_day, 1 - MONTH_DAYS))
@@ -100,17 +111,29 @@ def _write_visits(
 def stage_users(
     warehouse: Warehouse, local: DataFrame, members: list[str], settings: Settings, day: str
 ) -> None:
-    """Write devices, visits of ``day``, registration bounds and attributes."""
-    stage_devices(warehouse, members)
-    _write_visits(warehouse, local, members, settings, day, day)
+    """Write devices, visits of ``day``, registration bounds and attributes, and what of each
+    input was read and kept."""
+    counters = InputCounters() if settings.count_inputs else None
+    stage_devices(warehouse, members, counters)
+    _write_visits(warehouse, local, members, settings, day, day, counters)
     of_members = F.col("pid").isin(*members)
     devices = warehouse.table("user_device").where(of_members)
-    properties = warehouse.table("user_property").where(of_members)
-    warehouse.overwrite("user_register_time", register_bounds(properties, devices, local))
+
+    def stored(prop: str) -> DataFrame:
+        rows = warehouse.table("user_property").where(of_members & (F.col("prop") == prop))
+        filled = is_filled(F.col("uid")) & is_filled(F.col("val"))
+        return counters.watch(f"property {prop}", rows, filled) if counters else rows
+
+    bounds = register_bounds(stored(REGISTER_TIME), devices, local)
+    warehouse.overwrite("user_register_time", bounds)
     kept = local.where(F.col("grp").isin(*settings.breakdown_groups))
     for attr in settings.attributes:
-        values = attributes(properties, devices, kept, attr)
+        values = attributes(stored(attr), devices, kept, attr)
         warehouse.overwrite("user_attribute", values.drop("attr"), attr=attr)
+    if counters:
+        counted = warehouse.spark.createDataFrame(
+            [(*row, day) for row in counters.counts()], TABLES["run_counters"][0])
+        warehouse.overwrite("run_counters", counted.drop("run_day"), run_day=day)
 
 
 def stage_activity(warehouse: Warehouse, day: str) -> DataFrame:

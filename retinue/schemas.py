@@ -47,6 +47,9 @@ METRICS = _schema(
     ("cache_key", STRING), ("label", STRING), ("cnt", LONG), ("value", VALUE),
     ("users", LONG), ("sample_rate", DOUBLE), ("run_day", STRING), ("family", STRING),
 )
+RUN_COUNTERS = _schema(
+    ("source", STRING), ("read", LONG), ("kept", LONG), ("missed", LONG), ("run_day", STRING),
+)
 TOTALS = ("dau", "wau", "mau", "new_users", "cover_users", "total_new", "ret_day2", "ret_day7",
           "ret_week")
 GROUP_TOTALS = _schema(*((m, LONG) for m in TOTALS), ("day", STRING), ("pid", STRING))
@@ -80,4 +83,5 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "set_totals": (SET_TOTALS, ("day",)),
     "group_breakdown": (GROUP_BREAKDOWN, ("day", "attr")),
     "metrics": (METRICS, ("run_day", "family")),
+    "run_counters": (RUN_COUNTERS, ("run_day",)),
 }

@@ -37,6 +37,8 @@ class Settings:
     published a second time. ``heartbeat_pids`` limits heartbeat events to the listed
     sub-projects; ``None`` counts them everywhere. ``store_client`` names the function that
     connects to an external key-value store; without it metrics stay in the warehouse.
+    ``count_inputs`` stores what the daily run read and kept of each input; rows are counted
+    before they are filtered, so a Parquet log sorted by event is better read without.
     """
 
     combined: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"all": ("g1", "g2")})
@@ -51,5 +53,6 @@ class Settings:
     search_extra_members: tuple[str, ...] = ()
     search_event: str = SEARCH_EVENT
     utc_offset_hours: int = 0
+    count_inputs: bool = True
     store_client: str | None = None
     store_options: dict[str, str] = field(default_factory=dict)

@@ -1,9 +1,12 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from retinue.catalog import common as C
 from retinue.local import local_rows
 from retinue.operators import metrics as M
+from retinue.operators.counters import InputCounters
 from retinue.plans.daily import expire_visits, run_daily, stage_devices, write_visits
 from retinue.plans.history import run_history
 from retinue.plans.search import run_search, stage_search
@@ -114,3 +117,50 @@ def test_history_keeps_columns_of_added_groups(spark):
         rows = run_history(warehouse, kept, names, day, ("p1",))
     assert {"dau_g1", "dau_g2"} <= set(rows.columns)
     assert [r.dau_g2 for r in rows.where(F.col("day") == C.back(1)).collect()] == [0]
+
+
+def small_inputs(spark):
+    events = spark.createDataFrame(
+        [("a", "1", "visit.x", "1705708800000", C.DAY), ("a", "1", "other", "1", C.DAY),
+         ("a", None, None, None, C.DAY)],
+        "pid string, uid string, event string, ts string, day string")
+    devices = spark.createDataFrame([("a", "1", "d")], "pid string, uid string, orig_id string")
+    return events, devices
+
+
+def test_inputs_are_counted_by_the_read_that_uses_them(spark):
+    events, devices = small_inputs(spark)
+    counters = InputCounters()
+    watched = counters.watch("events", events, F.col("event").startswith("visit."))
+    joined = watched.where("event LIKE 'visit.%'").join(devices, ["pid", "uid"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CollectMetrics") == 1 and plan.count("Scan ExistingRDD") == 2
+    assert joined.count() == 1
+    assert counters.counts() == [("events", 3, 1, 2)]
+
+
+def test_an_input_that_a_step_skips_is_counted_by_itself(spark):
+    """Without devices the result is known before the log is read."""
+    events, devices = small_inputs(spark)
+    counters = InputCounters()
+    for source, rows, others in (("events", events, devices.where("uid = ''")),
+                                 ("none", events.where("uid = ''"), devices),
+                                 ("literal", events.limit(0), devices)):
+        watched = counters.watch(source, rows, F.col("event").startswith("visit."))
+        assert watched.distinct().join(others, ["pid", "uid"]).collect() == []
+    assert counters.counts() == [("events", 3, 1, 2), ("none", 0, 0, 0), ("literal", 0, 0, 0)]
+
+
+def test_counts_of_a_run_are_replaced_by_the_next_and_can_be_left_out(spark, loaded):
+    x, warehouse = loaded
+    day = C.back(3)
+    for _ in range(2):
+        run_daily(warehouse, config(x), SETTINGS, day, shared_dir(spark))
+    table = warehouse.table("run_counters")
+    rows = {r.source: r for r in table.where(F.col("run_day") == day).collect()}
+    assert set(rows) == {"events", "id_map", "property register_time", "property nation"}
+    assert rows["events"].read == x.events.where(F.col("day") == day).count()
+    assert all(r.read == r.kept + r.missed > 0 for r in rows.values())
+    plain = replace(SETTINGS, count_inputs=False)
+    run_daily(warehouse, config(x), plain, C.back(4), shared_dir(spark))
+    assert table.where(F.col("run_day") == C.back(4)).count() == 0
