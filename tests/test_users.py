@@ -3,7 +3,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from retinue.catalog import common as C
-from retinue.functions.days import bounds_ms
+from retinue.functions.days import bounds_ms, shift
 from retinue.local import local_rows
 from retinue.operators import identity, registrations, segments
 from retinue.operators import visits as V
@@ -65,7 +65,7 @@ def test_profile_equals_separate_counts(spark):
     assert column("new_users") == counts(registrations.new_users(bounds, DAY))
     assert column("cover_users") == counts(registrations.cover_users(bounds, DAY), "cover")
     assert column("ret_week") == counts(
-        registrations.retention(rows, bounds, C.back(7), C.back(6), DAY))
+        registrations.retention(rows, bounds, shift(DAY, 7), shift(DAY, 6), DAY))
 
 
 def test_cover_and_new_are_disjoint(spark):
