@@ -240,3 +240,36 @@ def test_long_and_repeated_texts_do_not_empty_the_sample(spark):
     assert len(got) == 490
     wrong = sum(r.predicted != int(r.doc_id % 3 == 0 or r.doc_id >= 1_000) for r in got)
     assert wrong < 15
+
+
+def test_all_labelled_texts_are_learnt_from(spark):
+    """Words that five of 8,000 texts hold are known, whichever shard the texts are in."""
+    rng = random.Random(7)
+    rows = [(k, rng.choices([f"w{j}" for j in range(50)], k=8) + (["vile"] if k % 2 else []))
+            for k in range(8_000)]
+    learning = [k for k, _ in rows if zlib.crc32(str(k).encode()) % 5]
+    rare = [f"r{j}" for j in range(50)]
+    for word, holders in zip(rare, np.array(rng.sample(learning, 250)).reshape(50, 5)):
+        for k in holders:
+            rows[k][1].append(word)
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    codes = model.codes()
+    assert all(codes[w.encode()] >> 32 != toxicity.BUCKETS for w in rare)
+    held = [(k, w) for k, w in rows if k not in set(learning)]
+    scores = model.scores([" ".join(w) for _, w in held], codes)
+    assert ((scores >= 0.5) == [k % 2 for k, _ in held]).mean() > 0.95
+    again = toxicity.fit(docs.repartition(7), labels)
+    np.testing.assert_array_equal(model.words, again.words)
+    np.testing.assert_array_equal(model.thresholds, again.thresholds)
+
+
+def test_pieces_of_a_long_text_have_the_peaks_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = toxicity._start(bytes(toxicity.SLOTS // 8), bytes(toxicity.SLOTS // 8), 1)
+    batch = [rng.integers(0, 40, n) << 32 | rng.integers(0, 40, n) << 8 for n in (3, 95, 4, 41, 60)]
+    whole = toxicity._peaks(model, batch)
+    monkeypatch.setattr(toxicity, "PIECE", 20)
+    for a, b in zip(whole, toxicity._peaks(model, batch)):
+        np.testing.assert_allclose(a, b, rtol=1e-5)
