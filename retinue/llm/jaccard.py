@@ -192,7 +192,8 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def spanning_links(left: dict[str, np.ndarray], right: dict[str, np.ndarray] | None,
                    percent: int) -> list[tuple[str, str]]:
-    """Links that connect all that links connect, in ``left``, or between it and ``right``."""
+    """Pairs that connect all that links connect, in ``left``, or between it and ``right``: every
+    name that has a link with the first one of those it is connected to."""
     def planted(members: dict[str, np.ndarray], bits: int) -> tuple[list[str], Tree]:
         names = sorted(members, key=lambda n: (members[n][:2].tolist(), len(members[n])))
         return names, Tree([members[n] for n in names], bits)
@@ -209,14 +210,14 @@ def spanning_links(left: dict[str, np.ndarray], right: dict[str, np.ndarray] | N
             root[n] = n = root[root[n]]
         return n
 
-    links = []
     for a, b in tree.leaf_pairs(other, percent):
         for i, j in tree.possible(a, other, b, percent):
             x, y = names[i], others[j]
             if (p := find(x)) != (q := find(y)) and linked(members[x], members[y], percent):
                 root[p] = q
-                links.append((x, y))
-    return links
+    # A star, not the links as found, so that no long path is left to follow.
+    first: dict[str, str] = {}
+    return [(top, n) for n in sorted(root) if (top := first.setdefault(find(n), n)) != n]
 
 
 def text_key(text: str) -> Column:

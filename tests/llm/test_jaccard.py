@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from retinue.llm import jaccard
+from retinue.llm import graph, jaccard
 
 
 def brute(rows, words, percent):
@@ -140,3 +140,39 @@ def test_rows_without_ids_cost_no_more(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert jaccard.similar(docs, 5, 80).where("component_id IS NULL").count() == 1_000
     assert jaccard.representatives(docs, 5, 80).count() == 1
+
+
+def test_pairs_of_a_block_are_stars():
+    sets = {f"{g}-{k}": np.arange(g * 10_000 + k, g * 10_000 + k + 100, dtype=np.uint64)
+            for g in range(3) for k in range(40)}
+    pairs = jaccard.spanning_links(sets, None, 90)
+    assert len(pairs) == 3 * 39
+    assert {top for top, _ in pairs} == {"0-0", "1-0", "2-0"}
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_components_against_union_find_and_stars_without_a_round(spark, monkeypatch, most):
+    monkeypatch.setattr(graph, "BROADCAST_EDGES", most)
+    rng = random.Random(9)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    edges += [(k, k + 1) for k in range(1_000, 1_030)] + edges[:5] + [(7, 7)]
+    parent = {n: n for e in edges for n in e if e[0] != e[1]}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        if a != b and find(a) != find(b):
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+    wanted = sorted((n, find(n)) for n in parent)
+    rows = spark.createDataFrame(edges, "a long, b long")
+    assert sorted(tuple(r) for r in graph.components(rows).collect()) == wanted
+
+    writes, written = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: writes.append(name) or written(df, name))
+    stars = spark.createDataFrame([(label, n) for n, label in wanted], "a long, b long")
+    assert sorted(tuple(r) for r in graph.components(stars).collect()) == wanted
+    assert len(writes) == 1
+    assert graph.components(rows.limit(0)).isEmpty()
